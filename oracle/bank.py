@@ -69,7 +69,7 @@ VIEWS["fx_enhanced"] = f"""
       CASE WHEN mid_rate > 0 THEN {r('CAST(ask_rate - bid_rate AS DOUBLE) / CAST(mid_rate AS DOUBLE) * 100', 4)} END AS sp
     FROM in_fx_rates WINDOW w AS (PARTITION BY from_currency, to_currency ORDER BY date)) q"""
 DEC_FX = "mid_rate bid_rate ask_rate spread_absolute daily_change_absolute min_rate_30d max_rate_30d".split()
-QUERIES["fx_enhanced"] = f"SELECT * REPLACE ({', '.join(f'{d(x)} AS {x}' for x in DEC_FX)}) FROM fx_enhanced"
+QUERIES["fx_enhanced"] = f"SELECT * REPLACE ({', '.join(f'{d(x)} AS {x}' for x in DEC_FX)}, {r('volatility_30d', 4)} AS volatility_30d) FROM fx_enhanced"
 
 VIEWS["behaviour"] = f"""
   SELECT account_id, count(*) AS n, {mean('amount')} AS avg_amount, stddev_samp(CAST(amount AS DOUBLE)) AS sd_amount,

@@ -62,12 +62,13 @@ def ratio(num, den) -> Column:
     return F.try_divide(dbl(num), dbl(den))
 
 
-def pct(num, den, digits: int = 2) -> Column:
-    return F.round(F.try_divide(dbl(num) * 100.0, dbl(den)), digits)
+def rnd(value, digits: int = 2) -> Column:
+    """Round half away from zero, as decimals do; a binary 2.4999999999999996 counts as 2.5."""
+    return F.round(dbl(value).cast("decimal(38,10)"), digits).cast("double")
 
 
-def rnd(value, digits: int = 2) -> Column:
-    return F.round(dbl(value), digits)
+def pct(num, den, digits: int = 2) -> Column:
+    return rnd(F.try_divide(dbl(num) * 100.0, dbl(den)), digits)
 
 
 def zero(value) -> Column:

@@ -78,7 +78,7 @@ def customer_lifecycle(customers: DataFrame, events: DataFrame, *, as_of) -> Dat
         "full_name",
         "onboarding_date",
         age.alias("customer_age_days"),
-        F.round(age / 30.44, 2).alias("customer_age_months"),
+        rnd(age / 30.44, 2).alias("customer_age_months"),
         n.alias("total_lifecycle_events"),
         "first_event_date",
         "last_event_date",
@@ -331,7 +331,7 @@ def customer_360(
             "currencies": F.coalesce("currencies", F.lit("")),
             "engagement_score": F.coalesce("engagement_score", F.lit(0.0)),
             "days_since_last_transaction": idle,
-            "avg_monthly_transactions": F.round(zero("total_transactions") / 12.0, 2),
+            "avg_monthly_transactions": rnd(zero("total_transactions") / 12.0, 2),
             "is_dormant_transactionally": idle >= 180,
             "is_highly_active": zero("_last_month") > 50,
             "exposed_person_match_accuracy_percent": accuracy,

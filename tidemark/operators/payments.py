@@ -58,7 +58,7 @@ def fx_enhanced(fx: DataFrame, *, as_of) -> DataFrame:
     ).crossJoin(F.broadcast(newest))  # one row
     spread = F.col("ask_rate") - F.col("bid_rate")
     change = mid - F.col("_prev")
-    spread_pct = F.when(mid > 0, F.round(ratio(spread, mid) * 100, 4))
+    spread_pct = F.when(mid > 0, rnd(ratio(spread, mid) * 100, 4))
     return df.select(
         "date",
         "from_currency",
@@ -70,7 +70,7 @@ def fx_enhanced(fx: DataFrame, *, as_of) -> DataFrame:
         spread.alias("spread_absolute"),
         spread_pct.alias("spread_percentage"),
         change.alias("daily_change_absolute"),
-        F.when(F.col("_prev") > 0, F.round(ratio(change, "_prev") * 100, 4)).alias("daily_change_percentage"),
+        F.when(F.col("_prev") > 0, rnd(ratio(change, "_prev") * 100, 4)).alias("daily_change_percentage"),
         ladder(
             [
                 (F.col("_prev").isNull(), "NO_PREV_DATA"),
@@ -79,11 +79,11 @@ def fx_enhanced(fx: DataFrame, *, as_of) -> DataFrame:
             ],
             "STABLE",
         ).alias("trend_direction"),
-        F.round("_vol", 6).alias("volatility_30d"),
-        F.round("_avg7", 6).alias("moving_avg_7d"),
+        rnd("_vol", 6).alias("volatility_30d"),
+        rnd("_avg7", 6).alias("moving_avg_7d"),
         "min_rate_30d",
         "max_rate_30d",
-        F.round(ratio(mid - F.col("min_rate_30d"), F.col("max_rate_30d") - F.col("min_rate_30d")) * 100, 2).alias(
+        rnd(ratio(mid - F.col("min_rate_30d"), F.col("max_rate_30d") - F.col("min_rate_30d")) * 100, 2).alias(
             "rate_position_percentage"
         ),
         ladder(
@@ -227,8 +227,8 @@ def transaction_anomalies(
         "avg_transaction_amount",
         "median_transaction_amount",
         "avg_daily_transaction_count",
-        F.round(az, 2).alias("amount_anomaly_score"),
-        F.round(tz, 2).alias("timing_anomaly_score"),
+        rnd(az, 2).alias("amount_anomaly_score"),
+        rnd(tz, 2).alias("timing_anomaly_score"),
         at_least(
             az,
             [(3.0, "EXTREME_AMOUNT_ANOMALY"), (2.0, "HIGH_AMOUNT_ANOMALY"), (1.5, "MODERATE_AMOUNT_ANOMALY")],
@@ -246,7 +246,7 @@ def transaction_anomalies(
         "settlement_days",
         late.alias("is_delayed_settlement"),
         back.alias("is_backdated_settlement"),
-        F.round(
+        rnd(
             az * 0.35
             + tz * 0.2
             + weight(faster(3), 2.0) * 0.25
@@ -321,11 +321,11 @@ def account_balances(
         bal.alias("current_balance_base"),
         zero("_cred").alias("total_credits_base"),
         zero("_deb").alias("total_debits_base"),
-        F.round(own, 2).alias("current_balance_base_currency"),
+        rnd(own, 2).alias("current_balance_base_currency"),
         n.alias("total_transactions"),
         zero("credit_transactions").alias("credit_transactions"),
         zero("debit_transactions").alias("debit_transactions"),
-        F.round(F.coalesce("_avg", F.lit(0.0)), 2).alias("avg_transaction_amount_base"),
+        rnd(F.coalesce("_avg", F.lit(0.0)), 2).alias("avg_transaction_amount_base"),
         zero("_min").alias("min_transaction_amount_base"),
         zero("_max").alias("max_transaction_amount_base"),
         ladder(
@@ -386,7 +386,7 @@ def customer_transaction_summary(txns: DataFrame, accounts: DataFrame, *, as_of)
         last.alias("last_transaction_date"),
         days(last, today).alias("days_since_last_transaction"),
         first.alias("first_transaction_date"),
-        F.round(ratio(F.sum("n"), months_crossed(first, today)), 2).alias("avg_monthly_transactions"),
+        rnd(ratio(F.sum("n"), months_crossed(first, today)), 2).alias("avg_monthly_transactions"),
         F.count("_month").alias("transaction_months_active"),
         (days(last, today) >= 180).alias("is_dormant_transactionally"),
         (F.sum("m") > 50).alias("is_highly_active"),
@@ -398,7 +398,7 @@ def customer_transaction_summary(txns: DataFrame, accounts: DataFrame, *, as_of)
 
 
 def _amounts(prefix: str, label: str = "amount"):
-    return [F.sum("amount").alias(f"total_{prefix}{label}"), F.round(mean("amount"), 2).alias(f"avg_{prefix}{label}")]
+    return [F.sum("amount").alias(f"total_{prefix}{label}"), rnd(mean("amount"), 2).alias(f"avg_{prefix}{label}")]
 
 
 
@@ -437,7 +437,7 @@ def currency_exposure_history(scored: DataFrame, base_ccy: str = "CHF") -> DataF
         .agg(
             F.count(F.lit(1)).alias("daily_transaction_count"),
             F.sum("amount").alias("daily_total_amount"),
-            F.round(mean("amount"), 2).alias("daily_avg_amount"),
+            rnd(mean("amount"), 2).alias("daily_avg_amount"),
             F.min("amount").alias("daily_min_amount"),
             F.max("amount").alias("daily_max_amount"),
             F.countDistinct("customer_id").alias("daily_unique_customers"),
@@ -450,11 +450,11 @@ def currency_exposure_history(scored: DataFrame, base_ccy: str = "CHF") -> DataF
         "*",
         F.sum("daily_transaction_count").over(week).alias("rolling_7d_transaction_count"),
         F.sum(total).over(week).alias("rolling_7d_total_amount"),
-        F.round(F.sum(total).over(week).cast("double") / F.count(total).over(week), 2).alias(
+        rnd(F.sum(total).over(week).cast("double") / F.count(total).over(week), 2).alias(
             "rolling_7d_avg_daily_amount"
         ),
         then.alias("amount_30_days_ago"),
-        F.when(then > 0, F.round(ratio(total - then, then) * 100, 2)).alias("growth_rate_30d_percent"),
+        F.when(then > 0, rnd(ratio(total - then, then) * 100, 2)).alias("growth_rate_30d_percent"),
         above("daily_transaction_count", [(100, "HIGH_VOLUME"), (50, "MEDIUM_VOLUME")], "LOW_VOLUME").alias(
             "daily_volume_category"
         ),
@@ -473,7 +473,7 @@ def settlement_exposure(scored: DataFrame, base_ccy: str = "CHF") -> DataFrame:
         .agg(
             n.alias("settlement_transaction_count"),
             F.sum("amount").alias("settlement_total_amount"),
-            F.round(mean(gap), 2).alias("avg_settlement_days"),
+            rnd(mean(gap), 2).alias("avg_settlement_days"),
             F.count_if(gap == 0).alias("same_day_settlements"),
             F.count_if(gap == 1).alias("t_plus_1_settlements"),
             F.count_if(gap.between(2, 3)).alias("t_plus_2_3_settlements"),

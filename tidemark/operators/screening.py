@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.expr import c, choose, days, flag, ladder, mean, on_date
+from tidemark.functions.expr import c, choose, days, flag, ladder, mean, on_date, rnd
 from tidemark.functions.similar import containment_pairs, edit_pairs
 
 DISTANCE_SCORE = {1: 95.0, 2: 90.0, 3: 85.0, 4: 80.0, 5: 75.0}
@@ -223,8 +223,8 @@ def screening_summary(screening: DataFrame) -> DataFrame:
     totals = screening.agg(
         F.count(F.lit(1)).alias("total_matches"),
         F.countDistinct("entity_id").alias("total_sanctions_entities_matched"),
-        F.round(mean("match_score"), 2).alias("avg_match_score"),
-        F.round(mean(F.when(F.col("match_type") == "FUZZY_MATCH", F.col("match_score"))), 2).alias(
+        rnd(mean("match_score"), 2).alias("avg_match_score"),
+        rnd(mean(F.when(F.col("match_type") == "FUZZY_MATCH", F.col("match_score"))), 2).alias(
             "avg_fuzzy_match_score"
         ),
     )

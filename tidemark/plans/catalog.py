@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidemark.functions.expr import plain
+from tidemark.functions.expr import plain, rnd
 from tidemark.operators import customer as cu
 from tidemark.operators import payments as pay
 from tidemark.operators import screening as sc
@@ -33,7 +32,7 @@ def query(name: str, build) -> None:
 
 def rounded(**digits: int):
     """Round statistics whose last bits depend on the order of summation."""
-    return lambda df: df.withColumns({x: F.round(F.col(x), k) for x, k in digits.items()})
+    return lambda df: df.withColumns({x: rnd(x, k) for x, k in digits.items()})
 
 
 # ---- customers --------------------------------------------------------------------------------
@@ -68,7 +67,7 @@ mart("exposed_person_matches", lambda w: sc.exposed_person_matches(*w("customer_
 
 # ---- payments ---------------------------------------------------------------------------------
 query("accounts_enriched", lambda w: pay.accounts_enriched(w["in_accounts"]))
-mart("fx_enhanced", lambda w: pay.fx_enhanced(w["in_fx_rates"], as_of=AS_OF))
+mart("fx_enhanced", lambda w: pay.fx_enhanced(w["in_fx_rates"], as_of=AS_OF), rounded(volatility_30d=4))
 query(
     "behavioural_profile",
     lambda w: rounded(
