@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.functions.expr import plain, rnd
 from tidemark.operators import customer as cu
+from tidemark.operators import liquidity as lq
 from tidemark.operators import payments as pay
+from tidemark.operators import portfolio as pf
 from tidemark.operators import screening as sc
+from tidemark.operators import trades as tr
+from tidemark.plans import lookups
 from tidemark.plans.tables import AS_OF
 from tidemark.plans.workspace import Workspace
 
@@ -104,6 +109,80 @@ query(
     ),
 )
 
+# ---- trades and positions ---------------------------------------------------------------------
+query("equity_trade_summary", lambda w: tr.equity_trade_summary(w["in_equity_trades"]))
+mart("equity_positions", lambda w: tr.equity_positions(w["in_equity_trades"], as_of=AS_OF))
+query("equity_customer_activity", lambda w: tr.equity_customer_activity(w["in_equity_trades"], as_of=AS_OF))
+query("fi_trade_summary", lambda w: tr.fi_trade_summary(w["in_fi_trades"], as_of=AS_OF))
+mart("fi_positions", lambda w: tr.fi_positions(w["in_fi_trades"]))
+query("fi_duration_analysis", lambda w: tr.fi_duration_analysis(w["in_fi_trades"], as_of=AS_OF))
+query("fi_credit_exposure", lambda w: tr.fi_credit_exposure(w["in_fi_trades"]))
+query("fi_yield_curve", lambda w: tr.fi_yield_curve(w["in_fi_trades"], as_of=AS_OF))
+query("cmd_trade_summary", lambda w: tr.cmd_trade_summary(w["in_cmd_trades"]))
+mart("cmd_positions", lambda w: tr.cmd_positions(w["in_cmd_trades"]))
+for _name in ("cmd_delta_exposure", "cmd_volatility", "cmd_delivery_schedule"):
+    query(_name, lambda w, f=getattr(tr, _name): f(w["in_cmd_trades"]))
+query("equity_summary", lambda w: tr.equity_summary(*w("in_equity_trades", "in_accounts")))
+for _name in ("equity_positions_by_security", "equity_currency_exposure", "high_value_equity_trades"):
+    query(_name, lambda w, f=getattr(tr, _name): f(w["in_equity_trades"]))
+mart(
+    "portfolio_performance",
+    lambda w: pf.portfolio_performance(
+        *w(
+            "in_transactions", "in_equity_trades", "in_fi_trades", "in_cmd_trades", "account_balances",
+            "equity_positions", "fi_positions", "cmd_positions", "in_accounts",
+        ),
+        as_of=AS_OF,
+        lookback=1500,
+    ),
+)
+
+# ---- liquidity --------------------------------------------------------------------------------
+LAST_LIQUIDITY_DAY, NEXT_DAY = "2001-11-04", "2001-11-05"
+
+
+def _assets(w):
+    return w["in_hqla_holdings"], lookups.hqla_eligibility(w.spark)
+
+
+def _funding(w):
+    return w["in_deposits"], lookups.deposit_types(w.spark)
+
+
+def _alert_text(df):
+    """Arrays of structs as text, so every consumer can compare them."""
+    text = F.transform("all_alerts", lambda x: F.concat_ws("/", x["severity"], x["type"], x["message"], x["action"]))
+    return df.withColumn("all_alerts", F.array_join(text, "; "))
+
+
+query("hqla_holdings_detail", lambda w: lq.hqla_holdings_detail(*_assets(w)).drop("is_active"))
+query("deposit_balances_detail", lambda w: lq.deposit_balances_detail(*_funding(w)))
+mart("lcr_hqla", lambda w: lq.lcr_hqla(*_assets(w)))
+mart("lcr_outflow", lambda w: lq.lcr_outflow(*_funding(w)))
+query("hqla_calculation", lambda w: lq.hqla_calculation(*_assets(w)))
+query("outflow_calculation", lambda w: lq.outflow_calculation(*_funding(w)))
+mart("lcr_daily", lambda w: lq.lcr_daily(lq.hqla_calculation(*_assets(w)), lq.outflow_calculation(*_funding(w))))
+query("lcr_trend", lambda w: lq.lcr_trend(w["lcr_daily"]))
+query("lcr_monthly_summary", lambda w: lq.lcr_monthly_summary(w["lcr_daily"]))
+query(
+    "lcr_monitoring",
+    lambda w: lq.lcr_monitoring(
+        w["lcr_daily"],
+        lq.lcr_trend(w["lcr_daily"]),
+        lq.hqla_holdings_detail(*_assets(w)),
+        lq.deposit_balances_detail(*_funding(w)),
+    ),
+)
+query("lcr_alerts", lambda w: _alert_text(lq.lcr_alerts(w["lcr_daily"], lq.lcr_trend(w["lcr_daily"]))))
+query("lcr_current", lambda w: lq.lcr_current(w["lcr_daily"]))
+query("hqla_breakdown", lambda w: lq.hqla_breakdown(*w("lcr_hqla", "lcr_daily")))
+query("outflow_breakdown", lambda w: lq.outflow_breakdown(*w("lcr_outflow", "lcr_daily")))
+query("lcr_trend_90day", lambda w: lq.lcr_trend_90day(w["lcr_daily"], as_of=LAST_LIQUIDITY_DAY))
+query(
+    "alerts_active",
+    lambda w: lq.alerts_active(lq.lcr_alerts(w["lcr_daily"], lq.lcr_trend(w["lcr_daily"])), as_of=NEXT_DAY),
+)
+
 
 def registered() -> dict[str, Callable]:
     """name -> callable(spark, sf_dir) for every query."""
