@@ -16,7 +16,7 @@ QUERIES: dict[str, str] = {}
 
 def r(x: str, k: int = 2) -> str:
     """Round half away from zero on a decimal, so ties do not depend on binary noise."""
-    return f"CAST(round(CAST({x} AS DECIMAL(38,10)), {k}) AS DOUBLE)"
+    return f"CAST(round(CAST({x} AS DECIMAL(38,{k + 4})), {k}) AS DOUBLE)"
 
 
 def d(x: str) -> str:

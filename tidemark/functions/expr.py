@@ -64,7 +64,7 @@ def ratio(num, den) -> Column:
 
 def rnd(value, digits: int = 2) -> Column:
     """Round half away from zero, as decimals do; a binary 2.4999999999999996 counts as 2.5."""
-    return F.round(dbl(value).cast("decimal(38,10)"), digits).cast("double")
+    return F.round(dbl(value).cast(f"decimal(38,{digits + 4})"), digits).cast("double")
 
 
 def pct(num, den, digits: int = 2) -> Column:

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import plain, rnd
+from tidemark.operators import credit as cr
 from tidemark.operators import customer as cu
 from tidemark.operators import liquidity as lq
 from tidemark.operators import payments as pay
 from tidemark.operators import portfolio as pf
 from tidemark.operators import screening as sc
+from tidemark.operators import staff as st
 from tidemark.operators import trades as tr
 from tidemark.plans import lookups
 from tidemark.plans.tables import AS_OF
@@ -183,6 +185,70 @@ query(
     lambda w: lq.alerts_active(lq.lcr_alerts(w["lcr_daily"], lq.lcr_trend(w["lcr_daily"])), as_of=NEXT_DAY),
 )
 
+# ---- risk -------------------------------------------------------------------------------------
+mart(
+    "irb_customer_ratings",
+    lambda w: cr.irb_customer_ratings(*w("customer_360", "anomaly_analysis", "account_balances"), as_of=AS_OF),
+)
+query("rating_history", lambda w: cr.rating_history(w["irb_customer_ratings"]))
+query("irb_portfolio_metrics", lambda w: cr.irb_portfolio_metrics(w["irb_customer_ratings"], as_of=AS_OF))
+query(
+    "irb_rwa_summary",
+    lambda w: cr.irb_rwa_summary(cr.irb_portfolio_metrics(w["irb_customer_ratings"], as_of=AS_OF), as_of=AS_OF),
+)
+
+
+def _day_before(w):
+    """Snapshot of the day before: every fifth customer stood elsewhere then."""
+    moved = F.col("customer_id").cast("int") % 5 == 0
+    return cr.rating_history(w["irb_customer_ratings"]).withColumns(
+        {
+            "effective_date": F.date_sub("effective_date", 1),
+            "credit_rating": F.when(moved, "BBB").otherwise(F.col("credit_rating")),
+            "default_flag": F.when(moved, ~F.col("default_flag")).otherwise(F.col("default_flag")),
+        }
+    )
+
+
+query("irb_risk_trends", lambda w: cr.irb_risk_trends(w["irb_customer_ratings"], _day_before(w), as_of=AS_OF))
+mart("frtb_risk_positions", lambda w: cr.frtb_risk_positions(*w("equity_positions", "fi_positions", "cmd_positions")))
+query("frtb_sensitivities", lambda w: cr.frtb_sensitivities(w["frtb_risk_positions"]))
+query("frtb_capital_charges", lambda w: cr.frtb_capital_charges(cr.frtb_sensitivities(w["frtb_risk_positions"])))
+query("frtb_nmrf", lambda w: cr.frtb_nmrf(w["frtb_risk_positions"]))
+mart(
+    "risk_aggregation",
+    lambda w: cr.risk_aggregation(
+        *w("irb_customer_ratings", "frtb_risk_positions", "anomaly_analysis"),
+        pay.currency_exposure_current(w["transaction_anomalies"]),
+        as_of=AS_OF,
+    ),
+    rounded(exposure_volatility_chf=0),
+)
+query("executive_dashboard", lambda w: rounded(risk_volatility_score=0)(cr.executive_dashboard(w["risk_aggregation"])))
+query("regulatory_reporting", lambda w: cr.regulatory_reporting(w["risk_aggregation"], as_of=AS_OF))
+query("risk_concentration", lambda w: cr.risk_concentration(w["risk_aggregation"], floor=0.001))
+query("risk_limits", lambda w: cr.risk_limits(w["risk_aggregation"], as_of=AS_OF))
+
+# ---- staff ------------------------------------------------------------------------------------
+STAFF = ("in_employees", "in_assignments")
+query("hierarchy", lambda w: st.hierarchy(w["in_employees"]))
+query("organizational_chart", lambda w: st.organizational_chart(*w(*STAFF), as_of=AS_OF))
+mart("advisor_performance", lambda w: st.advisor_performance(*w(*STAFF, "customer_360"), as_of=AS_OF))
+query("advisors", lambda w: st.advisors(w["advisor_performance"]))
+query("portfolio_by_advisor", lambda w: st.portfolio_by_advisor(*w("in_assignments", "in_employees", "customer_360")))
+mart("team_leader_dashboard", lambda w: st.team_leader_dashboard(*w(*STAFF, "customer_360")))
+query(
+    "current_assignments",
+    lambda w: st.current_assignments(
+        *w("in_assignments", "customer_current", "in_employees", "customer_360"), as_of=AS_OF
+    ),
+)
+query(
+    "assignment_history",
+    lambda w: st.assignment_history(*w("in_assignments", "customer_current", "in_employees"), as_of=AS_OF),
+)
+query("workload_distribution", lambda w: st.workload_distribution(*w(*STAFF)))
+
 
 def registered() -> dict[str, Callable]:
     """name -> callable(spark, sf_dir) for every query."""
