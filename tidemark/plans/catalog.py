@@ -11,6 +11,7 @@ from tidemark.functions.expr import plain, rnd
 from tidemark.operators import credit as cr
 from tidemark.operators import customer as cu
 from tidemark.operators import liquidity as lq
+from tidemark.operators import loans as ln
 from tidemark.operators import payments as pay
 from tidemark.operators import portfolio as pf
 from tidemark.operators import screening as sc
@@ -249,6 +250,45 @@ query(
 )
 query("workload_distribution", lambda w: st.workload_distribution(*w(*STAFF)))
 
+# ---- loans ------------------------------------------------------------------------------------
+mart("extract_flat", lambda w: ln.extract_flat(w["in_loan_extracts"]))
+mart("build_applications", lambda w: ln.build_applications(*w("extract_flat", "customer_360"), lookups.products(w.spark)))
+mart("build_collateral", lambda w: ln.build_collateral(w["extract_flat"]))
+mart("build_affordability", lambda w: ln.build_affordability(*w("extract_flat", "build_applications")))
+mart("build_collateral_link", lambda w: ln.build_collateral_link(*w("extract_flat", "build_applications", "build_collateral")))
+mart("loan_portfolio_summary", lambda w: ln.loan_portfolio_summary(w["build_applications"], lookups.products(w.spark), as_of=AS_OF))
+PLEDGED = ("build_applications", "build_collateral_link", "build_collateral")
+mart("ltv_distribution", lambda w: ln.ltv_distribution(*w(*PLEDGED), as_of=AS_OF))
+mart("application_funnel", lambda w: ln.application_funnel(w["build_applications"], lookups.products(w.spark), as_of=AS_OF))
+mart("affordability_summary", lambda w: ln.affordability_summary(*w("build_affordability", "build_applications"), as_of=AS_OF))
+mart("customer_loan_summary", lambda w: ln.customer_loan_summary(*w(*PLEDGED, "build_affordability")))
+LOAN_REPORTS = ("loan_portfolio_summary", "ltv_distribution", "application_funnel", "affordability_summary")
+query("loan_portfolio_current", lambda w: ln.loan_portfolio_current(*w(*LOAN_REPORTS), as_of=AS_OF))
+query(
+    "ltv_distribution_current",
+    lambda w: ln.current_date_view(w["ltv_distribution"], ["ltv_bucket_sort_order"], as_of=AS_OF),
+)
+query(
+    "application_funnel_current",
+    lambda w: ln.current_date_view(w["application_funnel"], [F.desc("total_applications")], as_of=AS_OF),
+)
+query(
+    "affordability_current",
+    lambda w: ln.current_date_view(w["affordability_summary"], ["country", "affordability_result"], as_of=AS_OF),
+)
+query("loan_compliance_screening", lambda w: ln.loan_compliance_screening(*w("build_applications", "customer_360")))
+query("loan_eligibility", lambda w: ln.loan_eligibility(w["customer_360"], as_of=AS_OF))
+query("loan_compliance_status", lambda w: ln.loan_compliance_status(*w("customer_360", "customer_screening"), as_of=AS_OF))
+TEXT_FIELDS = {
+    "email": "([A-Za-z0-9._]+@[A-Za-z0-9]+[.][A-Za-z.]+)",
+    "first_date": "([0-9]{4}-[0-9]{2}-[0-9]{2})",
+    "dotted_number": "([0-9]+[.][0-9]+[.][0-9]+[.][0-9]+)",
+}
+query(
+    "extract_from_text",
+    lambda w: ln.extract_from_text(w["documents"], TEXT_FIELDS).select("doc_id", *TEXT_FIELDS),
+)
+
 
 def registered() -> dict[str, Callable]:
     """name -> callable(spark, sf_dir) for every query."""
