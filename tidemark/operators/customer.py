@@ -372,6 +372,15 @@ def customer_360(
 MATCHED = ("EXACT_MATCH", "FUZZY_MATCH")
 
 
+def one_per_customer(view: DataFrame) -> DataFrame:
+    """The highest-scored row of each customer, where the view holds one row per match."""
+    order = [
+        "overall_risk_score", "sanctions_match_id", "exposed_person_exact_match_id", "exposed_person_fuzzy_match_id",
+        "sanctions_match_type_detail",
+    ]
+    return latest(view, ["customer_id"], order)
+
+
 def per_customer(view: DataFrame, **flags) -> DataFrame:
     """One row per customer with each named condition true if any of its match rows has it."""
     return view.groupBy("customer_id").agg(

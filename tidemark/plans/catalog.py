@@ -12,14 +12,22 @@ from tidemark.operators import credit as cr
 from tidemark.operators import customer as cu
 from tidemark.operators import liquidity as lq
 from tidemark.operators import loans as ln
+from tidemark.operators import messages as ms
+from tidemark.operators import metrics as mt
 from tidemark.operators import payments as pay
 from tidemark.operators import portfolio as pf
+from tidemark.operators import quality as qu
+from tidemark.operators import reports as rp
 from tidemark.operators import screening as sc
 from tidemark.operators import staff as st
 from tidemark.operators import trades as tr
 from tidemark.plans import lookups
 from tidemark.plans.tables import AS_OF
 from tidemark.plans.workspace import Workspace
+from tidemark.sources.files import clean, load_csv, parse_loose_json
+from tidemark.sources.schemas import LANDING, LIQUIDITY_NULLS
+from tidemark.sources.sinks import append_new, export_csv
+from tidemark.streaming.ingest import ingest_stream, ingested
 
 # the whole order history is the look-back: the given data ends with the as-of date
 WINDOW = {"as_of": AS_OF, "lookback": 3650}
@@ -289,6 +297,176 @@ query(
     lambda w: ln.extract_from_text(w["documents"], TEXT_FIELDS).select("doc_id", *TEXT_FIELDS),
 )
 
+# ---- messages ---------------------------------------------------------------------------------
+mart("credit_transfers", lambda w: ms.credit_transfers(w["in_messages"]))
+mart("status_reports", lambda w: ms.status_reports(w["in_messages"]))
+query("payment_lifecycle", lambda w: ms.payment_lifecycle(*w("credit_transfers", "status_reports")))
+
+# ---- sources and sinks: tables go out as files and come back through the loaders ---------------
+
+
+def _as_files(w, table: str, layout: str, name: str, reverse: bool = False) -> str:
+    """Write a table as CSV in the declared layout (or reversed, for matching by name)."""
+    path, df = w.path(name), w[table]
+    names = [f.split()[0] for f in LANDING[layout].replace("\n", " ").split(", ")]
+    cols = [F.col(x) if x in df.columns else F.lit(None).cast("string").alias(x) for x in names]
+    export_csv(df.select(*(reversed(cols) if reverse else cols)), path)
+    return path
+
+
+def _csv_load(w):
+    path = _as_files(w, "in_transactions", "transactions", "csv_transactions")
+    return load_csv(w.spark, path, LANDING["transactions"], required=["transaction_id"]).rows.drop("_source_file")
+
+
+def _csv_by_name(w):
+    path = _as_files(w, "in_accounts", "accounts", "csv_accounts", reverse=True)
+    return load_csv(w.spark, path, LANDING["accounts"], by_name=True).rows.drop("_source_file")
+
+
+def _csv_null_tokens(w):
+    path, df = w.path("csv_addresses"), w["in_addresses"].drop("version_id")
+    export_csv(df.withColumn("state", F.coalesce("state", F.lit("NULL"))), path)
+    rows = load_csv(w.spark, path, LANDING["addresses"], null_values=LIQUIDITY_NULLS).rows.drop("_source_file")
+    return clean(rows, blank_to_null=["street_address", "city"], default_now=["insert_timestamp_utc"])
+
+
+def _stream_ingest(w):
+    source = _as_files(w, "in_transactions", "transactions", "stream_source")
+    sink, checkpoint = w.path("stream_sink"), w.path("stream_checkpoint")
+    ingest_stream(w.spark, source, LANDING["transactions"], sink, checkpoint, max_files=2).awaitTermination()
+    return ingested(w.spark, sink)
+
+
+def _insert_if_absent(w):
+    path, df = w.path("insert_target"), w["in_transactions"].select("transaction_id", "account_id")
+    append_new(w.spark, path, df.where("account_id < '5'"), ["transaction_id"])
+    append_new(w.spark, path, df, ["transaction_id"])
+    return w.spark.read.parquet(path)
+
+
+query("csv_load", _csv_load)
+query("csv_load_by_name", _csv_by_name)
+query("csv_load_null_tokens", _csv_null_tokens)
+query("stream_ingest", _stream_ingest)
+query("insert_if_absent", _insert_if_absent)
+query(
+    "loose_json",
+    lambda w: w["events"].select(
+        "event_id",
+        F.try_variant_get(parse_loose_json(F.replace("props", F.lit('"'), F.lit("'"))), "$.k", "int").alias("k"),
+    ),
+)
+
+# ---- metric models, quality ---------------------------------------------------------------------
+mart("customers_once", lambda w: cu.one_per_customer(w["customer_360"]))
+del QUERIES["customers_once"]
+
+
+def _table(w):
+    def find(name: str) -> DataFrame:
+        if name == "customers":
+            return w["customers_once"]
+        return w[name] if name in MARTS else QUERIES[name](w)
+
+    return find
+
+
+MODEL_QUERIES = {
+    "customer_360": ["country", "region"],
+    "employee_advisor": ["region"],
+    "compliance_monitoring": ["currency", "account_tier"],
+    "wealth_management": ["portfolio_type", "country"],
+    "risk_reporting": ["risk_type"],
+    "lcr_current": ["compliance_status", "buffer_strength", "lcr_ratio_pct"],
+    "hqla_breakdown": ["asset_level", "asset_type"],
+    "outflow_breakdown": ["counterparty_type", "account_count"],
+    "lcr_trend": ["reporting_date", "lcr_ratio_pct", "compliance_status"],
+    "lcr_alerts": ["alert_type", "severity", "alert_category"],
+    "loan_portfolio": ["country", "application_status", "loan_count"],
+    "loan_ltv": ["ltv_bucket", "loan_count"],
+    "loan_funnel": ["country", "channel", "total_applications"],
+    "loan_affordability": ["country", "affordability_result", "assessment_count"],
+    "loan_compliance": ["compliance_status", "application_status", "country"],
+}
+for _model, _dims in MODEL_QUERIES.items():
+    query(
+        f"metrics_{_model}",
+        lambda w, m=_model, d=tuple(_dims): mt.metric_query(m, _table(w), metrics=list(mt.MODELS[m].metrics), dims=list(d)),
+    )
+query("wealth_detailed", lambda w: mt.wealth_detailed(*w("portfolio_performance", "customer_360")))
+query(
+    "quality_report",
+    lambda w: qu.quality_report(
+        w["in_customers"],
+        keys=["customer_id"],
+        required=["customer_id", "first_name", "email", "phone"],
+        domains={
+            "risk_classification": ["LOW", "MEDIUM", "HIGH"],
+            "birth": F.col("date_of_birth") < F.col("onboarding_date"),
+        },
+        freshness_col="insert_timestamp_utc",
+        as_of=AS_OF,
+        name="customer",
+    ),
+)
+query("customer_completeness", lambda w: qu.customer_completeness(w["customer_current"]))
+
+# ---- reports ------------------------------------------------------------------------------------
+VIEW, SCORED, PERF = "customer_360", "transaction_anomalies", "portfolio_performance"
+query("quarterly_alerts", lambda w: rp.quarterly_alerts(*w("in_transactions", SCORED, VIEW)))
+query("alert_backlog", lambda w: rp.alert_backlog(*w(SCORED, "in_accounts", VIEW), as_of=AS_OF))
+query("risk_heatmap", lambda w: rp.risk_heatmap(*w("in_transactions", SCORED, "in_accounts", VIEW)))
+query(
+    "sanctions_universe",
+    lambda w: rp.sanctions_universe(*w(SCORED, VIEW, "in_watch_list", "customer_screening"), as_of=AS_OF),
+)
+query("sanctions_hits", lambda w: rp.sanctions_hits(w["customer_screening"]))
+query("sanctions_quality", lambda w: rp.sanctions_quality(w["customer_screening"]))
+query("sanctions_alerts", lambda w: rp.sanctions_alerts(QUERIES["high_risk_alerts"](w)))
+for _part in ("profile", "risk_versions", "addresses"):
+    query(
+        f"kyc_audit_{_part}",
+        lambda w, p=_part: rp.kyc_audit_trail(
+            w[VIEW], QUERIES["customer_history"](w), QUERIES["addresses_history"](w), "7", as_of=AS_OF
+        )[p],
+    )
+query("kyc_overdue", lambda w: rp.kyc_overdue(w[VIEW], as_of=AS_OF))
+query("screening_alert_aging", lambda w: rp.screening_alert_aging(w[VIEW], as_of=AS_OF))
+query("advisor_list", lambda w: rp.advisor_list(w["advisor_performance"]))
+query("hiring_need", lambda w: rp.hiring_need(st.workload_distribution(*w(*STAFF))))
+query("advisor_revenue", lambda w: rp.advisor_revenue(QUERIES["portfolio_by_advisor"](w), w["advisor_performance"]))
+query("relationship_list", lambda w: rp.relationship_list(QUERIES["current_assignments"](w)))
+query("credit_overview", lambda w: rp.credit_overview(w[VIEW]))
+query("npl_report", lambda w: rp.npl_report(w["irb_customer_ratings"]))
+query("basel_report", lambda w: rp.basel_report(QUERIES["irb_rwa_summary"](w)))
+query("rating_distribution", lambda w: rp.rating_distribution(QUERIES["irb_portfolio_metrics"](w)))
+for _name in ("top_performers", "risk_adjusted", "asset_allocation", "fee_report"):
+    query(_name, lambda w, f=getattr(rp, _name): f(*w(PERF, VIEW)))
+query("wealth_segments", lambda w: rp.wealth_segments(w[VIEW], as_of=AS_OF))
+for _name in (
+    "risk_distribution", "tier_distribution", "country_distribution", "lifecycle_summary", "high_risk_customers",
+    "lending_portfolio", "revenue_at_risk", "kyc_completeness", "contact_quality", "compliance_summary",
+):
+    query(_name, lambda w, f=getattr(rp, _name): f(w[VIEW]))
+query("pep_match_summary", lambda w: rp.match_summary(w[VIEW], "exposed_person"))
+query("sanctions_match_summary", lambda w: rp.match_summary(w[VIEW], "sanctions"))
+query("pep_matches", lambda w: rp.match_list(w[VIEW], "exposed_person"))
+query("sanctions_matches", lambda w: rp.match_list(w[VIEW], "sanctions"))
+# thresholds below the defaults, because the given tables hold few inactive customers
+query("high_churn_customers", lambda w: rp.high_churn_customers(w[VIEW], above_pct=20))
+query("premium_at_risk", lambda w: rp.premium_at_risk(w[VIEW], above_pct=20))
+query("dormant_customers", lambda w: rp.dormant_customers(w[VIEW], min_days=10))
+query("newest_alerts", lambda w: rounded(median_transaction_amount=4)(rp.newest_alerts(w[SCORED])))
+query("aml_metrics", lambda w: rp.aml_metrics(w[SCORED], as_of=AS_OF))
+query("lcr_trend_page", lambda w: rp.lcr_trend_page(lq.lcr_trend(w["lcr_daily"]), as_of=LAST_LIQUIDITY_DAY))
+query("hqla_page", lambda w: rp.hqla_page(lq.hqla_holdings_detail(*_assets(w))))
+query("deposit_page", lambda w: rp.deposit_page(lq.deposit_balances_detail(*_funding(w))))
+query("lcr_alert_page", lambda w: rp.lcr_alert_page(lq.lcr_alerts(w["lcr_daily"], lq.lcr_trend(w["lcr_daily"]))))
+query("lcr_monthly_page", lambda w: rp.lcr_monthly_page(lq.lcr_monthly_summary(w["lcr_daily"])))
+query("loan_compliance_page", lambda w: rp.loan_compliance_page(QUERIES["loan_compliance_screening"](w)))
+query("loan_customer_page", lambda w: rp.loan_customer_page(*w("customer_loan_summary", VIEW)))
+
 
 def registered() -> dict[str, Callable]:
     """name -> callable(spark, sf_dir) for every query."""

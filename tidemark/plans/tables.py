@@ -294,6 +294,57 @@ def tables(d) -> dict[str, str]:
         '", "rate_type": "' || {pick('o_orderkey % 2', 'FIXED', 'VARIABLE')} ||
         '", "country": "' || {pick('o_orderkey % 6', 'Switzerland', 'UK', 'Germany', 'France', 'None', 'Deutschland')} || '"}}}}' END AS extracted_data
       FROM {{orders}}"""
+    def el(tag, value, attrs=""):
+        return f"'<{tag}{attrs}>' || {value} || '</{tag}>'"
+
+    def wrap(tag, *parts):
+        return f"'<{tag}>' || " + " || ".join(parts) + f" || '</{tag}>'"
+
+    def bic(tag, prefix, n):
+        return wrap(tag, "'<FinInstnId>'", el("BICFI", f"'{prefix}' || CAST({n} AS STRING)"), "'</FinInstnId>'")
+
+    num = "CAST(o_orderkey AS STRING)"
+    msg_id = f"CAST(CAST(o_orderdate AS DATE) AS STRING) || '-MSG' || {num}"
+    made = f"CAST(CAST(o_orderdate AS DATE) AS STRING) || 'T10:' || {pick('o_orderkey % 3', '05', '20', '59')} || ':30'"
+    paid = "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING)"
+    here, there = pick("o_custkey % 3", "CH", "DE", "GB"), pick("o_orderkey % 3", "CH", "DE", "GB")
+    money_ccy = "'<{0} Ccy=\"' || " + ccy("o_orderkey") + " || '\">' || " + paid + " || '</{0}>'"
+
+    def party(tag, name, country):
+        return wrap(
+            tag, el("Nm", f"'{name} ' || {num}"), "'<PstlAdr>'", el("StrtNm", f"'Road ' || {num}"),
+            el("PstCd", "CAST(o_custkey AS STRING)"), el("TwnNm", "'Town'"), el("Ctry", country), "'</PstlAdr>'",
+        )
+
+    def iban(tag, prefix):
+        return wrap(tag, "'<Id>'", el("IBAN", f"'{prefix}' || {num}"), "'</Id>'")
+
+    transfer = wrap(
+        "FIToFICstmrCdtTrf",
+        wrap("GrpHdr", el("MsgId", msg_id), el("CreDtTm", made), el("NbOfTxs", "'1'"), money_ccy.format("TtlIntrBkSttlmAmt"),
+             wrap("SttlmInf", el("SttlmMtd", "'CLRG'"), "'<ClrSys>'", el("Cd", pick("o_orderkey % 2", "TARGET2", "SIC")), "'</ClrSys>'")),
+        wrap("CdtTrfTxInf",
+             wrap("PmtId", el("InstrId", f"'I' || {num}"), el("EndToEndId", f"'E' || {num}"), el("TxId", f"'T' || {num}")),
+             wrap("PmtTpInf", el("InstrPrty", "'NORM'"), "'<SvcLvl>'", el("Cd", "'SEPA'"), "'</SvcLvl>'"),
+             money_ccy.format("IntrBkSttlmAmt"), el("IntrBkSttlmDt", "CAST(CAST(o_orderdate AS DATE) AS STRING)"), el("ChrgBr", "'SHAR'"),
+             bic("InstgAgt", "BA", "o_custkey % 7"), bic("InstdAgt", "BB", "o_orderkey % 7"), bic("DbtrAgt", "BA", "o_custkey % 7"),
+             bic("CdtrAgt", "BB", "o_orderkey % 7"), party("Dbtr", "Debtor", here), iban("DbtrAcct", "DI"),
+             party("Cdtr", "Creditor", there), iban("CdtrAcct", "CI"), wrap("RmtInf", el("Ustrd", "o_orderpriority"))),
+    )
+    answer = wrap(
+        "FIToFIPmtStsRpt",
+        wrap("GrpHdr", el("MsgId", f"'R' || {num}"), el("CreDtTm", f"CAST(CAST(o_orderdate AS DATE) AS STRING) || 'T11:00:00'"),
+             bic("InstgAgt", "BB", "o_orderkey % 7"), bic("InstdAgt", "BA", "o_custkey % 7")),
+        wrap("OrgnlGrpInfAndSts", el("OrgnlMsgId", msg_id), el("OrgnlMsgNmId", "'pacs.008.001.08'"), el("OrgnlCreDtTm", made),
+             el("GrpSts", pick("o_orderkey % 3", "ACCP", "RJCT", "PDNG"))),
+        wrap("TxInfAndSts", el("OrgnlEndToEndId", f"CASE WHEN o_orderkey % 6 = 0 THEN 'X' ELSE 'E' || {num} END"),
+             el("TxSts", pick("o_orderkey % 5", "ACCP", "RJCT", "PDNG", "ACSC", "ACSP")), wrap("StsRsnInf", "'<Rsn>'", el("Cd", "'AC01'"), "'</Rsn>'"),
+             el("OrgnlTxId", f"CASE WHEN o_orderkey % 12 = 0 THEN 'X' ELSE 'T' || {num} END")),
+    )
+    ns = '<Document xmlns="urn:iso:std:iso:20022:tech:xsd:pacs">'
+    t["in_messages"] = f"""
+      SELECT 'pacs008_' || {num} || '.xml' AS file_name, o_orderdate AS load_ts, '{ns}' || {transfer} || '</Document>' AS raw_xml FROM {{orders}}
+      UNION ALL SELECT 'pacs002_' || {num} || '.xml', o_orderdate, '{ns}' || {answer} || '</Document>' FROM {{orders}} WHERE o_orderkey % 10 <> 0"""
     return t
 
 

@@ -40,6 +40,7 @@ class Workspace:
         key = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:12]
         self.root = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{key}"
         self._frames: dict[str, DataFrame] = {}
+        self._paths = 0
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, marts) -> Workspace:
@@ -67,6 +68,11 @@ class Workspace:
             return self.spark.sql(text, **{n: self[n] for n in needs(sql)})
         return self.written(name, self.marts[name](self))
 
+    def path(self, name: str) -> str:
+        """A new folder in the shared area for files that a query writes itself."""
+        self._paths += 1
+        return f"{self.root}/files/{name}-{self._paths}"
+
     def written(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
