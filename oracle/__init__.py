@@ -60,4 +60,4 @@ def sql(name: str) -> str:
     return "WITH " + ",\n".join(f"{v} AS ({VIEWS[v]})" for v in order) + "\n" + text
 
 
-from oracle import bank, credit, liquidity, loans, reports, staff, trades  # noqa: E402,F401
+from oracle import bank, trades, liquidity, credit, loans, staff, reports  # noqa: E402,F401,I001

@@ -50,7 +50,8 @@ def export_csv(df: DataFrame, path: str, *, single_file: bool = False) -> None:
         ]
     )
     out = flat.coalesce(1) if single_file else flat
-    out.write.mode("overwrite").option("header", "true").csv(path)
+    stamp = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    out.write.mode("overwrite").options(header="true", timestampNTZFormat=stamp).csv(path)
 
 
 def run_in_order(*steps: Callable[[], object]) -> list[object]:
