@@ -58,10 +58,12 @@ def extract_flat(extracts: DataFrame, existing: DataFrame | None = None) -> Data
 
     The JSON is parsed once per row into a variant; every field then reads the parsed value.
     """
-    df = extracts.withColumn("_doc", F.try_parse_json("extracted_data"))
+    df = extracts
     if existing is not None:
         keys = ["file_name", "extraction_timestamp"]
         df = df.join(existing.select(*keys).distinct(), keys, "left_anti")
+    # a one-element explode keeps the optimizer from repeating the parse for every field
+    df = df.withColumn("_doc", F.explode(F.array(F.try_parse_json("extracted_data"))))
     doc = F.col("_doc")
     names = ["document_type", "customer_name", "employment", "property_address", "property_type", "rate_type", "country"]
     sums = {

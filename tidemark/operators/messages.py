@@ -33,7 +33,8 @@ def parse_xml(df: DataFrame, xml: str, body: str, root: str, out: str = "msg") -
     parsed = F.from_xml(c(xml), schema, options)
     flat = [part.split(":")[0].strip() for part in _top_level(body)]
     inner = F.struct(*[F.coalesce(F.col(f"_p.{root}.{x}"), F.col(f"_p.{x}")).alias(x) for x in flat])
-    return df.withColumn("_p", parsed).withColumn(out, inner).drop("_p")
+    # a one-element explode keeps the optimizer from repeating the parse for every field
+    return df.withColumn("_p", F.explode(F.array(parsed))).withColumn(out, inner).drop("_p")
 
 
 def _top_level(body: str) -> list[str]:
