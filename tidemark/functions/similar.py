@@ -4,7 +4,8 @@ Edit distance uses the pigeonhole idea of published segment-filter joins (Li, De
 "Pass-Join", PVLDB 2011): a string cut into k+1 pieces must share at least one piece unchanged
 with any string at distance <= k, and the piece can move only a little.  Both inputs are
 reduced to distinct values first; the distance is checked inside the join, so rejected candidates
-are never written or shuffled.  No pair is lost.
+are never written or shuffled.  No pair is lost.  A piece that very many names share is split over
+several tasks.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import c
+from tidemark.functions.spread import salted_join
 
 
 def _values(df: DataFrame, col, name: str) -> DataFrame:
@@ -57,12 +59,8 @@ def edit_pairs(many: DataFrame, many_col, few: DataFrame, few_col, k: int) -> Da
     """Distinct pairs (a, b, distance) with distance <= k; ``many`` is the larger list."""
     cut = _values(many, many_col, "a").select("a", F.explode(F.expr(_piece_keys("a", k))).alias("_key"))
     moved = _values(few, few_col, "b").select("b", F.explode(F.expr(_window_keys("b", k))).alias("_key"))
-    found = cut.join(
-        moved,
-        (cut["_key"] == moved["_key"])
-        & (F.abs(F.length("a") - F.length("b")) <= k)
-        & (F.levenshtein("a", "b", k) >= 0),
-    )
+    near = (F.abs(F.length("a") - F.length("b")) <= k) & (F.levenshtein("a", "b", k) >= 0)
+    found = salted_join(cut, moved, "_key", near)
     return found.select("a", "b").distinct().withColumn("distance", F.levenshtein("a", "b"))
 
 
@@ -75,4 +73,4 @@ def containment_pairs(names: DataFrame, name_col, texts: DataFrame, text_col, gr
         "transform(sequence(1, length(b) - g + 1), i -> substring(b, i, g))))))"
     )
     b = _values(texts, text_col, "b").select("b", F.explode(F.expr(grams)).alias("_key"))
-    return a.join(b, (a["_key"] == b["_key"]) & F.contains("b", "a")).select("a", "b").distinct()
+    return salted_join(a, b, "_key", F.contains("b", "a")).select("a", "b").distinct()

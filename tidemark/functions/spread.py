@@ -132,3 +132,32 @@ def quantiles(df: DataFrame, keys: list[str], value: str, named: dict[str, float
     return ends.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_name") == name, point)).alias(name) for name in named]
     )
+
+
+def salted_join(
+    left: DataFrame, right: DataFrame, key: str, cond: Column | None = None, *, share: float = 0.001, salts: int = 32
+) -> DataFrame:
+    """Inner join on ``key`` whose hot keys are split over ``salts`` tasks.
+
+    A key is hot if it holds more than ``share`` of the left rows, so there are fewer than
+    1 / share hot keys whatever the input: that is the proven bound of the broadcast.  Left rows of
+    a hot key are dealt out, right rows are repeated for every part; other keys are left alone.
+    ``cond`` is checked inside the join, before anything is written.
+    """
+    counted = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counted.agg(F.sum("_n").alias("_all"))
+    hot = (
+        counted.crossJoin(F.broadcast(total))
+        .where(F.col("_n") > F.greatest(F.col("_all") * share, F.lit(1000)))
+        .select(key, F.lit(True).alias("_hot"))
+    )
+    mine = left.join(F.broadcast(hot), key, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*left.columns), F.lit(salts))).otherwise(0).cast("int")
+    )
+    theirs = right.join(F.broadcast(hot), key, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
+    )
+    theirs = theirs.drop("_hot").withColumnsRenamed({key: "_rkey", "_salt": "_rsalt"})
+    on = (F.col(key) == F.col("_rkey")) & (F.col("_salt") == F.col("_rsalt"))
+    out = mine.drop("_hot").join(theirs, on if cond is None else on & cond)
+    return out.drop("_salt", "_rsalt", "_rkey")

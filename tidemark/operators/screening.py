@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expr import c, choose, days, flag, ladder, mean, on_date, rnd
 from tidemark.functions.similar import containment_pairs, edit_pairs
+from tidemark.functions.spread import salted_join
 
 DISTANCE_SCORE = {1: 95.0, 2: 90.0, 3: 85.0, 4: 80.0, 5: 75.0}
 
@@ -267,8 +268,10 @@ def exposed_person_matches(customers: DataFrame, exposed: DataFrame) -> DataFram
     def keep(df):
         return df.select("cf", "cl", "exposed_person_id")
 
-    same_last = keep(names.join(persons, (F.col("cl") == F.col("pl")) & (F.levenshtein("cf", "pf", 2) >= 0)))
-    same_first = keep(names.join(persons, (F.col("cf") == F.col("pf")) & (F.levenshtein("cl", "pl", 2) >= 0)))
+    near_first, near_last = F.levenshtein("cf", "pf", 2) >= 0, F.levenshtein("cl", "pl", 2) >= 0
+    # a very common family or first name is split over several tasks
+    same_last = keep(salted_join(names, persons.withColumn("cl", F.col("pl")), "cl", near_first))
+    same_first = keep(salted_join(names, persons.withColumn("cf", F.col("pf")), "cf", near_last))
     last_one = edit_pairs(names, "cl", persons, "pl", 1).where("distance = 1")
     one_each = keep(
         names.join(last_one, F.col("cl") == F.col("a")).join(

@@ -12,7 +12,6 @@ import hashlib
 import re
 import tempfile
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,12 +20,16 @@ from tidemark.plans.tables import BASE, SPARK_TABLES, needs
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
+_own_folder: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by the session; a new local one if unset."""
-    folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+    folder = spark.conf.get(CHECKPOINT_KEY, None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set(CHECKPOINT_KEY, folder)
+        app = spark.sparkContext.applicationId
+        folder = _own_folder.setdefault(app, "") or tempfile.mkdtemp(prefix="tidemark-")
+        _own_folder[app] = folder
     return folder.rstrip("/")
 
 
