@@ -38,15 +38,20 @@ def with_next(df: DataFrame, keys: list[str], ts: str, tie: list[str], out: str,
     )
 
 
-def most_frequent(df: DataFrame, keys: list[str], value: str, out: str, count_out: str | None = None) -> DataFrame:
-    """Mode per key; a tie goes to the smallest value."""
+def most_frequent(
+    df: DataFrame, keys: list[str], value: str, out: str, count_out: str | None = None, distinct_out: str | None = None
+) -> DataFrame:
+    """Mode per key, its count and the number of distinct values; a tie goes to the smallest value."""
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     best = counts.groupBy(*keys).agg(
-        F.min_by(F.struct(value, "_n"), F.struct(-F.col("_n"), F.col(value))).alias("_best")
+        F.min_by(F.struct(value, "_n"), F.struct(-F.col("_n"), F.col(value))).alias("_best"),
+        F.count(value).alias("_distinct"),
     )
     cols = [*keys, F.col(f"_best.{value}").alias(out)]
     if count_out:
         cols.append(F.col("_best._n").alias(count_out))
+    if distinct_out:
+        cols.append(F.col("_distinct").alias(distinct_out))
     return best.select(*cols)
 
 

@@ -147,7 +147,8 @@ def build_applications(
         .withColumns(
             {
                 "application_id": F.concat(F.lit("APP_"), _stem()),
-                "_name": F.upper(F.trim("customer_name")),
+                # documents without a name get a key of their own, so they do not pile up in one task
+                "_name": F.coalesce(F.upper(F.trim("customer_name")), F.concat(F.lit("\u0000"), "file_name")),
                 "_product_country": _known("country", PRODUCT_NAMES, "CHE"),
             }
         )

@@ -33,7 +33,7 @@ def hierarchy(employees: DataFrame) -> DataFrame:
             CASE WHEN e.position_level = 'CLIENT_ADVISOR' THEN e.manager_employee_id ELSE w.team_leader_id END,
             w.hierarchy_path || ' > ' || e.employee_id, w.hierarchy_path_names || ' > ' || e.full_name
           FROM {staff} e JOIN walk w ON e.manager_employee_id = w.employee_id)
-        SELECT * FROM walk
+        SELECT * FROM walk LIMIT ALL
         """,
         staff=staff,
     )

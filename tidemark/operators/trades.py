@@ -127,10 +127,10 @@ def equity_customer_activity(trades: DataFrame, *, as_of) -> DataFrame:
         ),
     )
     key = ["customer_id"]
-    for value, name in (("symbol", "unique_symbols"), ("account_id", "unique_accounts")):
-        base = base.join(trades.select(*key, value).distinct().groupBy(*key).agg(F.count(value).alias(name)), key)
+    accounts = trades.select(*key, "account_id").distinct().groupBy(*key).agg(F.count("account_id").alias("unique_accounts"))
     modes = [
-        most_frequent(trades, key, "symbol", "most_traded_symbol", "most_traded_symbol_count"),
+        accounts,
+        most_frequent(trades, key, "symbol", "most_traded_symbol", "most_traded_symbol_count", "unique_symbols"),
         most_frequent(trades, key, "market", "preferred_market"),
         most_frequent(trades, key, "order_type", "preferred_order_type"),
     ]
