@@ -296,6 +296,7 @@ VIEWS["c360"] = f"""
     f_id AS exposed_person_fuzzy_match_id, f_name AS exposed_person_fuzzy_match_name, f_cat AS exposed_person_fuzzy_category, f_level AS exposed_person_fuzzy_risk_level,
     CAST(CASE WHEN e_id IS NOT NULL THEN 100 WHEN f_id IS NOT NULL THEN CASE WHEN df = 1 AND dl = 1 THEN 95 WHEN (df = 0 AND dl = 1) OR (df = 1 AND dl = 0) THEN 90 WHEN (df = 0 AND dl = 2) OR (df = 2 AND dl = 0) THEN 85 WHEN dn <= 3 THEN greatest(70, 100 - dn * 10) ELSE 75 END END AS DOUBLE) AS exposed_person_match_accuracy_percent,
     CASE WHEN e_id IS NOT NULL THEN 'EXACT_MATCH' WHEN f_id IS NOT NULL THEN 'FUZZY_MATCH' ELSE 'NO_MATCH' END AS exposed_person_match_type,
+    CASE WHEN e_id IS NOT NULL THEN 'ACTIVE' END AS exposed_person_exact_status, CASE WHEN f_id IS NOT NULL THEN 'ACTIVE' END AS exposed_person_fuzzy_status, CAST(NULL AS VARCHAR) AS sanctions_exact_match_type, CAST(NULL AS VARCHAR) AS sanctions_exact_match_country, CAST(NULL AS VARCHAR) AS sanctions_fuzzy_match_type, CAST(NULL AS VARCHAR) AS sanctions_fuzzy_match_country,
     sid AS sanctions_match_id, sname AS sanctions_match_name, authority AS sanctions_authority, list_name AS sanctions_list, sanctions_program, sanctions_risk_score, match_type AS sanctions_match_type_detail, match_score AS sanctions_match_score,
     match_confidence AS sanctions_match_confidence, disposition_recommendation AS sanctions_disposition, alert_priority AS sanctions_alert_priority, dob_match AS sanctions_dob_match, nationality_match AS sanctions_nationality_match, match_score AS sanctions_match_accuracy_percent,
     coalesce(match_type, 'NO_MATCH') AS sanctions_match_type, CASE WHEN match_type = 'EXACT_MATCH' THEN sid END AS sanctions_exact_match_id, CASE WHEN match_type = 'EXACT_MATCH' THEN sname END AS sanctions_exact_match_name,
@@ -342,7 +343,7 @@ VIEWS["status_c8"] = f"""
     coalesce(exposed_person_exact_match_name, exposed_person_fuzzy_match_name) AS pep_match_name, coalesce(exposed_person_exact_category, exposed_person_fuzzy_category) AS pep_category,
     coalesce(exposed_person_exact_risk_level, exposed_person_fuzzy_risk_level) AS pep_risk_level, exposed_person_match_accuracy_percent AS pep_match_accuracy,
     {_conf('exposed_person_match_type', 'exposed_person_match_accuracy_percent')} AS pep_match_confidence, sanctions_match_type, {_hitc} AS has_sanctions_hit,
-    coalesce(sanctions_exact_match_name, sanctions_fuzzy_match_name) AS sanctions_match_name, sanctions_match_accuracy_percent AS sanctions_match_accuracy,
+    coalesce(sanctions_exact_match_name, sanctions_fuzzy_match_name) AS sanctions_match_name, sanctions_match_accuracy_percent AS sanctions_match_accuracy, CAST(NULL AS VARCHAR) AS sanctions_entity_type, CAST(NULL AS VARCHAR) AS sanctions_country,
     {_conf('sanctions_match_type', 'sanctions_match_accuracy_percent')} AS sanctions_match_confidence, overall_exposed_person_risk, overall_sanctions_risk, overall_risk_rating, overall_risk_score,
     CASE WHEN sanctions_match_type = 'EXACT_MATCH' THEN 'SANCTIONS_EXACT_CRITICAL' WHEN sanctions_match_type = 'FUZZY_MATCH' THEN 'SANCTIONS_FUZZY_HIGH'
       WHEN exposed_person_match_type = 'EXACT_MATCH' AND exposed_person_exact_risk_level IN ('CRITICAL','HIGH') THEN 'PEP_EXACT_HIGH' WHEN exposed_person_match_type = 'FUZZY_MATCH' AND exposed_person_fuzzy_risk_level IN ('CRITICAL','HIGH') THEN 'PEP_FUZZY_HIGH'

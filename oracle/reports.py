@@ -184,3 +184,12 @@ QUERIES["lcr_alert_page"] = "SELECT as_of_date, lcr_ratio, lcr_status, severity,
 QUERIES["lcr_monthly_page"] = "SELECT reporting_month AS report_month, trading_days, lcr_avg AS avg_lcr_ratio, lcr_min AS min_lcr_ratio, lcr_max AS max_lcr_ratio, lcr_volatility, avg_hqla_total, avg_outflow_total, breach_days AS days_below_100_pct, warning_days AS days_below_105_pct, compliant_days, breach_rate_pct, CASE WHEN breach_days = 0 THEN 'PASS' WHEN breach_days <= 3 THEN 'WARNING' ELSE 'FAIL' END AS compliance_status FROM lcrm ORDER BY 1 DESC LIMIT 12"
 QUERIES["loan_compliance_page"] = "SELECT DISTINCT application_id, customer_id, full_name, country, requested_amount, application_status, requires_sanctions_review, requires_exposed_person_review, overall_risk_rating, vulnerable_customer_flag, compliance_hold_flag, compliance_status, application_date_time FROM o14 WHERE compliance_hold_flag OR vulnerable_customer_flag OR overall_risk_rating IN ('CRITICAL','HIGH') ORDER BY CASE compliance_status WHEN 'SANCTIONS_REVIEW' THEN 1 WHEN 'PEP_REVIEW' THEN 2 WHEN 'HIGH_RISK_REVIEW' THEN 3 ELSE 4 END, application_date_time DESC, application_id, overall_risk_rating, requires_exposed_person_review LIMIT 100"
 QUERIES["loan_customer_page"] = "SELECT s.*, full_name AS customer_name, vulnerable_customer_flag, requires_sanctions_review, requires_exposed_person_review FROM o11 s LEFT JOIN once c USING (customer_id) WHERE total_applications > 0 ORDER BY total_approved_amount DESC, customer_id LIMIT 100"
+
+QUERIES["analysis_period"] = "SELECT min(value_date) AS earliest_date, max(value_date) AS latest_date, max(value_date) - 90 AS analysis_start, max(value_date) AS analysis_end FROM in_transactions"
+QUERIES["filings_by_country"] = f"SELECT c.country, count(DISTINCT s.customer_id) AS customer_count FROM scored s JOIN c360 c ON s.customer_id = c.customer_id WHERE {_ser} AND requires_immediate_review AND c.country IS NOT NULL GROUP BY 1"
+QUERIES["advisor_capacity"] = "SELECT employee_id, advisor_name, total_clients, workload_status, available_capacity, total_portfolio_value, region, country, capacity_utilization_pct, total_transactions, high_risk_clients, performance_rating, employment_status FROM advp"
+QUERIES["wealth_portfolios"] = "SELECT employee_id AS advisor_id, advisor_name, total_portfolio_value AS total_aum, total_clients AS client_count, avg_client_balance AS avg_aum_per_client, performance_rating, region FROM advp"
+QUERIES["team_report"] = f"SELECT team_leader_id, team_leader_name, region, total_advisors, active_advisors, {r('total_team_aum', 0)} AS team_aum_chf, {r('total_team_aum / nullif(CAST(total_advisors AS DOUBLE), 0)', 0)} AS avg_aum_per_advisor, total_clients, avg_clients_per_advisor, team_available_capacity, {r('team_capacity_utilization_pct', 1)} AS team_utilization_pct, high_risk_clients, avg_advisor_performance, min_advisor_performance, max_advisor_performance FROM teams"
+QUERIES["lcr_status_page"] = "SELECT as_of_date AS reporting_date, lcr_ratio, lcr_status, severity, hqla_total, outflow_total, lcr_buffer_chf, lcr_buffer_pct, l1_total, l2_capped, l2a_total, l2b_total, cap_applied, discarded_l2, outflow_retail, outflow_corp, outflow_fi FROM lcrd WHERE as_of_date = (SELECT max(as_of_date) FROM lcrd)"
+for _n, _v in (("loan_portfolio_page", "o7"), ("loan_ltv_page", "o8"), ("loan_funnel_page", "o9"), ("loan_affordability_page", "o10")):
+    QUERIES[_n] = f"SELECT * EXCLUDE (as_of_date) FROM {_v}"

@@ -55,5 +55,5 @@ QUERIES["workload_distribution"] = f"""
     CASE WHEN stddev_samp(n) < 20 THEN 'WELL_BALANCED' WHEN stddev_samp(n) < 40 THEN 'MODERATELY_BALANCED' ELSE 'IMBALANCED' END AS balance_status
   FROM emp e LEFT JOIN cur a ON a.employee_id = e.employee_id LEFT JOIN (SELECT employee_id, count(DISTINCT customer_id) AS n FROM cur GROUP BY 1) k ON k.employee_id = e.employee_id WHERE e.position_level = 'CLIENT_ADVISOR' GROUP BY 1, 2"""
 QUERIES["advisors"] = """
-  SELECT employee_id, advisor_name AS full_name, hire_date, team_leader_id AS manager_employee_id, languages_spoken, total_clients, total_portfolio_value AS total_aum, avg_client_balance, total_clients AS active_clients, 0 AS closed_clients, CAST(CASE WHEN total_clients > 0 THEN 100 ELSE 0 END AS DOUBLE) AS client_retention_rate,
+  SELECT employee_id, advisor_name AS full_name, advisor_name AS first_name, advisor_name AS family_name, CAST(NULL AS DATE) AS date_of_birth, CAST(NULL AS DOUBLE) AS total_checking_balance, CAST(NULL AS DOUBLE) AS total_savings_balance, CAST(NULL AS DOUBLE) AS total_investment_balance, hire_date, team_leader_id AS manager_employee_id, languages_spoken, total_clients, total_portfolio_value AS total_aum, avg_client_balance, total_clients AS active_clients, 0 AS closed_clients, CAST(CASE WHEN total_clients > 0 THEN 100 ELSE 0 END AS DOUBLE) AS client_retention_rate,
     total_client_accounts AS total_accounts_managed, high_risk_clients, 0 AS premium_clients, country, region, employment_status, performance_rating, CAST(NULL AS VARCHAR) AS email, CAST(NULL AS VARCHAR) AS phone, CAST(NULL AS VARCHAR) AS certifications, CAST(NULL AS VARCHAR) AS position_level, CAST(NULL AS VARCHAR) AS office_location FROM advp"""

@@ -6,7 +6,6 @@ All of them build Catalyst expressions, so they stay inside code generation.
 from __future__ import annotations
 
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,20 +134,11 @@ def tag_of(text) -> Column:
     return F.regexp_extract(c(text), r"\[(.*?)\]", 1)
 
 
-def upper_eq(a, b) -> Column:
-    return F.upper(c(a)) == F.upper(c(b))
-
-
 def distinct_list(value) -> Column:
     """Sorted, comma-separated distinct values; empty text when there are none."""
     return F.array_join(F.array_sort(F.collect_set(c(value))), ", ")
 
 
-def null_greatest(*cols) -> Column:
-    any_null = reduce(lambda a, b: a | b, [c(x).isNull() for x in cols])
-    return F.when(~any_null, F.greatest(*[c(x) for x in cols]))
-
-
 def attach_total(df: DataFrame, **totals: Column) -> DataFrame:
     """Add one-row totals to every row without a single-partition window."""
     return df.crossJoin(F.broadcast(df.agg(*[expr.alias(name) for name, expr in totals.items()])))

@@ -340,6 +340,14 @@ def customer_360(
             ),
             "sanctions_match_accuracy_percent": F.col("sanctions_match_score"),
             "sanctions_match_type": F.coalesce(kind, F.lit("NO_MATCH")),
+            # only active persons are matched; the list carries no entity type or country per match
+            "exposed_person_exact_status": F.when(exact_id.isNotNull(), "ACTIVE"),
+            "exposed_person_fuzzy_status": F.when(fuzzy_id.isNotNull(), "ACTIVE"),
+            **{
+                f"sanctions_{k}_match_{x}": F.lit(None).cast("string")
+                for k in ("exact", "fuzzy")
+                for x in ("type", "country")
+            },
             "sanctions_exact_match_id": F.when(kind == "EXACT_MATCH", sid),
             "sanctions_exact_match_name": F.when(kind == "EXACT_MATCH", F.col("sanctions_match_name")),
             "sanctions_fuzzy_match_id": F.when(near, sid),
@@ -468,6 +476,8 @@ def screening_status(view: DataFrame, *, as_of) -> DataFrame:
         "sanctions_match_type",
         is_hit.alias("has_sanctions_hit"),
         F.coalesce("sanctions_exact_match_name", "sanctions_fuzzy_match_name").alias("sanctions_match_name"),
+        F.coalesce("sanctions_exact_match_type", "sanctions_fuzzy_match_type").alias("sanctions_entity_type"),
+        F.coalesce("sanctions_exact_match_country", "sanctions_fuzzy_match_country").alias("sanctions_country"),
         F.col("sanctions_match_accuracy_percent").alias("sanctions_match_accuracy"),
         _confidence("sanctions_match_type", "sanctions_match_accuracy_percent").alias("sanctions_match_confidence"),
         "overall_exposed_person_risk",

@@ -173,6 +173,21 @@ def risk_heatmap(txns, scored, accounts, customer_view, *, top: int = 10) -> Dat
     return by_country.unionByName(by_tier).unionByName(by_kind)
 
 
+def analysis_period(txns: DataFrame, *, n_days: int = 90) -> DataFrame:
+    """First and last value date and the start of the last analysis window."""
+    return txns.agg(F.min("value_date").alias("earliest_date"), F.max("value_date").alias("latest_date")).withColumns(
+        {"analysis_start": F.date_sub("latest_date", n_days), "analysis_end": F.col("latest_date")}
+    )
+
+
+def filings_by_country(scored: DataFrame, customer_view: DataFrame) -> DataFrame:
+    """Customers with a serious alert that needs immediate review, by country."""
+    serious = _cls().isin("CRITICAL_ANOMALY", "HIGH_ANOMALY") & F.col("requires_immediate_review")
+    homes = customer_view.where(F.col("country").isNotNull()).select("customer_id", "country").distinct()
+    people = scored.where(serious).select("customer_id").distinct().join(homes, "customer_id")
+    return people.groupBy("country").agg(_n().alias("customer_count")).orderBy(F.desc("customer_count"))
+
+
 # ---- sanctions --------------------------------------------------------------------------------
 
 EMBARGOED = ("RU", "BY", "KP", "IR", "SY", "CU", "VE")
@@ -370,6 +385,34 @@ def advisor_list(performance: DataFrame) -> DataFrame:
     )
 
 
+def advisor_capacity(performance: DataFrame) -> DataFrame:
+    return performance.select(
+        "employee_id", "advisor_name", "total_clients", "workload_status", "available_capacity", "total_portfolio_value",
+        "region", "country", "capacity_utilization_pct", "total_transactions", "high_risk_clients", "performance_rating",
+        "employment_status",
+    ).orderBy(F.desc("available_capacity"))
+
+
+def wealth_portfolios(performance: DataFrame) -> DataFrame:
+    return performance.select(
+        F.col("employee_id").alias("advisor_id"), "advisor_name", F.col("total_portfolio_value").alias("total_aum"),
+        F.col("total_clients").alias("client_count"), F.col("avg_client_balance").alias("avg_aum_per_client"),
+        "performance_rating", "region",
+    ).orderBy(F.desc("total_aum"))
+
+
+def team_report(teams: DataFrame) -> DataFrame:
+    """Teams by assets, with assets per advisor."""
+    return teams.select(
+        "team_leader_id", "team_leader_name", "region", "total_advisors", "active_advisors",
+        rnd("total_team_aum", 0).alias("team_aum_chf"),
+        rnd(ratio("total_team_aum", "total_advisors"), 0).alias("avg_aum_per_advisor"), "total_clients",
+        "avg_clients_per_advisor", "team_available_capacity",
+        rnd("team_capacity_utilization_pct", 1).alias("team_utilization_pct"), "high_risk_clients",
+        "avg_advisor_performance", "min_advisor_performance", "max_advisor_performance",
+    ).orderBy(F.desc("team_aum_chf"))
+
+
 def hiring_need(workload: DataFrame) -> DataFrame:
     use = F.col("capacity_utilization_pct")
     need = F.ceil((F.col("total_clients") - F.col("advisor_count") * 150.0) / 150.0)
@@ -796,6 +839,21 @@ def compliance_summary(view: DataFrame) -> DataFrame:
 # ---- liquidity and loan pages -----------------------------------------------------------------
 
 
+def lcr_status_page(daily: DataFrame) -> DataFrame:
+    """The newest day of the liquidity ratio."""
+    return _newest(daily).select(
+        F.col("as_of_date").alias("reporting_date"), "lcr_ratio", "lcr_status", "severity", "hqla_total", "outflow_total",
+        "lcr_buffer_chf", "lcr_buffer_pct", "l1_total", "l2_capped", "l2a_total", "l2b_total", "cap_applied", "discarded_l2",
+        "outflow_retail", "outflow_corp", "outflow_fi",
+    )
+
+
+def loan_pages(report: DataFrame, order: str, *, as_of, descending: bool = True) -> DataFrame:
+    """A dated loan report of one day without its date, in display order."""
+    today = report.where(F.col("as_of_date") == on_date(as_of)).drop("as_of_date")
+    return today.orderBy(F.desc(order) if descending else F.asc(order))
+
+
 def lcr_trend_page(trend: DataFrame, *, as_of, n_days: int = 90) -> DataFrame:
     return (
         trend.where(F.col("as_of_date") >= F.date_sub(on_date(as_of), n_days))

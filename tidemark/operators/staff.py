@@ -344,7 +344,7 @@ def advisors(performance: DataFrame) -> DataFrame:
     missing = ["email", "phone", "certifications", "position_level", "office_location"]
     return performance.select(
         "employee_id",
-        F.col("advisor_name").alias("full_name"),
+        *[F.col("advisor_name").alias(x) for x in ("full_name", "first_name", "family_name")],
         "hire_date",
         F.col("team_leader_id").alias("manager_employee_id"),
         "languages_spoken",
@@ -362,6 +362,8 @@ def advisors(performance: DataFrame) -> DataFrame:
         "employment_status",
         "performance_rating",
         *[F.lit(None).cast("string").alias(x) for x in missing],
+        F.lit(None).cast("date").alias("date_of_birth"),
+        *[F.lit(None).cast("decimal(18,2)").alias(f"total_{x}_balance") for x in ("checking", "savings", "investment")],
     )
 
 

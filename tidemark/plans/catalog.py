@@ -465,6 +465,16 @@ query("deposit_page", lambda w: rp.deposit_page(lq.deposit_balances_detail(*_fun
 query("lcr_alert_page", lambda w: rp.lcr_alert_page(lq.lcr_alerts(w["lcr_daily"], lq.lcr_trend(w["lcr_daily"]))))
 query("lcr_monthly_page", lambda w: rp.lcr_monthly_page(lq.lcr_monthly_summary(w["lcr_daily"])))
 query("loan_compliance_page", lambda w: rp.loan_compliance_page(QUERIES["loan_compliance_screening"](w)))
+query("analysis_period", lambda w: rp.analysis_period(w["in_transactions"]))
+query("filings_by_country", lambda w: rp.filings_by_country(*w(SCORED, VIEW)))
+query("advisor_capacity", lambda w: rp.advisor_capacity(w["advisor_performance"]))
+query("wealth_portfolios", lambda w: rp.wealth_portfolios(w["advisor_performance"]))
+query("team_report", lambda w: rp.team_report(w["team_leader_dashboard"]))
+query("lcr_status_page", lambda w: rp.lcr_status_page(w["lcr_daily"]))
+query("loan_portfolio_page", lambda w: rp.loan_pages(w["loan_portfolio_summary"], "total_requested_amount", as_of=AS_OF))
+query("loan_ltv_page", lambda w: rp.loan_pages(w["ltv_distribution"], "ltv_bucket_sort_order", as_of=AS_OF, descending=False))
+query("loan_funnel_page", lambda w: rp.loan_pages(w["application_funnel"], "total_applications", as_of=AS_OF))
+query("loan_affordability_page", lambda w: rp.loan_pages(w["affordability_summary"], "country", as_of=AS_OF, descending=False))
 query("loan_customer_page", lambda w: rp.loan_customer_page(*w("customer_loan_summary", VIEW)))
 
 

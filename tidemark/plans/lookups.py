@@ -89,3 +89,11 @@ def application_status(spark: SparkSession) -> DataFrame:
         "display_order int"
     )
     return spark.createDataFrame(APPLICATION_STATUS, names)
+
+
+def country_regimes(spark: SparkSession) -> DataFrame:
+    names = "country_code string, currency_code string, d string, r string"
+    return spark.createDataFrame(COUNTRY_REGIMES, names).selectExpr(
+        "country_code", "currency_code", "cast(d as decimal(5,2)) affordability_limit",
+        "cast(r as decimal(5,4)) affordability_imputed_rate",
+    )
