@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+import oracle
 from tests.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+QUERIES = entry.registered()
+SQL = {name: oracle.sql(name) for name in oracle.QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +17,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry.queries())
+    assert set(SQL) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, con, name):
-    out = compare(entry.queries()[name](spark, SF), con, SQL[name])
+    out = compare(QUERIES[name](spark, SF), con, SQL[name])
     assert out in ("", "(empty)"), out
 
 
