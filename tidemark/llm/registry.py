@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import debruijn, packing, suffix_dedup, token_store
+from tidemark.llm import debruijn, packing, simhash, suffix_dedup, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         packing.op1_packing,
         debruijn.op2_debruijn_dedup,
+        simhash.op3_simhash,
         suffix_dedup.op4_suffix_dedup,
         token_store.op8_token_orc,
     )
