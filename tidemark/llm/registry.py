@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import debruijn, packing, simhash, suffix_dedup, token_store
+from tidemark.llm import ball_tree, chat, debruijn, decontamination, packing, simhash, suffix_dedup, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -15,8 +15,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         debruijn.op2_debruijn_dedup,
         simhash.op3_simhash,
         suffix_dedup.op4_suffix_dedup,
+        ball_tree.op5_top_k,
+        chat.op6_chat_format,
+        decontamination.op7_decontamination,
         token_store.op8_token_orc,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_top_k": ball_tree.OP5_SQL,
+    "op6_chat_format": chat.OP6_SQL,
+    "op7_decontamination": decontamination.OP7_SQL,
+}

@@ -90,7 +90,6 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("doc_id", (F.col("base") + F.col("at")).alias("start"), F.col("n_tokens").cast("long").alias("n_tokens"), "ids")
 
 
-@F.arrow_udf("long")
 def ids_crc32(ids: pa.Array) -> pa.Array:
     """CRC of a list of ids as unsigned little-endian 32-bit integers."""
     values, at = repeats.lists(ids)
@@ -103,4 +102,4 @@ def op8_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = folder(spark)
     write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
-    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", ids_crc32("ids").alias("ids_crc32"))
+    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.arrow_udf(ids_crc32, "long")("ids").alias("ids_crc32"))
