@@ -28,6 +28,9 @@ class Settings:
     l2: float = 1.0
     epochs: int = 3
     rows: int = 8000
+    #: Part of the sample that isn't trained on but tells where the classes part best; 0 leaves the bias as it is.
+    tuned_on: float = 0.0
+    threshold: float = 0.5
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -57,6 +60,18 @@ def train(slots: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray,
     return w[:-1].astype(np.float32), float(w[-1])
 
 
+def shift(logits: np.ndarray, labels: np.ndarray, threshold: float) -> float:
+    """What to add to the bias so that the best cut between the classes scores as threshold."""
+    order = np.argsort(logits, kind="stable")
+    logits, labels = logits[order], labels[order]
+    # errors of a cut below item i: ones under it and zeros from it on
+    errors = np.concatenate(([0], np.cumsum(labels))) + np.concatenate((np.cumsum((1 - labels)[::-1])[::-1], [0]))
+    good = np.flatnonzero(errors == errors.min())
+    spread = np.concatenate(([logits[0] - 1], logits, [logits[-1] + 1]))
+    cuts = (spread[good] + spread[good + 1]) / 2
+    return float(np.log(threshold / (1 - threshold)) - np.median(cuts))
+
+
 def is_held_out(parts: int, part: int) -> Column:
     """Whether crc32(doc_id as text) modulo parts is part; a null id counts as an empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % parts == part
@@ -88,14 +103,21 @@ def learnt(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, fea
                 )
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots, values, ys = [], [], []
+        slots: list[np.ndarray] = []
+        values: list[np.ndarray] = []
+        ys: list[int] = []
         for batch in batches:
             flat, at = repeats.lists(batch.column(batch.schema.get_field_index("slots")))
             x, _ = repeats.lists(batch.column(batch.schema.get_field_index("values")))
             slots += [flat[a:b].copy() for a, b in zip(at[:-1], at[1:], strict=True)]
             values += [x[a:b].copy() for a, b in zip(at[:-1], at[1:], strict=True)]
             ys += rolling.column(batch, "y").tolist()
-        weights, bias = train(slots, values, np.array(ys, float), how)
+        y = np.array(ys, float)
+        cut = len(y) - int(len(y) * how.tuned_on)
+        weights, bias = train(slots[:cut], values[:cut], y[:cut], how)
+        if len(set(y[cut:])) == 2:
+            logits = np.array([weights[s] @ x + bias for s, x in zip(slots[cut:], values[cut:], strict=True)])
+            bias += shift(logits, y[cut:], how.threshold)
         used = np.flatnonzero(weights)
         slot = np.append(used, -1)
         yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(np.append(weights[used], bias).astype(np.float64))], ["slot", "weight"])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ball_tree, chat, debruijn, decontamination, packing, simhash, suffix_dedup, token_store
+from tidemark.llm import ball_tree, chat, debruijn, decontamination, packing, quality, simhash, suffix_dedup, token_store, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -19,9 +19,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         chat.op6_chat_format,
         decontamination.op7_decontamination,
         token_store.op8_token_orc,
+        quality.op9_quality,
+        toxicity.op10_toxicity,
     )
 }
 
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline
+
 ORACLE_SQL: dict[str, str] = {
     "op5_top_k": ball_tree.OP5_SQL,
     "op6_chat_format": chat.OP6_SQL,

@@ -245,6 +245,7 @@ def near_copies(docs: DataFrame, similarity: float = COPY_SIMILARITY) -> DataFra
 
 def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """The rows of docs that stand for their group: the smallest id, of equal ids the smallest text CRC; equal rows once."""
+    groups = stash(groups)
     first = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "h")
     # a group is known by its component; groups of null ids only are told apart by fingerprint
     stands = groups.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("own")).agg(F.min(first).alias("first"))

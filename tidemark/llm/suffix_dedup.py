@@ -186,6 +186,21 @@ def suffix_dedup(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     return joined.select("row", kept_bytes(F.col("text"), F.col("spots"), min_bytes).alias("out")).select("row", "out.*")
 
 
+def without_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """docs with the texts that stay, and n_chars, if there is one, to match.
+
+    Cuts can fall inside a character; what is left of it goes, too.
+    """
+    out = suffix_dedup(docs, min_bytes)
+
+    def decoded(kept: pa.Array) -> pa.Array:
+        return pa.array([x.decode("utf-8", "ignore") for x in kept.to_pylist()], pa.string())
+
+    texts = out.select("row", F.when(F.col("n_removed") > 0, F.arrow_udf(decoded, "string")("kept")).otherwise(F.col("row.text")).alias("text"))
+    fresh = {"text": F.col("text"), "n_chars": F.coalesce(F.length("text").cast("long"), F.col("row").getField("n_chars"))} if "n_chars" in docs.columns else {"text": F.col("text")}
+    return texts.select(*(fresh[c].cast(docs.schema[c].dataType).alias(c) if c in fresh else F.col("row").getField(c).alias(c) for c in docs.columns))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
