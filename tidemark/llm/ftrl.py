@@ -28,8 +28,8 @@ class Settings:
     l2: float = 1.0
     epochs: int = 3
     rows: int = 8000
-    #: Part of the sample that isn't trained on but tells where the classes part best; 0 leaves the bias as it is.
-    tuned_on: float = 0.0
+    #: Parts that are scored by models of the others, to tell where the classes part best; 0 leaves the bias as it is.
+    folds: int = 0
     threshold: float = 0.5
 
 
@@ -113,11 +113,15 @@ def learnt(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, fea
             values += [x[a:b].copy() for a, b in zip(at[:-1], at[1:], strict=True)]
             ys += rolling.column(batch, "y").tolist()
         y = np.array(ys, float)
-        cut = len(y) - int(len(y) * how.tuned_on)
-        weights, bias = train(slots[:cut], values[:cut], y[:cut], how)
-        if len(set(y[cut:])) == 2:
-            logits = np.array([weights[s] @ x + bias for s, x in zip(slots[cut:], values[cut:], strict=True)])
-            bias += shift(logits, y[cut:], how.threshold)
+        weights, bias = train(slots, values, y, how)
+        if how.folds and len(set(y)) == 2:
+            logits, fold = np.zeros(len(y)), np.arange(len(y)) % how.folds
+            for f in range(how.folds):
+                rest = np.flatnonzero(fold != f)
+                w, b = train([slots[i] for i in rest], [values[i] for i in rest], y[rest], how)
+                own = np.flatnonzero(fold == f)
+                logits[own] = [w[slots[i]] @ values[i] + b for i in own]
+            bias += shift(logits, y, how.threshold)
         used = np.flatnonzero(weights)
         slot = np.append(used, -1)
         yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(np.append(weights[used], bias).astype(np.float64))], ["slot", "weight"])

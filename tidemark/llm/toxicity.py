@@ -28,7 +28,7 @@ from tidemark.llm.shared import table
 
 FOLDS, FOLD = 3, 1
 THRESHOLD = 0.7
-HOW = ftrl.Settings(alpha=0.3, l1=3.0, l2=0.1, epochs=6, rows=8000, tuned_on=0.25, threshold=THRESHOLD)
+HOW = ftrl.Settings(alpha=0.3, l1=3.0, l2=0.1, epochs=6, rows=8000, folds=3, threshold=THRESHOLD)
 BEGINNINGS = (4, 5)
 _SHIFT = np.uint64(64 - ftrl.SLOTS_LOG2)
 _FOLD = np.arange(256, dtype=np.uint8)
