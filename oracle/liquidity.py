@@ -51,7 +51,7 @@ VIEWS["lcrd"] = f"""
     CASE WHEN outflow_total = 0 THEN 'N/A' WHEN hqla_total / outflow_total * 100 >= 100 THEN 'PASS' WHEN hqla_total / outflow_total * 100 >= 95 THEN 'WARNING' ELSE 'FAIL' END AS lcr_status,
     CASE WHEN outflow_total = 0 THEN 'GRAY' WHEN hqla_total / outflow_total * 100 >= 100 THEN 'GREEN' WHEN hqla_total / outflow_total * 100 >= 95 THEN 'YELLOW' ELSE 'RED' END AS severity,
     {r('hqla_total - outflow_total')} AS lcr_buffer_chf, {r('(hqla_total - outflow_total) / nullif(outflow_total, 0) * 100')} AS lcr_buffer_pct
-  FROM (SELECT as_of_date, 'SYNTH-CH-999' AS bank_id, {', '.join(f'coalesce({x}, 0) AS {x}' for x in _keep)}, coalesce(cap_applied, FALSE) AS cap_applied, coalesce(total_accounts, 0) AS total_deposit_accounts FROM hqlac FULL JOIN outc USING (as_of_date)) q"""
+  FROM (SELECT as_of_date, 'BANK-1' AS bank_id, {', '.join(f'coalesce({x}, 0) AS {x}' for x in _keep)}, coalesce(cap_applied, FALSE) AS cap_applied, coalesce(total_accounts, 0) AS total_deposit_accounts FROM hqlac FULL JOIN outc USING (as_of_date)) q"""
 QUERIES["lcr_daily"] = "SELECT * FROM lcrd"
 _w = lambda n: f"(ORDER BY as_of_date ROWS {n - 1} PRECEDING)"
 VIEWS["lcrt"] = f"""
@@ -78,12 +78,12 @@ VIEWS["alrt"] = f"""
   SELECT as_of_date, lcr_ratio, lcr_status, severity, list_concat(list_concat(ra, mo), ca) AS all_alerts, CAST(len(ra) + len(mo) + len(ca) AS INTEGER) AS total_alert_count,
     CASE WHEN len(ra) > 0 AND ra[1].severity = 'CRITICAL' THEN 'CRITICAL' WHEN len(ra) > 0 THEN 'HIGH' WHEN len(mo) > 0 THEN 'MEDIUM' WHEN len(ca) > 0 THEN 'INFO' ELSE 'NONE' END AS highest_severity
   FROM (SELECT l.as_of_date, l.lcr_ratio, l.lcr_status, l.severity,
-    CASE WHEN l.lcr_ratio < 95 THEN {_al('CRITICAL', 'LCR_BREACH_CRITICAL', f"'LCR ratio ' || {_n2('l.lcr_ratio')} || '% is critically below 95% threshold'", 'Immediate escalation to Treasury management required')}
-      WHEN l.lcr_ratio < 100 THEN {_al('HIGH', 'LCR_BREACH', f"'LCR ratio ' || {_n2('l.lcr_ratio')} || '% is below 100% regulatory minimum'", 'Notify FINMA within 24 hours, initiate remediation plan')}
-      WHEN l.lcr_ratio < 105 AND consecutive_breaches_3d >= 2 THEN {_al('MEDIUM', 'LCR_WARNING', f"'LCR ratio ' || {_n2('l.lcr_ratio')} || '% near threshold for ' || consecutive_breaches_3d || ' days'", 'Monitor closely, consider increasing HQLA buffer')} ELSE [] END AS ra,
-    CASE WHEN abs(lcr_dod_change) > 10 THEN {_al('HIGH', 'HIGH_VOLATILITY', f"'LCR ratio changed by ' || {_n2('lcr_dod_change')} || '% in one day'", 'Investigate large HQLA or deposit movements')}
-      WHEN abs(lcr_dod_change) > 5 THEN {_al('MEDIUM', 'MODERATE_VOLATILITY', f"'LCR ratio changed by ' || {_n2('lcr_dod_change')} || '% in one day'", 'Review daily position changes')} ELSE [] END AS mo,
-    CASE WHEN cap_applied THEN {_al('INFO', 'L2_CAP_APPLIED', f"'Level 2 assets exceeded 40% cap. Discarded: CHF ' || {_n2('discarded_l2 / 1000000')} || 'M'", 'Consider increasing Level 1 holdings or reducing Level 2')} ELSE [] END AS ca
+    CASE WHEN l.lcr_ratio < 95 THEN {_al('CRITICAL', 'LCR_BREACH_CRITICAL', f"'LCR of ' || {_n2('l.lcr_ratio')} || '% lies under the critical mark of 95%'", 'Tell the head of treasury now')}
+      WHEN l.lcr_ratio < 100 THEN {_al('HIGH', 'LCR_BREACH', f"'LCR of ' || {_n2('l.lcr_ratio')} || '% lies under the required 100%'", 'Report to the supervisor within a day and start the recovery plan')}
+      WHEN l.lcr_ratio < 105 AND consecutive_breaches_3d >= 2 THEN {_al('MEDIUM', 'LCR_WARNING', f"'LCR of ' || {_n2('l.lcr_ratio')} || '% close to the minimum, days under it of the last three: ' || consecutive_breaches_3d", 'Watch daily; add liquid assets if it lasts')} ELSE [] END AS ra,
+    CASE WHEN abs(lcr_dod_change) > 10 THEN {_al('HIGH', 'HIGH_VOLATILITY', f"'LCR moved within a day by ' || {_n2('lcr_dod_change')} || ' points'", 'Find the holdings or deposits behind the move')}
+      WHEN abs(lcr_dod_change) > 5 THEN {_al('MEDIUM', 'MODERATE_VOLATILITY', f"'LCR moved within a day by ' || {_n2('lcr_dod_change')} || ' points'", 'Compare positions with the day before')} ELSE [] END AS mo,
+    CASE WHEN cap_applied THEN {_al('INFO', 'L2_CAP_APPLIED', f"'Level 2 over its share of 40%; not counted, in millions of CHF: ' || {_n2('discarded_l2 / 1000000')}", 'Hold more level 1 or less level 2 assets')} ELSE [] END AS ca
     FROM lcrd l CROSS JOIN lcrt t WHERE l.as_of_date = (SELECT max(as_of_date) FROM lcrd) AND t.as_of_date = (SELECT max(as_of_date) FROM lcrt)) q"""
 # arrays of structs are shown as text so that engines agree on their form
 QUERIES["lcr_alerts"] = "SELECT * REPLACE (array_to_string(list_transform(all_alerts, lambda x: x.severity || '/' || x.type || '/' || x.message || '/' || x.action), '; ') AS all_alerts) FROM alrt"
@@ -100,7 +100,7 @@ QUERIES["hqla_breakdown"] = f"""
   SELECT as_of_date AS reporting_date, hqla_level AS asset_level, asset_type, {d('sum(market_value_chf)')} AS market_value_chf, {r('CAST(sum(market_value_chf) AS DOUBLE) / 1000000000')} AS market_value_billions, {r(mean('haircut_pct'))} AS haircut_pct, sum(hqla_value_chf) AS hqla_value_chf,
     {r('sum(hqla_value_chf) / 1000000000')} AS hqla_value_billions, count(*) AS holdings_count, {_share('sum(hqla_value_chf)', '(SELECT hqla_total FROM lcrd WHERE as_of_date = (SELECT max(as_of_date) FROM hqla1))')} AS pct_of_total_hqla,
     CASE hqla_level WHEN 'L1' THEN 0 WHEN 'L2A' THEN 15 WHEN 'L2B' THEN 50 END AS standard_haircut_pct, CASE hqla_level WHEN 'L1' THEN 1 WHEN 'L2A' THEN 2 WHEN 'L2B' THEN 3 ELSE 4 END AS level_sort_order,
-    CASE hqla_level WHEN 'L1' THEN 'Highest Quality (No Haircut)' WHEN 'L2A' THEN 'High Quality (15% Haircut)' WHEN 'L2B' THEN 'Medium Quality (50% Haircut)' ELSE 'Unknown' END AS quality_description
+    CASE hqla_level WHEN 'L1' THEN 'Level 1, taken in full' WHEN 'L2A' THEN 'Level 2A, less 15%' WHEN 'L2B' THEN 'Level 2B, less half' ELSE 'Unknown' END AS quality_description
   FROM hqla1 WHERE as_of_date = (SELECT max(as_of_date) FROM hqla1) GROUP BY 1, 2, 3"""
 QUERIES["outflow_breakdown"] = f"""
   SELECT as_of_date AS reporting_date, counterparty_type, {d('balance_chf')} AS deposit_balance_chf, {r('CAST(balance_chf AS DOUBLE) / 1000000000')} AS deposit_balance_billions, {r('run_off_rate * 100')} AS avg_run_off_rate_pct, {r('run_off_rate * 100')} AS min_run_off_rate_pct, {r('run_off_rate * 100')} AS max_run_off_rate_pct,

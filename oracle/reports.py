@@ -10,21 +10,23 @@ _ccy = "CASE o_orderkey % 5 WHEN 0 THEN 'CHF' WHEN 1 THEN 'EUR' WHEN 2 THEN 'USD
 _min = "CASE o_orderkey % 3 WHEN 0 THEN 5 WHEN 1 THEN 20 ELSE 59 END"
 _amt = "CAST(o_totalprice AS DECIMAL(18,2))"
 _made = f"o_orderdate + INTERVAL 10 HOUR + to_minutes({_min}) + INTERVAL 30 SECOND"
+_mark = "CASE WHEN j = 0 THEN '' ELSE '-' || j END"
+_each = "FROM orders, unnest(generate_series(0, o_orderkey % 3)) AS g(j)"
 # the expected rows come from the orders themselves, not from parsing the documents
 VIEWS["p008"] = f"""
-  SELECT 'pacs008_' || {NUM} || '.xml' AS source_filename, o_orderdate AS source_load_timestamp, {DAY} || '-MSG' || {NUM} AS message_id, {_made} AS creation_datetime, 1 AS number_of_transactions, {_ccy} AS group_settlement_currency, {_amt} AS group_settlement_amount, 'CLRG' AS settlement_method,
-    CASE WHEN o_orderkey % 2 = 0 THEN 'TARGET2' ELSE 'SIC' END AS clearing_system_code, 'I' || {NUM} AS instruction_id, 'E' || {NUM} AS end_to_end_id, 'T' || {NUM} AS transaction_id, 'NORM' AS instruction_priority, 'SEPA' AS service_level_code, CAST(NULL AS VARCHAR) AS local_instrument_code, {_ccy} AS transaction_currency, {_amt} AS transaction_amount,
+  SELECT 'pacs008_' || {NUM} || '.xml' AS source_filename, o_orderdate AS source_load_timestamp, {DAY} || '-MSG' || {NUM} AS message_id, {_made} AS creation_datetime, CAST(1 + o_orderkey % 3 AS INTEGER) AS number_of_transactions, CAST(j + 1 AS INTEGER) AS transaction_index, {_ccy} AS group_settlement_currency, {_amt} AS group_settlement_amount, 'CLRG' AS settlement_method,
+    CASE WHEN o_orderkey % 2 = 0 THEN 'TARGET2' ELSE 'SIC' END AS clearing_system_code, 'I' || {NUM} || {_mark} AS instruction_id, 'E' || {NUM} || {_mark} AS end_to_end_id, 'T' || {NUM} || {_mark} AS transaction_id, 'NORM' AS instruction_priority, 'SEPA' AS service_level_code, CAST(NULL AS VARCHAR) AS local_instrument_code, {_ccy} AS transaction_currency, {_amt} AS transaction_amount,
     CAST(o_orderdate AS DATE) AS interbank_settlement_date, 'SHAR' AS charges_bearer, 'BA' || o_custkey % 7 AS instructing_agent_bic, 'BB' || o_orderkey % 7 AS instructed_agent_bic, 'BA' || o_custkey % 7 AS debtor_agent_bic, 'BB' || o_orderkey % 7 AS creditor_agent_bic, 'Debtor ' || {NUM} AS debtor_name, 'Road ' || {NUM} AS debtor_street, CAST(o_custkey AS VARCHAR) AS debtor_postal_code,
     'Town' AS debtor_city, {_c('o_custkey')} AS debtor_country, 'DI' || {NUM} AS debtor_iban, 'Creditor ' || {NUM} AS creditor_name, 'Road ' || {NUM} AS creditor_street, CAST(o_custkey AS VARCHAR) AS creditor_postal_code, 'Town' AS creditor_city, {_c('o_orderkey')} AS creditor_country, 'CI' || {NUM} AS creditor_iban, o_orderpriority AS remittance_information,
-    {_amt} >= 100000 AS is_high_value_payment, o_orderkey % 2 = 0 AS is_target2_payment, {_c('o_custkey')} || ' -> ' || {_c('o_orderkey')} AS payment_corridor, CASE WHEN o_custkey % 3 = o_orderkey % 3 THEN 'DOMESTIC' ELSE 'CROSS_BORDER' END AS payment_type_classification FROM orders"""
+    {_amt} >= 100000 AS is_high_value_payment, o_orderkey % 2 = 0 AS is_target2_payment, {_c('o_custkey')} || ' -> ' || {_c('o_orderkey')} AS payment_corridor, CASE WHEN o_custkey % 3 = o_orderkey % 3 THEN 'DOMESTIC' ELSE 'CROSS_BORDER' END AS payment_type_classification {_each}"""
 QUERIES["credit_transfers"] = f"SELECT p.* REPLACE ({d('group_settlement_amount')} AS group_settlement_amount, {d('transaction_amount')} AS transaction_amount), CAST(length(m.raw_xml) AS INTEGER) AS xml_size_bytes FROM p008 p JOIN in_messages m ON m.file_name = p.source_filename"
-_ts = "CASE o_orderkey % 5 WHEN 0 THEN 'ACCP' WHEN 1 THEN 'RJCT' WHEN 2 THEN 'PDNG' WHEN 3 THEN 'ACSC' ELSE 'ACSP' END"
+_ts = "CASE (o_orderkey + j) % 5 WHEN 0 THEN 'ACCP' WHEN 1 THEN 'RJCT' WHEN 2 THEN 'PDNG' WHEN 3 THEN 'ACSC' ELSE 'ACSP' END"
 _gs = "CASE o_orderkey % 3 WHEN 0 THEN 'ACCP' WHEN 1 THEN 'RJCT' ELSE 'PDNG' END"
 VIEWS["p002"] = f"""
   SELECT 'pacs002_' || {NUM} || '.xml' AS source_filename, o_orderdate AS source_load_timestamp, 'R' || {NUM} AS message_id, o_orderdate + INTERVAL 11 HOUR AS creation_datetime, 'BB' || o_orderkey % 7 AS instructing_agent_bic, 'BA' || o_custkey % 7 AS instructed_agent_bic, {DAY} || '-MSG' || {NUM} AS original_message_id, 'pacs.008.001.08' AS original_message_name_id,
-    {_made} AS original_creation_datetime, {_gs} AS group_status, CASE WHEN o_orderkey % 6 = 0 THEN 'X' ELSE 'E' || {NUM} END AS original_end_to_end_id, {_ts} AS transaction_status, 'AC01' AS status_reason, CAST(NULL AS VARCHAR) AS original_instruction_id, CASE WHEN o_orderkey % 12 = 0 THEN 'X' ELSE 'T' || {NUM} END AS original_transaction_id, CAST(NULL AS TIMESTAMP) AS acceptance_datetime,
-    CASE o_orderkey % 5 WHEN 0 THEN 'ACCEPTED' WHEN 1 THEN 'REJECTED' WHEN 2 THEN 'PENDING' WHEN 3 THEN 'ACCEPTED_SETTLEMENT_COMPLETED' ELSE 'ACCEPTED_SETTLEMENT_IN_PROCESS' END AS transaction_status_description, CASE o_orderkey % 3 WHEN 0 THEN 'ACCEPTED' WHEN 1 THEN 'REJECTED' ELSE 'PENDING' END AS group_status_description, o_orderkey % 5 IN (0, 3, 4) AS is_positive_response, o_orderkey % 5 = 1 AS is_rejection,
-    TRUE AS is_pacs008_response, CASE WHEN o_orderdate >= DATE '2000-01-01' THEN substr({DAY}, 1, 8) END AS original_message_date FROM orders WHERE o_orderkey % 10 <> 0"""
+    {_made} AS original_creation_datetime, {_gs} AS group_status, CAST(j + 1 AS INTEGER) AS transaction_index, CASE WHEN o_orderkey % 6 = 0 THEN 'X' ELSE 'E' || {NUM} || {_mark} END AS original_end_to_end_id, {_ts} AS transaction_status, 'AC01' AS status_reason, CAST(NULL AS VARCHAR) AS original_instruction_id, CASE WHEN o_orderkey % 12 = 0 THEN 'X' ELSE 'T' || {NUM} || {_mark} END AS original_transaction_id, CAST(NULL AS TIMESTAMP) AS acceptance_datetime,
+    CASE (o_orderkey + j) % 5 WHEN 0 THEN 'ACCEPTED' WHEN 1 THEN 'REJECTED' WHEN 2 THEN 'PENDING' WHEN 3 THEN 'ACCEPTED_SETTLEMENT_COMPLETED' ELSE 'ACCEPTED_SETTLEMENT_IN_PROCESS' END AS transaction_status_description, CASE o_orderkey % 3 WHEN 0 THEN 'ACCEPTED' WHEN 1 THEN 'REJECTED' ELSE 'PENDING' END AS group_status_description, (o_orderkey + j) % 5 IN (0, 3, 4) AS is_positive_response, (o_orderkey + j) % 5 = 1 AS is_rejection,
+    TRUE AS is_pacs008_response, CASE WHEN o_orderdate >= DATE '2000-01-01' THEN substr({DAY}, 1, 8) END AS original_message_date {_each} WHERE o_orderkey % 10 <> 0"""
 QUERIES["status_reports"] = "SELECT p.*, CAST(length(m.raw_xml) AS INTEGER) AS xml_size_bytes FROM p002 p JOIN in_messages m ON m.file_name = p.source_filename"
 QUERIES["payment_lifecycle"] = f"""
   SELECT a.message_id AS pacs008_message_id, b.original_message_id AS pacs002_original_message_id, a.end_to_end_id AS pacs008_end_to_end_id, b.original_end_to_end_id AS pacs002_original_end_to_end_id, transaction_status, transaction_status_description, group_status, group_status_description, status_reason, is_rejection, is_positive_response, transaction_currency,
@@ -87,7 +89,7 @@ QUERIES["alert_backlog"] = f"""
   SELECT count(*) AS total_open_alerts, {r(mean('age'), 1)} AS avg_age_days, max(age) AS oldest_alert_days, {', '.join(f"{_k(f'''overall_anomaly_classification = '{x}_ANOMALY' ''')} AS {x.lower()}_open" for x in ('CRITICAL', 'HIGH', 'MODERATE'))}, {_k(f'age > {_sla}')} AS sla_breach_count, {pct(_k(f'age > {_sla}'), 'count(*)')} AS sla_breach_percentage, {_ages('alerts', 'age')},
     {_k("country IN ('Sweden','Norway','Denmark','Finland')")} AS nordic_backlog, {_k("country IN ('Germany','Austria','Switzerland')")} AS central_europe_backlog, {_k("coalesce(country, '') NOT IN ('Sweden','Norway','Denmark','Finland','Germany','Austria','Switzerland')")} AS other_backlog
   FROM (SELECT s.*, country, date_diff('day', value_date, {AS_OF}) AS age FROM scored s LEFT JOIN in_accounts a ON a.account_id = s.account_id LEFT JOIN one360 c ON c.customer_id = a.customer_id WHERE {_al}) q"""
-VIEWS["heat"] = f"""SELECT t.transaction_id, t.amount, s.transaction_id IS NOT NULL AS hit, s.overall_anomaly_classification AS cls, k.country, coalesce(k.kind, 'STANDARD') AS kind FROM in_transactions t LEFT JOIN scored s ON s.transaction_id = t.transaction_id LEFT JOIN in_accounts a ON a.account_id = t.account_id
+VIEWS["heat"] = f"""SELECT t.transaction_id, t.amount, s.transaction_id IS NOT NULL AS hit, s.overall_anomaly_classification AS cls, k.country, coalesce(k.kind, 'STANDARD') AS kind FROM in_transactions t LEFT JOIN scored s ON s.transaction_id = t.transaction_id AND {_al} LEFT JOIN in_accounts a ON a.account_id = t.account_id
   LEFT JOIN (SELECT customer_id, country, CASE WHEN bool_or(exposed_person_match_type IN ('EXACT_MATCH','FUZZY_MATCH')) THEN 'PEP' WHEN any_value(risk_classification) IN ('CRITICAL','HIGH') THEN 'HIGH_RISK' ELSE 'STANDARD' END AS kind FROM c360 GROUP BY 1, 2) k ON k.customer_id = a.customer_id"""
 _rate = f"{_k('hit')} AS alert_count, count(*) AS total_transactions, {pct(_k('hit'), 'count(*)')} AS alert_rate_pct"
 QUERIES["risk_heatmap"] = f"""
@@ -108,11 +110,11 @@ QUERIES["kyc_audit_addresses"] = f"SELECT customer_id, street_address, city, sta
 _pepx, _hitx = "exposed_person_match_type IN ('EXACT_MATCH','FUZZY_MATCH')", "sanctions_match_type IN ('EXACT_MATCH','FUZZY_MATCH')"
 QUERIES["kyc_overdue"] = f"""
   SELECT count(*) AS total_customers, {_k('o <= 0')} AS kyc_current_count, {_k('o > 0')} AS kyc_overdue_count, {pct(_k('o <= 0'), 'count(*)')} AS kyc_current_percentage, {pct(_k('o > 0'), 'count(*)')} AS kyc_overdue_percentage, {_k('o BETWEEN 1 AND 30')} AS overdue_0_30_days, {_k('o BETWEEN 31 AND 90')} AS overdue_31_90_days, {_k('o BETWEEN 91 AND 180')} AS overdue_91_180_days, {_k('o > 180')} AS overdue_180_plus_days,
-    {_k('o > 0 AND sp')} AS high_risk_overdue_count, greatest(max(o), 0) AS max_days_overdue, {r(mean('CASE WHEN o > 0 THEN o END'), 1)} AS avg_days_overdue FROM (SELECT date_diff('day', onboarding_date, {AS_OF}) - CASE WHEN {_pepx} THEN 365 WHEN risk_classification IN ('CRITICAL','HIGH') THEN 730 ELSE 1095 END AS o, {_pepx} OR risk_classification IN ('CRITICAL','HIGH') AS sp FROM c360) q"""
+    {_k('o > 0 AND sp')} AS high_risk_overdue_count, greatest(max(o), 0) AS max_days_overdue, {r(mean('CASE WHEN o > 0 THEN o END'), 1)} AS avg_days_overdue FROM (SELECT date_diff('day', onboarding_date, {AS_OF}) - CASE WHEN {_pepx} THEN 365 WHEN risk_classification IN ('CRITICAL','HIGH') THEN 730 ELSE 1095 END AS o, {_pepx} OR risk_classification IN ('CRITICAL','HIGH') AS sp FROM once) q"""
 QUERIES["screening_alert_aging"] = f"""
   SELECT count(*) AS total_alerts, {_k('age > lim')} AS sla_breach_count, {pct(_k('age > lim'), 'count(*)')} AS sla_breach_percentage, {_k("kind = 'PEP_CRITICAL'")} AS pep_critical_count, {_k("kind = 'PEP_STANDARD'")} AS pep_standard_count, {_k("kind = 'SANCTIONS_HIT'")} AS sanctions_count, {_k("kind IN ('CRITICAL_RISK','HIGH_RISK')")} AS other_high_risk_count, {_ages('aging', 'age')}, max(age) AS oldest_alert_days,
     {r(mean('age'), 1)} AS avg_alert_age_days, {_k('age > 30')} AS alerts_over_30_days, {_k('age > 90')} AS alerts_over_90_days FROM (SELECT date_diff('day', onboarding_date, {AS_OF}) AS age, CASE WHEN {_pepx} AND risk_classification = 'CRITICAL' THEN 'PEP_CRITICAL' WHEN {_pepx} THEN 'PEP_STANDARD' WHEN {_hitx} THEN 'SANCTIONS_HIT' WHEN risk_classification = 'CRITICAL' THEN 'CRITICAL_RISK' WHEN risk_classification = 'HIGH' THEN 'HIGH_RISK' ELSE 'OTHER' END AS kind,
-      CASE WHEN {_pepx} AND risk_classification = 'CRITICAL' THEN 5 WHEN {_pepx} THEN 15 WHEN {_hitx} THEN 7 WHEN risk_classification = 'CRITICAL' THEN 7 ELSE 30 END AS lim FROM c360 WHERE {_pepx} OR {_hitx} OR risk_classification IN ('CRITICAL','HIGH')) q"""
+      CASE WHEN {_pepx} AND risk_classification = 'CRITICAL' THEN 5 WHEN {_pepx} THEN 15 WHEN {_hitx} THEN 7 WHEN risk_classification = 'CRITICAL' THEN 7 ELSE 30 END AS lim FROM once WHERE {_pepx} OR {_hitx} OR risk_classification IN ('CRITICAL','HIGH')) q"""
 QUERIES["advisor_list"] = f"SELECT employee_id, advisor_name, country, region, tenure_days, {r('tenure_days / 365.25', 1)} AS tenure_years, performance_rating, languages_spoken, total_clients, available_capacity, capacity_utilization_pct, workload_status, {r('total_portfolio_value', 0)} AS total_aum_chf, {r('avg_client_balance', 0)} AS avg_aum_per_client, high_risk_clients, critical_risk_clients, team_leader_name FROM advp WHERE employment_status = 'ACTIVE'"
 QUERIES["hiring_need"] = QUERIES["workload_distribution"].join(("SELECT country, region, advisor_count AS total_advisors, total_clients, avg_clients_per_advisor, available_capacity, " + r("capacity_utilization_pct", 1) + " AS avg_utilization_pct, total_capacity, used_capacity, CASE WHEN capacity_utilization_pct > 90 THEN 'URGENT_HIRING_NEEDED' WHEN capacity_utilization_pct > 80 THEN 'HIRING_RECOMMENDED' WHEN capacity_utilization_pct > 70 THEN 'MONITOR_CLOSELY' ELSE 'ADEQUATE_COVERAGE' END AS hiring_status, CAST(CASE WHEN capacity_utilization_pct > 75 THEN ceil((total_clients - advisor_count * 150) / 150) ELSE 0 END AS BIGINT) AS estimated_advisors_needed FROM (", ") w"))
 _top = "premium_clients + platinum_clients + gold_clients"
@@ -157,26 +159,27 @@ _sg = "CASE WHEN total_balance >= 10000000 THEN 'uhnw' WHEN total_balance >= 100
 QUERIES["wealth_segments"] = f"""
   SELECT count(*) AS total_clients, {d('sum(total_balance)')} AS total_aum_usd, {r(mean('total_balance'))} AS avg_aum_per_client, {r('quantile_cont(CAST(total_balance AS DOUBLE), 0.5)')} AS median_aum_per_client, {d('max(total_balance)')} AS largest_portfolio, CAST(sum(total_accounts) AS BIGINT) AS total_accounts, {r(mean('total_accounts'))} AS avg_accounts_per_client,
     {', '.join(f"{_k(f'''{_sg} = '{x}' ''')} AS {x}_clients" for x in ('uhnw', 'hnw', 'affluent', 'mass_affluent', 'retail'))}, CAST(sum(total_transactions) AS BIGINT) AS total_transactions, {_k(f'last_transaction_date >= {AS_OF} - 30')} AS active_last_30_days FROM once WHERE total_accounts > 0"""
-QUERIES["risk_distribution"] = f"SELECT overall_risk_rating, count(*) AS customer_count, {r('avg(overall_risk_score)')} AS avg_risk_score FROM c360 GROUP BY 1"
+QUERIES["risk_distribution"] = f"SELECT overall_risk_rating, count(*) AS customer_count, {r('avg(overall_risk_score)')} AS avg_risk_score FROM once GROUP BY 1"
 for _x, _n in (("exposed_person", "pep_match_summary"), ("sanctions", "sanctions_match_summary")):
-    QUERIES[_n] = f"SELECT {_x}_match_type, count(*) AS customer_count, {r(f'avg({_x}_match_accuracy_percent)')} AS avg_accuracy, {_k(f'requires_{_x}_review')} AS requires_review FROM c360 GROUP BY 1"
-QUERIES["tier_distribution"] = f"SELECT account_tier, count(*) AS customer_count, {r(mean('total_accounts'))} AS avg_total_accounts, {', '.join(f'{r(mean(x + '_accounts'))} AS avg_{x}' for x in ('checking', 'savings', 'business', 'investment'))} FROM c360 GROUP BY 1"
-QUERIES["country_distribution"] = f"SELECT country, count(*) AS customer_count, CAST(count(DISTINCT account_tier) AS INTEGER) AS tier_diversity, {r('avg(overall_risk_score)')} AS avg_risk_score FROM c360 GROUP BY 1"
-QUERIES["lifecycle_summary"] = f"SELECT lifecycle_stage, count(*) AS customer_count, {r('avg(churn_probability)')} AS avg_churn_probability, {r(mean('days_since_last_transaction'))} AS avg_days_inactive FROM c360 GROUP BY 1"
-QUERIES["high_risk_customers"] = "SELECT customer_id, full_name, country, account_tier, overall_risk_rating, overall_risk_score, exposed_person_match_type, exposed_person_match_accuracy_percent, sanctions_match_type, sanctions_match_accuracy_percent, requires_exposed_person_review, requires_sanctions_review, high_risk_customer FROM c360 WHERE high_risk_customer OR requires_exposed_person_review OR requires_sanctions_review"
-QUERIES["newest_alerts"] = f"SELECT * REPLACE ({d('amount')} AS amount, {r('median_transaction_amount', 4)} AS median_transaction_amount) FROM scored ORDER BY booking_date DESC, transaction_id LIMIT 1000"
+    QUERIES[_n] = f"SELECT {_x}_match_type, count(*) AS customer_count, {r(f'avg({_x}_match_accuracy_percent)')} AS avg_accuracy, {_k(f'requires_{_x}_review')} AS requires_review FROM once GROUP BY 1"
+QUERIES["tier_distribution"] = f"SELECT account_tier, count(*) AS customer_count, {r(mean('total_accounts'))} AS avg_total_accounts, {', '.join(f'{r(mean(x + '_accounts'))} AS avg_{x}' for x in ('checking', 'savings', 'business', 'investment'))} FROM once GROUP BY 1"
+QUERIES["country_distribution"] = f"SELECT country, count(*) AS customer_count, CAST(count(DISTINCT account_tier) AS INTEGER) AS tier_diversity, {r('avg(overall_risk_score)')} AS avg_risk_score FROM once GROUP BY 1"
+QUERIES["lifecycle_summary"] = f"SELECT lifecycle_stage, count(*) AS customer_count, {r('avg(churn_probability)')} AS avg_churn_probability, {r(mean('days_since_last_transaction'))} AS avg_days_inactive FROM once GROUP BY 1"
+QUERIES["high_risk_customers"] = "SELECT customer_id, full_name, country, account_tier, overall_risk_rating, overall_risk_score, exposed_person_match_type, exposed_person_match_accuracy_percent, sanctions_match_type, sanctions_match_accuracy_percent, requires_exposed_person_review, requires_sanctions_review, high_risk_customer FROM once WHERE high_risk_customer OR requires_exposed_person_review OR requires_sanctions_review"
+QUERIES["newest_alerts"] = f"SELECT * REPLACE ({d('amount')} AS amount, {r('median_transaction_amount', 4)} AS median_transaction_amount) FROM scored WHERE {_al} ORDER BY booking_date DESC, transaction_id LIMIT 1000"
 for _x, _n in (("exposed_person", "pep_matches"), ("sanctions", "sanctions_matches")):
     QUERIES[_n] = f"SELECT customer_id, full_name, country, {_x}_match_type, {_x}_match_accuracy_percent, requires_{_x}_review, overall_{_x}_risk FROM c360 WHERE {_x}_match_type <> 'NO_MATCH'"
-QUERIES["lending_portfolio"] = "SELECT customer_id, full_name, country, credit_score_band, risk_classification, account_tier, total_accounts FROM c360"
+QUERIES["lending_portfolio"] = "SELECT customer_id, full_name, country, credit_score_band, risk_classification, account_tier, total_accounts FROM once"
 _churn = "customer_id, first_name, family_name, account_tier, country, lifecycle_stage, churn_probability, days_since_last_transaction, last_transaction_date, email, phone"
-QUERIES["high_churn_customers"] = f"SELECT {_churn} FROM c360 WHERE churn_probability > 20"
-QUERIES["premium_at_risk"] = f"SELECT {_churn}, preferred_contact_method FROM c360 WHERE account_tier IN ('GOLD','PLATINUM') AND churn_probability > 20"
-QUERIES["dormant_customers"] = f"SELECT {_churn}, total_accounts FROM c360 WHERE days_since_last_transaction > 10 AND lifecycle_stage IN ('DORMANT','DECLINING')"
-QUERIES["revenue_at_risk"] = f"SELECT count(*) AS at_risk_customers, {_k('churn_probability > 90')} AS critical_customers, {_k('churn_probability BETWEEN 70 AND 90')} AS high_customers, {r('avg(churn_probability)')} AS avg_churn_probability FROM c360 WHERE churn_probability > 70"
-QUERIES["aml_metrics"] = f"SELECT count(*) AS total_alerts, count(DISTINCT customer_id) AS unique_customers, count(*) AS anomalous_transactions FROM scored WHERE booking_date >= {AS_OF} - INTERVAL 90 DAY"
-QUERIES["kyc_completeness"] = f"SELECT country, count(*) AS total_customers, count(email) AS email_complete, count(phone) AS phone_complete, count(employer) AS employer_complete, {pct('count(email)', 'count(*)')} AS email_pct, {pct('count(phone)', 'count(*)')} AS phone_pct FROM c360 GROUP BY 1"
-QUERIES["contact_quality"] = f"SELECT count(*) AS total_records, count(DISTINCT customer_id) AS unique_customers, {', '.join(f'count(*) - count({c}) AS missing_{x}, {pct(f'count({c})', 'count(*)')} AS {x}_completeness' for x, c in (('email', 'email'), ('phone', 'phone'), ('dob', 'date_of_birth'), ('address', 'street_address')))} FROM c360"
-QUERIES["compliance_summary"] = f"SELECT count(*) AS total_customers, {_k('high_risk_customer')} AS high_risk_count, {_k("exposed_person_match_type <> 'NO_MATCH'")} AS pep_matches, {_k("sanctions_match_type <> 'NO_MATCH'")} AS sanctions_matches, {_k('requires_exposed_person_review')} AS pep_reviews_needed, {_k('requires_sanctions_review')} AS sanctions_reviews_needed, {_k('has_anomaly')} AS anomaly_count, {r('avg(overall_risk_score)')} AS avg_risk_score FROM c360"
+QUERIES["high_churn_customers"] = f"SELECT {_churn} FROM once WHERE churn_probability > 20"
+QUERIES["premium_at_risk"] = f"SELECT {_churn}, preferred_contact_method FROM once WHERE account_tier IN ('GOLD','PLATINUM') AND churn_probability > 20"
+QUERIES["dormant_customers"] = f"SELECT {_churn}, total_accounts FROM once WHERE days_since_last_transaction > 10 AND lifecycle_stage IN ('DORMANT','DECLINING')"
+QUERIES["revenue_at_risk"] = f"SELECT count(*) AS at_risk_customers, {_k('churn_probability > 90')} AS critical_customers, {_k('churn_probability BETWEEN 70 AND 90')} AS high_customers, {r('avg(churn_probability)')} AS avg_churn_probability FROM once WHERE churn_probability > 70"
+_normal = "overall_anomaly_classification <> 'NORMAL_BEHAVIOR'"
+QUERIES["aml_metrics"] = f"SELECT {_k(_al)} AS total_alerts, count(DISTINCT CASE WHEN {_al} THEN customer_id END) AS unique_customers, {_k(_normal)} AS anomalous_transactions FROM scored WHERE booking_date >= {AS_OF} - INTERVAL 90 DAY"
+QUERIES["kyc_completeness"] = f"SELECT country, count(*) AS total_customers, count(email) AS email_complete, count(phone) AS phone_complete, count(employer) AS employer_complete, {pct('count(email)', 'count(*)')} AS email_pct, {pct('count(phone)', 'count(*)')} AS phone_pct FROM once GROUP BY 1"
+QUERIES["contact_quality"] = f"SELECT count(*) AS total_records, count(DISTINCT customer_id) AS unique_customers, {', '.join(f'count(*) - count({c}) AS missing_{x}, {pct(f'count({c})', 'count(*)')} AS {x}_completeness' for x, c in (('email', 'email'), ('phone', 'phone'), ('dob', 'date_of_birth'), ('address', 'street_address')))} FROM once"
+QUERIES["compliance_summary"] = f"SELECT count(*) AS total_customers, {_k('high_risk_customer')} AS high_risk_count, {_k("exposed_person_match_type <> 'NO_MATCH'")} AS pep_matches, {_k("sanctions_match_type <> 'NO_MATCH'")} AS sanctions_matches, {_k('requires_exposed_person_review')} AS pep_reviews_needed, {_k('requires_sanctions_review')} AS sanctions_reviews_needed, {_k('has_anomaly')} AS anomaly_count, {r('avg(overall_risk_score)')} AS avg_risk_score FROM once"
 QUERIES["lcr_trend_page"] = "SELECT * EXCLUDE (consecutive_breaches_3d, high_volatility_alert, sustained_breach_alert, critical_breach_alert) FROM lcrt WHERE as_of_date >= DATE '2001-11-04' - 90"
 QUERIES["hqla_page"] = f"SELECT asset_type, regulatory_level, {d('max(haircut_factor)')} AS haircut_factor, count(*) AS holding_count, {d('sum(market_value_chf)')} AS market_value_chf, {r('sum(weighted_value_chf)')} AS weighted_value_chf, {r(mean('market_value_chf'))} AS avg_holding_size_chf FROM hold WHERE as_of_date = (SELECT max(as_of_date) FROM hold) GROUP BY 1, 2"
 QUERIES["deposit_page"] = f"SELECT deposit_type, counterparty_type, {d('max(base_run_off_rate)')} AS base_run_off_rate, count(*) AS account_count, count(DISTINCT customer_id) AS customer_count, {d('sum(balance_chf)')} AS total_balance_chf, {r('sum(outflow_amount_chf)')} AS total_outflow_chf, {r(mean('balance_chf'))} AS avg_balance_chf, {r(f"{mean('final_run_off_rate')} * 100")} AS avg_adjusted_run_off_rate FROM dep WHERE as_of_date = (SELECT max(as_of_date) FROM dep) GROUP BY 1, 2"

@@ -35,6 +35,34 @@ def test_csv_by_name(spark, folder):
     assert (row.id, float(row.amount), row.name) == ("1", 7.5, None)
 
 
+def test_every_file_has_its_own_header(spark, folder):
+    write(folder / "in" / "a.csv", 'id,name,amount\n1,"a, b",5.5\n2,c,x\n')
+    write(folder / "in" / "b.csv", "Name, AMOUNT ,ID,more\nd,7,3,y\ne,8,4,z,beyond\n")
+    write(folder / "in" / "empty.csv", "amount,id\n")
+    got = files.load_csv(spark, str(folder / "in"), SCHEMA, by_name=True)
+    assert {(r.id, r.name, float(r.amount)) for r in got.rows.collect()} == {("1", "a, b", 5.5), ("3", "d", 7.0)}
+    assert {(r.id, r._reject_reason) for r in got.rejects.collect()} == {("2", "bad amount"), ("4", "too many fields")}
+
+
+def test_lines_beyond_the_schema_are_rejected(spark, folder):
+    write(folder / "in" / "a.csv", "id,name,day,amount\n1,a,2024-01-01,1,surplus\n2,b,2024-01-01,1\n3\n")
+    got = files.load_csv(spark, str(folder / "in"), SCHEMA)
+    assert {r.id for r in got.rows.collect()} == {"2", "3"}
+    assert [(r.id, r._reject_reason) for r in got.rejects.collect()] == [("1", "too many fields")]
+
+
+def test_odd_values(spark, folder):
+    schema = "id STRING, at TIMESTAMP, note STRING"
+    text = 'id,at,note\n1,2024-01-02T03:04:05Z,ok\n2,2024-01-02 03:04:05,"two, parts"\n3,never,x\n'
+    write(folder / "in" / "a.csv", text)
+    (folder / "in" / "b.csv").write_bytes(b"id,at,note\n4,2024-01-02T03:04:05Z,caf\xe9\n")
+    got = files.load_csv(spark, str(folder / "in"), schema)
+    rows = {r.id: r for r in got.rows.collect()}
+    assert set(rows) == {"1", "2", "4"} and rows["2"].note == "two, parts"
+    assert rows["1"].at == rows["4"].at and "caf" in rows["4"].note
+    assert [r._reject_reason for r in got.rejects.collect()] == ["bad at"]
+
+
 def test_loose_json(spark):
     df = spark.createDataFrame([("{'a': 1}",), ('{"a": 2}',), ("{oops",)], "x string")
     got = [r.v for r in df.select(F.try_variant_get(files.parse_loose_json("x"), "$.a", "int").alias("v")).collect()]
@@ -94,3 +122,16 @@ def test_stream_loads_each_file_once(spark, folder):
     run()
     assert sorted(r.id for r in ingested(spark, sink).collect()) == ["1", "3"]
     assert seen == [1, 1] and spark.read.parquet(bad).count() == 1
+
+
+def test_messages_with_several_entries(spark):
+    def entry(i):
+        return f"<CdtTrfTxInf><PmtId><EndToEndId>E{i}</EndToEndId></PmtId><IntrBkSttlmAmt Ccy='CHF'>{i}.50</IntrBkSttlmAmt></CdtTrfTxInf>"
+
+    head = "<Document><FIToFICstmrCdtTrf><GrpHdr><MsgId>M</MsgId><NbOfTxs>3</NbOfTxs></GrpHdr>"
+    docs = [("pacs008_a.xml", head + "".join(map(entry, (1, 2, 3))) + "</FIToFICstmrCdtTrf></Document>"), ("pacs008_b.xml", head + "</FIToFICstmrCdtTrf></Document>")]
+    df = spark.createDataFrame(docs, "file_name string, raw_xml string").withColumn("load_ts", F.lit("2024-01-01").cast("timestamp_ntz"))
+    got = ms.credit_transfers(df).select("source_filename", "transaction_index", "end_to_end_id", F.col("transaction_amount").cast("double")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [("pacs008_a.xml", i, f"E{i}", i + 0.5) for i in (1, 2, 3)] + [("pacs008_b.xml", None, None, None)], key=str
+    )

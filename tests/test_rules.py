@@ -2,9 +2,11 @@
 
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import minutes_crossed, months_crossed, rnd
+from tidemark.functions.spread import quantiles
 from tidemark.operators import customer as cu
 from tidemark.operators import liquidity as lq
 from tidemark.operators import loans as ln
@@ -12,6 +14,7 @@ from tidemark.operators import payments as pay
 from tidemark.operators import screening as sc
 from tidemark.operators import staff as st
 from tidemark.plans import lookups
+from tidemark.plans.catalog import registered
 
 AS_OF = "2024-06-30"
 
@@ -75,9 +78,9 @@ def test_lcr_sides_and_cap(spark):
     out = spark.createDataFrame(
         [(date(2024, 1, 1), 166.67), (date(2024, 1, 3), 10.0), (date(2024, 1, 2), 52.0)], "as_of_date date, outflow_total double"
     ).withColumns({f"outflow_{x}": F.lit(0.0) for x in ("retail", "corp", "fi")} | {"total_accounts": F.lit(1)})
-    daily = lq.lcr_daily(hqla, out)
+    daily = lq.lcr_daily(hqla, out, "B")
     assert ids(daily, "as_of_date", "lcr_status") == {date(2024, 1, 1): "PASS", date(2024, 1, 2): "WARNING", date(2024, 1, 3): "FAIL"}
-    alone = lq.lcr_daily(hqla, out.where("false"))
+    alone = lq.lcr_daily(hqla, out.where("false"), "B")
     assert {(r.lcr_ratio, r.lcr_status) for r in alone.collect()} == {(9999.99, "N/A")}
 
 
@@ -114,3 +117,48 @@ def test_hierarchy_skips_orphans(spark):
     )
     got = {r.employee_id: (r.hierarchy_level, r.team_leader_id, r.hierarchy_path) for r in st.hierarchy(df).collect()}
     assert got == {"1": (1, None, "1"), "2": (2, None, "1 > 2"), "3": (3, "2", "1 > 2 > 3"), "5": (2, None, "1 > 5")}
+
+
+def _staff(spark, rows):
+    df = spark.createDataFrame(rows, "employee_id string, manager_employee_id string, position_level string")
+    return df.withColumns(
+        {x: F.lit("n") for x in ("first_name", "family_name", "country", "region", "employment_status", "hire_date", "performance_rating")}
+    )
+
+
+def test_hierarchy_of_deep_and_cyclic_chains(spark):
+    chain = [("0", None, "SUPER_TEAM_LEADER")] + [(str(i), str(i - 1), "TEAM_LEADER") for i in range(1, 40)]
+    assert st.hierarchy(_staff(spark, chain)).agg(F.max("hierarchy_level")).first()[0] == 40
+    with pytest.raises(Exception, match="RECURSION"):
+        st.hierarchy(_staff(spark, chain), max_levels=10).collect()
+    ring = [("1", "3", "SUPER_TEAM_LEADER"), ("2", "1", "TEAM_LEADER"), ("3", "2", "TEAM_LEADER")]
+    assert {r.employee_id for r in st.hierarchy(_staff(spark, ring)).collect()} == {"1", "2", "3"}
+
+
+def test_quantiles_need_exact_values(spark):
+    df = spark.createDataFrame([(1, 1.5)], "k int, v double")
+    with pytest.raises(TypeError):
+        quantiles(df, ["k"], "v", {"m": 0.5})
+    fine = df.selectExpr("k", "cast(0.1234 as decimal(10,4)) as v")
+    assert quantiles(fine, ["k"], "v", {"m": 0.5}).first().m == 0.1234
+
+
+def test_fixed_lookups_are_the_broadcast_side(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1024")
+    try:
+        holdings = spark.range(1000).selectExpr("if(id % 2 = 0, 'CASH_SNB', 'CASH_VAULT') AS asset_type", "cast(id as decimal(18,2)) AS market_value_chf")
+        plan = lq.hqla_holdings_detail(holdings, lookups.hqla_eligibility(spark))._jdf.queryExecution().executedPlan().toString()
+        apps = spark.range(9).selectExpr("if(id % 2 = 0, 'CH_SARON_MORTGAGE', 'x') AS product_id", "id AS application_id")
+        loans = ln._with_product(apps, lookups.products(spark))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for text in (plan, loans):
+        assert "BroadcastHashJoin" in text and "BuildRight" in text and "SortMergeJoin" not in text
+
+
+def test_customers_count_once(spark):
+    got = registered()
+    sf = "/root/testdata/sf0.01"
+    total = got["compliance_summary"](spark, sf).first().total_customers
+    assert total == got["customer_risk_profile"](spark, sf).first().total_customers
+    assert total == got["customer_360"](spark, sf).select("customer_id").distinct().count()

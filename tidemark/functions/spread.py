@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
 from tidemark.functions.expr import c
 
@@ -67,14 +68,17 @@ def _decade_bucket(cents: Column) -> Column:
     return F.when(cents < 0, -(digits * 1000 + head)).otherwise(digits * 1000 + head).cast("bigint")
 
 
-def quantiles(df: DataFrame, keys: list[str], value: str, named: dict[str, float], scale: int = 2) -> DataFrame:
-    """Exact interpolated quantiles per key for a fixed-point column.
+def quantiles(df: DataFrame, keys: list[str], value: str, named: dict[str, float]) -> DataFrame:
+    """Exact interpolated quantiles per key for a decimal or integer column.
 
     Equal values are counted first (shuffled by key and value), then a small histogram per key
     finds the bucket of each wanted rank, and only those buckets are ranked.  No task ever sees
     all the values of a key, unlike a percentile aggregate.
     """
-    unit = 10**scale
+    kind = df.select(value).schema[0].dataType
+    if not isinstance(kind, (DecimalType, IntegralType)):
+        raise TypeError(f"{value} is {kind.simpleString()}; quantiles are exact for decimals and integers only")
+    unit = 10 ** (kind.scale if isinstance(kind, DecimalType) else 0)
     counted = (
         df.where(c(value).isNotNull())
         .groupBy(*keys, (c(value) * unit).cast("bigint").alias("_v"))
@@ -153,7 +157,7 @@ def salted_join(
     total = counted.agg(F.sum("_n").alias("_all"))
     hot = (
         counted.crossJoin(F.broadcast(total))
-        .where(F.col("_n") > F.greatest(F.col("_all") * share, F.lit(1000)))
+        .where(F.col("_n") > F.col("_all") * share)
         .select(key, F.lit(True).alias("_hot"))
     )
     mine = left.join(F.broadcast(hot), key, "left").withColumn(

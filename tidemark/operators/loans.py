@@ -30,8 +30,8 @@ CURRENCY_NAMES = {
     "GBP": ("UK", "United Kingdom", "GBR", "Britain"),
     "EUR": ("Germany", "DEU", "France", "FRA", "Italy", "ITA", "Spain", "ESP", "Portugal", "PRT"),
 }
-INCOME_LIMIT = {"CHE": 0.33, "GBR": 0.45, "DEU": 0.40}
-STRESS_RATE = {"CHE": "0.05", "GBR": "0.07", "DEU": "0.045"}
+# fixed values for countries without a regime of their own: limit, rate shown, rate used
+OTHER_LIMIT, OTHER_SHOWN, OTHER_USED = 0.40, "0.05", "0.045"
 
 
 def _known(country, table: dict, default: str) -> Column:
@@ -188,13 +188,16 @@ def build_collateral(flat: DataFrame, existing: DataFrame | None = None) -> Data
     return _new(df, "collateral_id", existing)
 
 
-def build_affordability(flat: DataFrame, applications: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Debt-to-income and debt-service ratios against the limit of the country."""
+def build_affordability(
+    flat: DataFrame, applications: DataFrame, regimes: DataFrame, existing: DataFrame | None = None
+) -> DataFrame:
+    """Debt-to-income and debt-service ratios against the limit of the country's regime."""
     income, debts, loan = dbl("monthly_income"), dbl(F.coalesce("existing_debts_monthly", F.lit(0))), dbl("loan_amount")
     dsti = F.try_divide(F.try_divide(loan, dbl(F.col("loan_term_years") * 12)) + debts, income)
-    home = F.col("_home")
-    stress = choose(home, STRESS_RATE, "0.05").cast("decimal(5,4)")
-    payment_rate = dbl(choose(home, {"CHE": "0.05", "GBR": "0.07"}, "0.045").cast("decimal(5,4)"))
+    own_rate = F.col("affordability_imputed_rate")
+    stress = F.coalesce(own_rate, F.lit(OTHER_SHOWN).cast("decimal(5,4)"))
+    payment_rate = dbl(F.coalesce(own_rate, F.lit(OTHER_USED).cast("decimal(5,4)")))
+    limit = F.coalesce(dbl("affordability_limit"), F.lit(OTHER_LIMIT))
     who = applications.select("application_id", "customer_id", F.col("country").alias("_home"))
     df = (
         flat.where(flag(F.col("extraction_success")) & (F.col("monthly_income") > 0) & F.col("loan_amount").isNotNull())
@@ -205,6 +208,7 @@ def build_affordability(flat: DataFrame, applications: DataFrame, existing: Data
             }
         )
         .join(who, "application_id")
+        .join(regimes.withColumnRenamed("country_code", "_home"), "_home", "left")
     )
     return _new(df, "affordability_id", existing).select(
         "affordability_id",
@@ -214,7 +218,7 @@ def build_affordability(flat: DataFrame, applications: DataFrame, existing: Data
         F.coalesce("existing_debts_monthly", F.lit(0).cast("decimal(18,2)")).alias("total_debt_obligations_monthly"),
         rnd(F.try_divide(debts, income), 3).alias("dti_ratio"),
         rnd(dsti, 3).alias("dsti_ratio"),
-        F.when(dsti <= choose(home, INCOME_LIMIT, 0.40), "PASS").otherwise("FAIL").alias("affordability_result"),
+        F.when(dsti <= limit, "PASS").otherwise("FAIL").alias("affordability_result"),
         ladder(
             [
                 (dsti > 0.45, "HIGH_DSTI_RATIO"),

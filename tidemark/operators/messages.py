@@ -48,7 +48,13 @@ def _top_level(body: str) -> list[str]:
 
 
 def _of_kind(messages: DataFrame, mark: str, root: str) -> DataFrame:
-    return messages.where(F.col("raw_xml").isNotNull() & (F.col("file_name").ilike(f"%{mark}%") | F.col("raw_xml").ilike(f"%{root}%")))
+    return messages.where(F.col("raw_xml").isNotNull() & (F.col("file_name").ilike(f"%{mark}%") | F.col("raw_xml").contains(root)))
+
+
+def _each(df: DataFrame, items: str) -> DataFrame:
+    """One row per entry t of a list, numbered from 1; a message without entries keeps one row."""
+    entries = df.select("*", F.posexplode_outer(items).alias("_at", "t"))
+    return entries.withColumn("transaction_index", F.col("_at") + 1)
 
 
 def _time(x) -> Column:
@@ -56,9 +62,9 @@ def _time(x) -> Column:
 
 
 def credit_transfers(messages: DataFrame) -> DataFrame:
-    """First transfer of every credit-transfer message as one typed row."""
+    """Every transfer of every credit-transfer message as one typed row."""
     df = parse_xml(_of_kind(messages, "pacs008", "FIToFICstmrCdtTrf"), "raw_xml", TRANSFER, "FIToFICstmrCdtTrf")
-    df = df.withColumns({"h": F.col("msg.GrpHdr"), "t": F.get("msg.CdtTrfTxInf", F.lit(0))})
+    df = _each(df, "msg.CdtTrfTxInf").withColumn("h", F.col("msg.GrpHdr"))
 
     def party(side: str, name: str) -> list[Column]:
         where = {"street": "StrtNm", "postal_code": "PstCd", "city": "TwnNm", "country": "Ctry"}
@@ -77,6 +83,7 @@ def credit_transfers(messages: DataFrame) -> DataFrame:
         F.col("h.MsgId").alias("message_id"),
         _time("h.CreDtTm").alias("creation_datetime"),
         F.col("h.NbOfTxs").try_cast("int").alias("number_of_transactions"),
+        "transaction_index",
         F.col("h.TtlIntrBkSttlmAmt._Ccy").alias("group_settlement_currency"),
         F.col("h.TtlIntrBkSttlmAmt._VALUE").try_cast("decimal(28,2)").alias("group_settlement_amount"),
         F.col("h.SttlmInf.SttlmMtd").alias("settlement_method"),
@@ -113,11 +120,9 @@ TX_STATUS = {**GROUP_STATUS, "ACSC": "ACCEPTED_SETTLEMENT_COMPLETED", "ACSP": "A
 
 
 def status_reports(messages: DataFrame) -> DataFrame:
-    """First transaction status of every status report as one typed row."""
+    """Every transaction status of every status report as one typed row."""
     df = parse_xml(_of_kind(messages, "pacs002", "FIToFIPmtStsRpt"), "raw_xml", STATUS, "FIToFIPmtStsRpt")
-    df = df.withColumns(
-        {"h": F.col("msg.GrpHdr"), "o": F.col("msg.OrgnlGrpInfAndSts"), "t": F.get("msg.TxInfAndSts", F.lit(0))}
-    )
+    df = _each(df, "msg.TxInfAndSts").withColumns({"h": F.col("msg.GrpHdr"), "o": F.col("msg.OrgnlGrpInfAndSts")})
     tx, group, original = F.col("t.TxSts"), F.col("o.GrpSts"), F.col("o.OrgnlMsgId")
     return df.select(
         F.col("file_name").alias("source_filename"),
@@ -130,6 +135,7 @@ def status_reports(messages: DataFrame) -> DataFrame:
         F.col("o.OrgnlMsgNmId").alias("original_message_name_id"),
         _time("o.OrgnlCreDtTm").alias("original_creation_datetime"),
         group.alias("group_status"),
+        "transaction_index",
         F.col("t.OrgnlEndToEndId").alias("original_end_to_end_id"),
         tx.alias("transaction_status"),
         F.coalesce("t.StsRsnInf.Rsn.Cd", "t.StsRsnInf.AddtlInf").alias("status_reason"),
@@ -147,7 +153,7 @@ def status_reports(messages: DataFrame) -> DataFrame:
 
 
 def payment_lifecycle(transfers: DataFrame, reports: DataFrame) -> DataFrame:
-    """Each transfer with the reports that answer it: a hash join on the message id."""
+    """Each transfer with the statuses that answer it: a hash join on the message id."""
     r = reports.select(
         "original_message_id", "original_end_to_end_id", "original_transaction_id", "transaction_status",
         "transaction_status_description", "group_status", "group_status_description", "status_reason", "is_rejection",

@@ -129,7 +129,7 @@ def _aging(prefix: str, age: str = "age") -> list[Column]:
 
 def risk_heatmap(txns, scored, accounts, customer_view, *, top: int = 10) -> DataFrame:
     """Alert rate by country, by amount tier and by kind of customer."""
-    hit = scored.select("transaction_id", "overall_anomaly_classification", F.lit(True).alias("_hit"))
+    hit = scored.where(_cls().isin(*ALERTS)).select("transaction_id", "overall_anomaly_classification", F.lit(True).alias("_hit"))
     kinds = one_per_customer(customer_view).select(
         "customer_id",
         "country",
@@ -686,7 +686,10 @@ def wealth_segments(customer_view: DataFrame, *, as_of) -> DataFrame:
 
 
 def group_counts(df: DataFrame, key: str, order: Column | None = None, **aggs: Column) -> DataFrame:
-    """Rows per key with further aggregates: the group-by tiles of a dashboard."""
+    """Rows per key with further aggregates: the group-by tiles of a dashboard.
+
+    This and the reports below count rows as customers, so they take the view with one row per customer.
+    """
     out = df.groupBy(key).agg(_n().alias("customer_count"), *[v.alias(k) for k, v in aggs.items()])
     return out if order is None else out.orderBy(order)
 
@@ -745,7 +748,7 @@ def high_risk_customers(view: DataFrame) -> DataFrame:
 
 
 def newest_alerts(scored: DataFrame, *, limit: int = 1000) -> DataFrame:
-    return scored.orderBy(F.desc("booking_date"), "transaction_id").limit(limit)
+    return scored.where(_cls().isin(*ALERTS)).orderBy(F.desc("booking_date"), "transaction_id").limit(limit)
 
 
 def match_list(view: DataFrame, kind: str) -> DataFrame:
@@ -797,10 +800,11 @@ def revenue_at_risk(view: DataFrame, *, above_pct: float = 70) -> DataFrame:
 
 def aml_metrics(scored: DataFrame, *, as_of, n_days: int = 90) -> DataFrame:
     recent = scored.where(F.col("booking_date") >= F.date_sub(on_date(as_of), n_days).cast("timestamp_ntz"))
+    alert = _cls().isin(*ALERTS)
     return recent.agg(
-        _n().alias("total_alerts"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        _n().alias("anomalous_transactions"),
+        F.count_if(alert).alias("total_alerts"),
+        F.countDistinct(F.when(alert, F.col("customer_id"))).alias("unique_customers"),
+        F.count_if(_cls() != "NORMAL_BEHAVIOR").alias("anomalous_transactions"),
     )
 
 

@@ -16,23 +16,28 @@ def _name(prefix: str = ""):
     return F.concat_ws(" ", f"{prefix}first_name", f"{prefix}family_name")
 
 
-def hierarchy(employees: DataFrame) -> DataFrame:
-    """Everyone under a top leader, with level and paths, by a recursive query."""
+def hierarchy(employees: DataFrame, max_levels: int = 100) -> DataFrame:
+    """Everyone under a top leader, with level and paths, by a recursive query.
+
+    Nobody is visited twice on a path, so a cyclic chain ends. A chain of more than ``max_levels`` levels is an error
+    of the query, never a shorter result.
+    """
     staff = employees.select(
         "employee_id", "first_name", "family_name", "position_level", "manager_employee_id", "country", "region",
         "employment_status", "hire_date", "performance_rating", _name().alias("full_name"),
     )
     walked = employees.sparkSession.sql(
-        """
-        WITH RECURSIVE walk MAX RECURSION LEVEL 100 AS (
+        f"""
+        WITH RECURSIVE walk MAX RECURSION LEVEL {int(max_levels)} AS (
           SELECT employee_id, 1 AS hierarchy_level, employee_id AS root_super_leader_id,
             CAST(NULL AS STRING) AS team_leader_id, employee_id AS hierarchy_path, full_name AS hierarchy_path_names
-          FROM {staff} WHERE position_level = 'SUPER_TEAM_LEADER'
+          FROM {{staff}} WHERE position_level = 'SUPER_TEAM_LEADER'
           UNION ALL
           SELECT e.employee_id, w.hierarchy_level + 1, w.root_super_leader_id,
             CASE WHEN e.position_level = 'CLIENT_ADVISOR' THEN e.manager_employee_id ELSE w.team_leader_id END,
             w.hierarchy_path || ' > ' || e.employee_id, w.hierarchy_path_names || ' > ' || e.full_name
-          FROM {staff} e JOIN walk w ON e.manager_employee_id = w.employee_id)
+          FROM {{staff}} e JOIN walk w ON e.manager_employee_id = w.employee_id
+            AND NOT contains(' > ' || w.hierarchy_path || ' > ', ' > ' || e.employee_id || ' > '))
         SELECT * FROM walk LIMIT ALL
         """,
         staff=staff,

@@ -172,7 +172,7 @@ mart("lcr_hqla", lambda w: lq.lcr_hqla(*_assets(w)))
 mart("lcr_outflow", lambda w: lq.lcr_outflow(*_funding(w)))
 query("hqla_calculation", lambda w: lq.hqla_calculation(*_assets(w)))
 query("outflow_calculation", lambda w: lq.outflow_calculation(*_funding(w)))
-mart("lcr_daily", lambda w: lq.lcr_daily(lq.hqla_calculation(*_assets(w)), lq.outflow_calculation(*_funding(w))))
+mart("lcr_daily", lambda w: lq.lcr_daily(lq.hqla_calculation(*_assets(w)), lq.outflow_calculation(*_funding(w)), "BANK-1"))
 query("lcr_trend", lambda w: lq.lcr_trend(w["lcr_daily"]))
 query("lcr_monthly_summary", lambda w: lq.lcr_monthly_summary(w["lcr_daily"]))
 query(
@@ -262,7 +262,7 @@ query("workload_distribution", lambda w: st.workload_distribution(*w(*STAFF)))
 mart("extract_flat", lambda w: ln.extract_flat(w["in_loan_extracts"]))
 mart("build_applications", lambda w: ln.build_applications(*w("extract_flat", "customer_360"), lookups.products(w.spark)))
 mart("build_collateral", lambda w: ln.build_collateral(w["extract_flat"]))
-mart("build_affordability", lambda w: ln.build_affordability(*w("extract_flat", "build_applications")))
+mart("build_affordability", lambda w: ln.build_affordability(*w("extract_flat", "build_applications"), lookups.country_regimes(w.spark)))
 mart("build_collateral_link", lambda w: ln.build_collateral_link(*w("extract_flat", "build_applications", "build_collateral")))
 mart("loan_portfolio_summary", lambda w: ln.loan_portfolio_summary(w["build_applications"], lookups.products(w.spark), as_of=AS_OF))
 PLEDGED = ("build_applications", "build_collateral_link", "build_collateral")
@@ -285,7 +285,7 @@ query(
     lambda w: ln.current_date_view(w["affordability_summary"], ["country", "affordability_result"], as_of=AS_OF),
 )
 query("loan_compliance_screening", lambda w: ln.loan_compliance_screening(*w("build_applications", "customer_360")))
-query("loan_eligibility", lambda w: ln.loan_eligibility(w["customer_360"], as_of=AS_OF))
+query("loan_eligibility", lambda w: ln.loan_eligibility(w["customers_once"], as_of=AS_OF))
 query("loan_compliance_status", lambda w: ln.loan_compliance_status(*w("customer_360", "customer_screening"), as_of=AS_OF))
 TEXT_FIELDS = {
     "email": "([A-Za-z0-9._]+@[A-Za-z0-9]+[.][A-Za-z.]+)",
@@ -414,6 +414,7 @@ query("customer_completeness", lambda w: qu.customer_completeness(w["customer_cu
 
 # ---- reports ------------------------------------------------------------------------------------
 VIEW, SCORED, PERF = "customer_360", "transaction_anomalies", "portfolio_performance"
+ONCE = "customers_once"  # the view with the strongest match of each customer
 query("quarterly_alerts", lambda w: rp.quarterly_alerts(*w("in_transactions", SCORED, VIEW)))
 query("alert_backlog", lambda w: rp.alert_backlog(*w(SCORED, "in_accounts", VIEW), as_of=AS_OF))
 query("risk_heatmap", lambda w: rp.risk_heatmap(*w("in_transactions", SCORED, "in_accounts", VIEW)))
@@ -431,8 +432,8 @@ for _part in ("profile", "risk_versions", "addresses"):
             w[VIEW], QUERIES["customer_history"](w), QUERIES["addresses_history"](w), "7", as_of=AS_OF
         )[p],
     )
-query("kyc_overdue", lambda w: rp.kyc_overdue(w[VIEW], as_of=AS_OF))
-query("screening_alert_aging", lambda w: rp.screening_alert_aging(w[VIEW], as_of=AS_OF))
+query("kyc_overdue", lambda w: rp.kyc_overdue(w[ONCE], as_of=AS_OF))
+query("screening_alert_aging", lambda w: rp.screening_alert_aging(w[ONCE], as_of=AS_OF))
 query("advisor_list", lambda w: rp.advisor_list(w["advisor_performance"]))
 query("hiring_need", lambda w: rp.hiring_need(st.workload_distribution(*w(*STAFF))))
 query("advisor_revenue", lambda w: rp.advisor_revenue(QUERIES["portfolio_by_advisor"](w), w["advisor_performance"]))
@@ -448,15 +449,15 @@ for _name in (
     "risk_distribution", "tier_distribution", "country_distribution", "lifecycle_summary", "high_risk_customers",
     "lending_portfolio", "revenue_at_risk", "kyc_completeness", "contact_quality", "compliance_summary",
 ):
-    query(_name, lambda w, f=getattr(rp, _name): f(w[VIEW]))
-query("pep_match_summary", lambda w: rp.match_summary(w[VIEW], "exposed_person"))
-query("sanctions_match_summary", lambda w: rp.match_summary(w[VIEW], "sanctions"))
+    query(_name, lambda w, f=getattr(rp, _name): f(w[ONCE]))
+query("pep_match_summary", lambda w: rp.match_summary(w[ONCE], "exposed_person"))
+query("sanctions_match_summary", lambda w: rp.match_summary(w[ONCE], "sanctions"))
 query("pep_matches", lambda w: rp.match_list(w[VIEW], "exposed_person"))
 query("sanctions_matches", lambda w: rp.match_list(w[VIEW], "sanctions"))
 # thresholds below the defaults, because the given tables hold few inactive customers
-query("high_churn_customers", lambda w: rp.high_churn_customers(w[VIEW], above_pct=20))
-query("premium_at_risk", lambda w: rp.premium_at_risk(w[VIEW], above_pct=20))
-query("dormant_customers", lambda w: rp.dormant_customers(w[VIEW], min_days=10))
+query("high_churn_customers", lambda w: rp.high_churn_customers(w[ONCE], above_pct=20))
+query("premium_at_risk", lambda w: rp.premium_at_risk(w[ONCE], above_pct=20))
+query("dormant_customers", lambda w: rp.dormant_customers(w[ONCE], min_days=10))
 query("newest_alerts", lambda w: rounded(median_transaction_amount=4)(rp.newest_alerts(w[SCORED])))
 query("aml_metrics", lambda w: rp.aml_metrics(w[SCORED], as_of=AS_OF))
 query("lcr_trend_page", lambda w: rp.lcr_trend_page(lq.lcr_trend(w["lcr_daily"]), as_of=LAST_LIQUIDITY_DAY))

@@ -1,11 +1,12 @@
 """Small reference tables with fixed content, and how to turn them into DataFrames.
 
-The sizes are fixed here, so a join may broadcast them.
+The sizes are fixed here, so joins broadcast them: each is a local relation, whose size Spark knows, with a hint.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # fixed values: asset type, name, level, haircut %, factor, coordinate
 HQLA_ELIGIBILITY = [
@@ -62,38 +63,43 @@ COUNTRY_REGIMES = [
 ]
 
 
+def _literal(value) -> str:
+    return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else str(value)
+
+
+def _values(spark: SparkSession, rows: list[tuple], names: str, *columns: str) -> DataFrame:
+    listed = ", ".join("(" + ", ".join(map(_literal, row)) + ")" for row in rows)
+    return F.broadcast(spark.sql(f"SELECT {', '.join(columns)} FROM VALUES {listed} AS t({names})"))
+
+
 def hqla_eligibility(spark: SparkSession) -> DataFrame:
-    names = "asset_type string, asset_name string, regulatory_level string, p string, f string, snb_coordinate string"
-    return spark.createDataFrame(HQLA_ELIGIBILITY, names).selectExpr(
+    return _values(
+        spark, HQLA_ELIGIBILITY, "asset_type, asset_name, regulatory_level, p, f, snb_coordinate",
         "asset_type", "asset_name", "regulatory_level", "cast(p as decimal(5,2)) haircut_pct",
         "cast(f as decimal(5,4)) haircut_factor", "snb_coordinate", "true as is_active",
     )
 
 
 def deposit_types(spark: SparkSession) -> DataFrame:
-    names = "deposit_type string, deposit_name string, r string, allows_relationship_discount boolean, snb_coordinate string"
-    return spark.createDataFrame(DEPOSIT_TYPES, names).selectExpr(
+    return _values(
+        spark, DEPOSIT_TYPES, "deposit_type, deposit_name, r, allows_relationship_discount, snb_coordinate",
         "deposit_type", "deposit_name", "cast(r as decimal(5,4)) base_run_off_rate", "allows_relationship_discount",
         "snb_coordinate", "true as is_active",
     )
 
 
 def products(spark: SparkSession) -> DataFrame:
-    names = "product_id string, product_name string, product_type string, country string"
-    return spark.createDataFrame(PRODUCTS, names).selectExpr("*", "true as is_active")
+    return _values(spark, PRODUCTS, "product_id, product_name, product_type, country", "*", "true as is_active")
 
 
 def application_status(spark: SparkSession) -> DataFrame:
-    names = (
-        "status_code string, status_name string, status_category string, is_final boolean, requires_action boolean, "
-        "display_order int"
-    )
-    return spark.createDataFrame(APPLICATION_STATUS, names)
+    names = "status_code, status_name, status_category, is_final, requires_action, display_order"
+    return _values(spark, APPLICATION_STATUS, names, "*")
 
 
 def country_regimes(spark: SparkSession) -> DataFrame:
-    names = "country_code string, currency_code string, d string, r string"
-    return spark.createDataFrame(COUNTRY_REGIMES, names).selectExpr(
+    return _values(
+        spark, COUNTRY_REGIMES, "country_code, currency_code, d, r",
         "country_code", "currency_code", "cast(d as decimal(5,2)) affordability_limit",
         "cast(r as decimal(5,4)) affordability_imputed_rate",
     )

@@ -319,17 +319,34 @@ def tables(d) -> dict[str, str]:
     def iban(tag, prefix):
         return wrap(tag, "'<Id>'", el("IBAN", f"'{prefix}' || {num}"), "'</Id>'")
 
+    def up_to_three(entry):
+        """Messages carry one to three entries; the first has the plain number as its mark."""
+        more = [f"CASE WHEN o_orderkey % 3 >= {j} THEN {entry(j, repr(f'-{j}'))} ELSE '' END" for j in (1, 2)]
+        return [entry(0, "''"), *more]
+
+    def paid_one(j, mark):
+        return wrap(
+            "CdtTrfTxInf",
+            wrap("PmtId", el("InstrId", f"'I' || {num} || {mark}"), el("EndToEndId", f"'E' || {num} || {mark}"), el("TxId", f"'T' || {num} || {mark}")),
+            wrap("PmtTpInf", el("InstrPrty", "'NORM'"), "'<SvcLvl>'", el("Cd", "'SEPA'"), "'</SvcLvl>'"),
+            money_ccy.format("IntrBkSttlmAmt"), el("IntrBkSttlmDt", "CAST(CAST(o_orderdate AS DATE) AS STRING)"), el("ChrgBr", "'SHAR'"),
+            bic("InstgAgt", "BA", "o_custkey % 7"), bic("InstdAgt", "BB", "o_orderkey % 7"), bic("DbtrAgt", "BA", "o_custkey % 7"),
+            bic("CdtrAgt", "BB", "o_orderkey % 7"), party("Dbtr", "Debtor", here), iban("DbtrAcct", "DI"),
+            party("Cdtr", "Creditor", there), iban("CdtrAcct", "CI"), wrap("RmtInf", el("Ustrd", "o_orderpriority")),
+        )
+
+    def answered_one(j, mark):
+        return wrap(
+            "TxInfAndSts", el("OrgnlEndToEndId", f"CASE WHEN o_orderkey % 6 = 0 THEN 'X' ELSE 'E' || {num} || {mark} END"),
+            el("TxSts", pick(f"(o_orderkey + {j}) % 5", "ACCP", "RJCT", "PDNG", "ACSC", "ACSP")), wrap("StsRsnInf", "'<Rsn>'", el("Cd", "'AC01'"), "'</Rsn>'"),
+            el("OrgnlTxId", f"CASE WHEN o_orderkey % 12 = 0 THEN 'X' ELSE 'T' || {num} || {mark} END"),
+        )
+
     transfer = wrap(
         "FIToFICstmrCdtTrf",
-        wrap("GrpHdr", el("MsgId", msg_id), el("CreDtTm", made), el("NbOfTxs", "'1'"), money_ccy.format("TtlIntrBkSttlmAmt"),
+        wrap("GrpHdr", el("MsgId", msg_id), el("CreDtTm", made), el("NbOfTxs", "CAST(1 + o_orderkey % 3 AS STRING)"), money_ccy.format("TtlIntrBkSttlmAmt"),
              wrap("SttlmInf", el("SttlmMtd", "'CLRG'"), "'<ClrSys>'", el("Cd", pick("o_orderkey % 2", "TARGET2", "SIC")), "'</ClrSys>'")),
-        wrap("CdtTrfTxInf",
-             wrap("PmtId", el("InstrId", f"'I' || {num}"), el("EndToEndId", f"'E' || {num}"), el("TxId", f"'T' || {num}")),
-             wrap("PmtTpInf", el("InstrPrty", "'NORM'"), "'<SvcLvl>'", el("Cd", "'SEPA'"), "'</SvcLvl>'"),
-             money_ccy.format("IntrBkSttlmAmt"), el("IntrBkSttlmDt", "CAST(CAST(o_orderdate AS DATE) AS STRING)"), el("ChrgBr", "'SHAR'"),
-             bic("InstgAgt", "BA", "o_custkey % 7"), bic("InstdAgt", "BB", "o_orderkey % 7"), bic("DbtrAgt", "BA", "o_custkey % 7"),
-             bic("CdtrAgt", "BB", "o_orderkey % 7"), party("Dbtr", "Debtor", here), iban("DbtrAcct", "DI"),
-             party("Cdtr", "Creditor", there), iban("CdtrAcct", "CI"), wrap("RmtInf", el("Ustrd", "o_orderpriority"))),
+        *up_to_three(paid_one),
     )
     answer = wrap(
         "FIToFIPmtStsRpt",
@@ -337,9 +354,7 @@ def tables(d) -> dict[str, str]:
              bic("InstgAgt", "BB", "o_orderkey % 7"), bic("InstdAgt", "BA", "o_custkey % 7")),
         wrap("OrgnlGrpInfAndSts", el("OrgnlMsgId", msg_id), el("OrgnlMsgNmId", "'pacs.008.001.08'"), el("OrgnlCreDtTm", made),
              el("GrpSts", pick("o_orderkey % 3", "ACCP", "RJCT", "PDNG"))),
-        wrap("TxInfAndSts", el("OrgnlEndToEndId", f"CASE WHEN o_orderkey % 6 = 0 THEN 'X' ELSE 'E' || {num} END"),
-             el("TxSts", pick("o_orderkey % 5", "ACCP", "RJCT", "PDNG", "ACSC", "ACSP")), wrap("StsRsnInf", "'<Rsn>'", el("Cd", "'AC01'"), "'</Rsn>'"),
-             el("OrgnlTxId", f"CASE WHEN o_orderkey % 12 = 0 THEN 'X' ELSE 'T' || {num} END")),
+        *up_to_three(answered_one),
     )
     ns = '<Document xmlns="urn:iso:std:iso:20022:tech:xsd:pacs">'
     t["in_messages"] = f"""

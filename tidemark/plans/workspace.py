@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans.tables import BASE, SPARK_TABLES, needs
+from tidemark.sources.sinks import materialize
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -24,20 +25,17 @@ _own_folder: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach, as named by the session; a new local one if unset."""
+    """Folder all executors can reach, as named by the session; only a local master may do without."""
     folder = spark.conf.get(CHECKPOINT_KEY, None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         folder = _own_folder.setdefault(app, "") or tempfile.mkdtemp(prefix="tidemark-")
         _own_folder[app] = folder
     return folder.rstrip("/")
 
 
-# tables that carry the work of most queries
-FACTS = ("orders", "lineitem", "events")
-FEW_SPLITS = 4
-
-
 class Workspace:
     _open: dict[tuple[str, str], Workspace] = {}
 
@@ -68,7 +66,7 @@ class Workspace:
 
     def _load(self, name: str) -> DataFrame:
         if name in BASE:
-            return self._spread(name, self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
+            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         if name in SPARK_TABLES:
             sql = SPARK_TABLES[name]
             text = re.sub(r"\{(\w+)\}", "\x01\\1\x02", sql).replace("{", "{{").replace("}", "}}")
@@ -76,22 +74,10 @@ class Workspace:
             return self.spark.sql(text, **{n: self[n] for n in needs(sql)})
         return self.written(name, self.marts[name](self))
 
-    def _spread(self, name: str, table: DataFrame) -> DataFrame:
-        """Deal a fact table out over the cores if it is stored in a handful of splits.
-
-        At most four splits of input are ever shuffled by this; a table of many files is read as
-        it lies, with no shuffle added.
-        """
-        if name not in FACTS or table.rdd.getNumPartitions() > FEW_SPLITS:
-            return table
-        return table.repartition(self.spark.sparkContext.defaultParallelism)
-
     def path(self, name: str) -> str:
         """A new folder in the shared area for files that a query writes itself."""
         self._paths += 1
         return f"{self.root}/files/{name}-{self._paths}"
 
     def written(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return materialize(df, f"{self.root}/{name}")

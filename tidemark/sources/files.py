@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType, Tim
 
 from tidemark.functions.expr import c
 
-FILE, REASON = "_source_file", "_reject_reason"
+FILE, REASON, EXTRA = "_source_file", "_reject_reason", "_beyond_schema"
 
 
 class Loaded(NamedTuple):
@@ -26,7 +26,8 @@ def as_struct(schema: StructType | str) -> StructType:
 
 
 def text_schema(schema: StructType) -> StructType:
-    return StructType([StructField(f.name, StringType()) for f in schema.fields])
+    """All fields as text, and what the line holds beyond them."""
+    return StructType([StructField(name, StringType()) for name in [*schema.names, EXTRA]])
 
 
 def csv_options(glob: str | None = None, header: bool = True) -> dict[str, str]:
@@ -55,7 +56,7 @@ def _typed(f: StructField) -> Column:
 
 
 def apply_schema(raw: DataFrame, schema: StructType, null_values=(), required=()) -> Loaded:
-    """Cast text columns; a row is rejected if a value does not fit or a required one is missing.
+    """Cast text columns; a row is rejected if a value does not fit or a required one is missing, or if there are too many.
 
     Short rows keep their leading values.  Works on batch and streaming frames.
     """
@@ -66,13 +67,41 @@ def apply_schema(raw: DataFrame, schema: StructType, null_values=(), required=()
     bad = [
         F.when(F.col(f.name).isNotNull() & _typed(f).isNull(), F.lit(f"bad {f.name}")) for f in schema.fields
     ] + [F.when(F.col(x).isNull(), F.lit(f"missing {x}")) for x in required]
+    if EXTRA in raw.columns:
+        bad.insert(0, F.when(F.col(EXTRA).isNotNull(), F.lit("too many fields")))
     checked = raw.withColumn(REASON, F.coalesce(*bad))
-    extra = [x for x in raw.columns if x not in {f.name for f in schema.fields}]
+    extra = [x for x in raw.columns if x not in {EXTRA, *schema.names}]
     good = checked.where(F.col(REASON).isNull())
     rows = good.select(*[_typed(f).alias(f.name) for f in schema.fields], *extra)
     return Loaded(rows, checked.where(F.col(REASON).isNotNull()))
 
 
+def _by_header(spark: SparkSession, path: str, glob: str | None, names: list[str]) -> DataFrame:
+    """Text values under the wanted names, each file read by its own first line.
+
+    The headers are a small table joined by file; only the width of the widest reaches the driver.
+    """
+    lines = spark.read.options(**({"pathGlobFilter": glob} if glob else {})).text(path)
+    first = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+    placed = lines.select(F.col("_metadata.file_path").alias(FILE), "value", first.alias("place"))
+    headers = placed.where("place.start = 0").groupBy(FILE).agg(F.min_by("value", "place").alias("header"))
+    width = headers.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 1
+    cells = [f"c{i}" for i in range(width)]
+    options = csv_options() | {"header": "false"}
+    parsed = F.from_csv("header", ", ".join(f"{x} string" for x in cells), {k: v for k, v in options.items() if k != "enforceSchema"})
+    titles = F.filter(F.array(*[F.lower(F.trim(parsed[x])) for x in cells]), lambda x: x.isNotNull())
+    text = StructType([StructField(x, StringType()) for x in [*cells, EXTRA]])
+    rows = spark.read.options(**csv_options(glob)).schema(text).csv(path)
+    rows = rows.select(F.array(*cells, EXTRA).alias("cells"), F.col("_metadata.file_path").alias(FILE))
+    rows = rows.join(headers.select(FILE, titles.alias("titles")), FILE)
+
+    def named(name: str) -> Column:
+        return F.get("cells", F.array_position("titles", F.lit(name.lower())).cast("int") - 1).alias(name)
+
+    beyond = F.filter(F.slice("cells", F.size("titles") + 1, len(cells) + 1), lambda x: x.isNotNull())
+    return rows.select(*map(named, names), F.get(beyond, F.lit(0)).alias(EXTRA), FILE)
+
+
 def load_csv(
     spark: SparkSession,
     path: str,
@@ -86,20 +115,12 @@ def load_csv(
     """CSV files with header, optional quotes, trimmed, as typed rows plus rejects.
 
     By position the declared names are used.  ``by_name`` matches header names regardless of case
-    and order; all files of one load then share one header.
+    and order, for every file by its own header.  Values beyond the schema or header reject the line.
     """
     wanted = as_struct(schema)
     reader = spark.read.options(**csv_options(glob))
     if by_name:
-        raw = reader.csv(path)
-        found = {x.lower().strip(): x for x in raw.columns}
-        raw = raw.select(
-            *[
-                (F.col(f"`{found[f.name.lower()]}`") if f.name.lower() in found else F.lit(None).cast("string")).alias(f.name)
-                for f in wanted.fields
-            ],
-            F.col("_metadata.file_path").alias(FILE),
-        )
+        raw = _by_header(spark, path, glob, wanted.names)
     else:
         raw = reader.schema(text_schema(wanted)).csv(path)
         raw = raw.select("*", F.col("_metadata.file_path").alias(FILE))

@@ -33,7 +33,7 @@ def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def append_snapshot(df: DataFrame, path: str, date_col: str) -> None:
