@@ -40,6 +40,7 @@ QUERIES["stream_ingest"] = _tx
 QUERIES["csv_load_by_name"] = "SELECT account_id, account_type, base_currency, customer_id, status FROM in_accounts"
 QUERIES["csv_load_null_tokens"] = "SELECT customer_id, street_address, city, state, zipcode, country, insert_timestamp_utc FROM in_addresses"
 QUERIES["loose_json"] = "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"
+QUERIES["ordered_load"] = "SELECT transaction_id, account_id FROM in_transactions WHERE account_id IN (SELECT account_id FROM in_accounts WHERE account_type <> 'SAVINGS')"
 QUERIES["insert_if_absent"] = "SELECT transaction_id, account_id FROM in_transactions"
 
 # ---- metrics and quality ----------------------------------------------------------------------

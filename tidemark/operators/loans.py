@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import (
-    as_date, at_most, attach_total, c, choose, days, dbl, flag, ladder, mean, on_date, pct, ratio, rnd, sum_if,
+    as_date, at_most, attach_total, c, days, dbl, flag, ladder, mean, on_date, pct, ratio, rnd, sum_if,
     years_crossed,
 )
 from tidemark.functions.spread import latest
@@ -116,7 +116,7 @@ def build_applications(
 
     ``products`` is the catalogue, so its first mortgage per country is found before the join and
     no document fans out over products.  If several customers share the name, the smallest
-    identifier is taken.
+    identifier is taken and ``customer_matches`` tells how many there are.
     """
     first_product = (
         products.where((F.col("product_type") == "MORTGAGE") & F.col("is_active"))
@@ -131,7 +131,7 @@ def build_applications(
             )
         )
         .groupBy("_name")
-        .agg(F.min("customer_id").alias("customer_id"))
+        .agg(F.min("customer_id").alias("customer_id"), F.countDistinct("customer_id").alias("_matches"))
     )
     ltv, score, dti = F.col("ltv_ratio_pct"), F.col("credit_score"), F.col("dti_ratio_pct")
     status = ladder(
@@ -160,6 +160,7 @@ def build_applications(
         .select(
             "application_id",
             "customer_id",
+            F.coalesce("_matches", F.lit(0).cast("long")).alias("customer_matches"),
             F.col("file_timestamp").alias("application_date_time"),
             F.lit("EMAIL").alias("channel"),
             _known("country", COUNTRY_NAMES, "CHE").alias("country"),

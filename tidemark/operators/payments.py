@@ -159,18 +159,30 @@ def behavioural_profile(
 
 
 def transaction_anomalies(
-    txns: DataFrame, accounts: DataFrame, *, as_of, lookback: int = 450, horizon: int = 120, min_n: int = 5
+    txns: DataFrame,
+    accounts: DataFrame,
+    *,
+    as_of,
+    lookback: int = 450,
+    horizon: int = 120,
+    min_n: int = 5,
+    profile: DataFrame | None = None,
 ) -> DataFrame:
     """Score every recent payment against its account's own behaviour.
 
     Velocity needs counts over trailing days.  They are computed on (account, day) totals, joined
     with the profile, and attached to the payments on (account, day): one wide shuffle, keyed so
-    that even an account with a third of all payments spreads over its days.
+    that even an account with a third of all payments spreads over its days.  A written
+    ``behavioural_profile`` of the same look-back may be given, which spares its scans.
     """
     recent = _since(txns, "booking_date", as_of, horizon).withColumn("_day", as_date("booking_date"))
     daily = recent.groupBy("account_id", "_day").agg(F.count(F.lit(1)).alias("_n"))
     by_day = Window.partitionBy("account_id").orderBy(day_number("_day"))
-    profile = behavioural_profile(txns, as_of=as_of, lookback=lookback, min_n=min_n, full=False)
+    if profile is None:
+        profile = behavioural_profile(txns, as_of=as_of, lookback=lookback, min_n=min_n, full=False)
+    else:
+        unused = ("q1_amount", "q3_amount", "distinct_currencies", "distinct_counterparties")
+        profile = profile.where(F.col("total_transactions") >= min_n).drop(*unused)
     owner = accounts.select("account_id", "customer_id")
     spine = (
         daily.withColumns(

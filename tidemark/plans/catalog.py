@@ -26,7 +26,7 @@ from tidemark.plans.tables import AS_OF
 from tidemark.plans.workspace import Workspace
 from tidemark.sources.files import clean, load_csv, parse_loose_json
 from tidemark.sources.schemas import LANDING, LIQUIDITY_NULLS
-from tidemark.sources.sinks import append_new, export_csv
+from tidemark.sources.sinks import append_new, export_csv, run_in_order
 from tidemark.streaming.ingest import ingest_stream, ingested
 
 # the whole order history is the look-back: the given data ends with the as-of date
@@ -84,16 +84,19 @@ mart("exposed_person_matches", lambda w: sc.exposed_person_matches(*w("customer_
 # ---- payments ---------------------------------------------------------------------------------
 query("accounts_enriched", lambda w: pay.accounts_enriched(w["in_accounts"]))
 mart("fx_enhanced", lambda w: pay.fx_enhanced(w["in_fx_rates"], as_of=AS_OF), rounded(volatility_30d=4))
-query(
+mart(
     "behavioural_profile",
-    lambda w: rounded(
+    lambda w: pay.behavioural_profile(w["in_transactions"], **WINDOW),
+    rounded(
         stddev_transaction_amount=4, q1_amount=4, median_transaction_amount=4, q3_amount=4,
         large_transaction_threshold=4, stddev_transaction_hour=6,
-    )(pay.behavioural_profile(w["in_transactions"], **WINDOW)),
+    ),
 )
 mart(
     "transaction_anomalies",
-    lambda w: pay.transaction_anomalies(*w("in_transactions", "in_accounts"), horizon=3650, **WINDOW),
+    lambda w: pay.transaction_anomalies(
+        *w("in_transactions", "in_accounts"), horizon=3650, profile=w["behavioural_profile"], **WINDOW
+    ),
     rounded(median_transaction_amount=4),
 )
 mart(
@@ -345,11 +348,25 @@ def _insert_if_absent(w):
     return w.spark.read.parquet(path)
 
 
+def _ordered_load(w):
+    """Accounts first, then the payments of accounts that have arrived."""
+    accounts, payments = w.path("ordered_accounts"), w.path("ordered_payments")
+
+    def load_payments():
+        arrived = w.spark.read.parquet(accounts).select("account_id")
+        rows = w["in_transactions"].select("transaction_id", "account_id")
+        append_new(w.spark, payments, rows.join(arrived, "account_id", "left_semi"), ["transaction_id"])
+
+    run_in_order(lambda: append_new(w.spark, accounts, w["in_accounts"].where("account_type <> 'SAVINGS'"), ["account_id"]), load_payments)
+    return w.spark.read.parquet(payments)
+
+
 query("csv_load", _csv_load)
 query("csv_load_by_name", _csv_by_name)
 query("csv_load_null_tokens", _csv_null_tokens)
 query("stream_ingest", _stream_ingest)
 query("insert_if_absent", _insert_if_absent)
+query("ordered_load", _ordered_load)
 query(
     "loose_json",
     lambda w: w["events"].select(

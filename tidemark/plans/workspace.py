@@ -36,6 +36,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+# inputs that join or bound the facts and that many queries read: each is derived once
+SHARED_INPUTS = frozenset(
+    (
+        "in_customers in_accounts in_transactions in_watch_list in_exposed_persons "
+        "in_equity_trades in_fi_trades in_cmd_trades in_hqla_holdings in_deposits"
+    ).split()
+)
+
+
 class Workspace:
     _open: dict[tuple[str, str], Workspace] = {}
 
@@ -71,7 +80,8 @@ class Workspace:
             sql = SPARK_TABLES[name]
             text = re.sub(r"\{(\w+)\}", "\x01\\1\x02", sql).replace("{", "{{").replace("}", "}}")
             text = text.replace("\x01", "{").replace("\x02", "}")
-            return self.spark.sql(text, **{n: self[n] for n in needs(sql)})
+            frame = self.spark.sql(text, **{n: self[n] for n in needs(sql)})
+            return self.written(name, frame) if name in SHARED_INPUTS else frame
         return self.written(name, self.marts[name](self))
 
     def path(self, name: str) -> str:

@@ -8,23 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import c
+from tidemark.functions.spread import latest
 
 
-def new_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``source`` whose keys are not in ``target``; repeated keys in the source come once."""
-    return source.dropDuplicates(keys).join(target.select(*keys).distinct(), keys, "left_anti")
+def new_rows(target: DataFrame, source: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """Rows of ``source`` whose keys are not in ``target``; of repeated keys the row that is last by ``order``.
 
+    Without an order the largest row by all other columns is taken, so a rerun stores the same values.
+    """
+    rest = order or [x for x in source.columns if x not in keys]
+    once = latest(source, keys, rest) if rest else source.select(*keys).distinct()
+    return once.join(target.select(*keys).distinct(), keys, "left_anti").select(*source.columns)
 
-def append_new(spark: SparkSession, path: str, source: DataFrame, keys: list[str]) -> None:
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, asked of the file system that holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def append_new(spark: SparkSession, path: str, source: DataFrame, keys: list[str], order: list[str] | None = None) -> None:
     """Insert-if-absent into a Parquet table; the first call creates it."""
-    try:
-        target = spark.read.parquet(path)
-    except Exception as exc:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(exc):
-            raise
-        source.dropDuplicates(keys).write.parquet(path)
-        return
-    new_rows(target, source, keys).write.mode("append").parquet(path)
+    target = spark.read.parquet(path) if exists(spark, path) else source.limit(0)
+    new_rows(target, source, keys, order).write.mode("append").parquet(path)
 
 
 def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
