@@ -3,14 +3,14 @@
 Edit distance uses the pigeonhole idea of published segment-filter joins (Li, Deng, Wang, Feng,
 "Pass-Join", PVLDB 2011): a string cut into k+1 pieces must share at least one piece unchanged
 with any string at distance <= k, and the piece can move only a little.  Both inputs are
-reduced to distinct values first; the distance is checked inside the join, so rejected candidates
+reduced to distinct values first; lengths, letters in use and the distance are checked inside the join, so rejected candidates
 are never written or shuffled.  No pair is lost.  A piece that very many names share is split over
 several tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import c
@@ -55,11 +55,20 @@ def _window_keys(v: str, k: int) -> str:
     return f"array_distinct(concat({long}, {short}))"
 
 
+def _letters(v: str) -> Column:
+    """Bits of the letters in use; letters may share a bit, which can only hide a difference."""
+    bit = "shiftleft(1L, pmod(ascii(x), 63))"
+    return F.expr(f"aggregate(split({v}, ''), 0L, (bits, x) -> if(x = '', bits, bits | {bit}))")
+
+
 def edit_pairs(many: DataFrame, many_col, few: DataFrame, few_col, k: int) -> DataFrame:
     """Distinct pairs (a, b, distance) with distance <= k; ``many`` is the larger list."""
-    cut = _values(many, many_col, "a").select("a", F.explode(F.expr(_piece_keys("a", k))).alias("_key"))
-    moved = _values(few, few_col, "b").select("b", F.explode(F.expr(_window_keys("b", k))).alias("_key"))
-    near = (F.abs(F.length("a") - F.length("b")) <= k) & (F.levenshtein("a", "b", k) >= 0)
+    cut = _values(many, many_col, "a").select("a", _letters("a").alias("_in_a"), F.explode(F.expr(_piece_keys("a", k))).alias("_key"))
+    moved = _values(few, few_col, "b").select("b", _letters("b").alias("_in_b"), F.explode(F.expr(_window_keys("b", k))).alias("_key"))
+    # an edit adds at most one letter to either name that the other lacks: a test of bits before the distance itself
+    both = F.col("_in_a").bitwiseAND(F.col("_in_b"))
+    alike = (F.bit_count(F.col("_in_a")) - F.bit_count(both) <= k) & (F.bit_count(F.col("_in_b")) - F.bit_count(both) <= k)
+    near = (F.abs(F.length("a") - F.length("b")) <= k) & alike & (F.levenshtein("a", "b", k) >= 0)
     found = salted_join(cut, moved, "_key", near)
     return found.select("a", "b").distinct().withColumn("distance", F.levenshtein("a", "b"))
 
