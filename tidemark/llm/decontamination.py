@@ -55,7 +55,7 @@ def _windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
 def keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    return docs.select(F.struct("*").alias("row"), doc.alias("doc"), (F.crc32(text) - (1 << 31)).cast("int").alias("h"), words(text).alias("w"))
+    return docs.select(F.struct("*").alias("row"), doc.alias("doc"), (F.crc32(text) - (1 << 31)).cast("int").alias("h"))
 
 
 def marked(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -74,7 +74,8 @@ def marked(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]
         )
     )
     texts = keyed(docs)
-    spread = texts.crossJoin(sizes).select("doc", "h", F.size("w").alias("n_words"), F.explode(every).alias("x"))
+    split = texts.select("doc", "h", words(F.col("row.text")).alias("w"))
+    spread = split.crossJoin(sizes).select("doc", "h", F.size("w").alias("n_words"), F.explode(every).alias("x"))
     met = stash(spread.select("doc", "h", "n_words", F.col("x.pos").alias("pos"), F.col("x.s").alias("s")).join(vocabulary, "s"))
     rarity = met.groupBy("s").agg(F.count("*").alias("often"))
     prefix = (
@@ -92,7 +93,9 @@ def marked(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]
     )
     same = F.filter("found", lambda c: F.slice(F.col("w"), c["at"] + 1, F.size(c["win"])) == c["win"])
     none = F.array().cast("array<struct<at:int,win:array<string>,wid:bigint>>")
-    rows = texts.join(candidates, ["doc", "h"], "left").select("row", "doc", "h", F.size("w").alias("n_words"), F.coalesce(same, none).alias("found"))
+    # the text travels to its candidates as it is and is split there
+    met_texts = texts.join(candidates, ["doc", "h"], "left").select("row", "doc", "h", "found", words(F.col("row.text")).alias("w"))
+    rows = met_texts.select("row", "doc", "h", F.size("w").alias("n_words"), F.coalesce(same, none).alias("found"))
     ordered = F.array_sort(F.transform("found", lambda c: F.struct(c["at"].alias("lo"), (c["at"] + F.size(c["win"])).alias("hi"))))
     union = F.aggregate(
         ordered,
