@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import repeats, rolling
+from tidemark.llm import rolling
 from tidemark.llm.components import components
 from tidemark.llm.shared import stash, table
 
@@ -37,26 +37,31 @@ SEED = 42
 _CHUNK = 1 << 15
 
 
-def _bits_of(text: bytes, shingle: int, bits: int) -> np.ndarray:
-    """The fingerprint of one text as bits / 8 bytes, highest bit first."""
+def _bits_of(text: bytes, shingle: int, bits: int, distinct: bool) -> np.ndarray:
+    """The fingerprint of one text as bits / 8 bytes, highest bit first; distinct: each shingle counts once."""
     words = text.lower().split()  # bytes: A-Z only, and white space is 0x20 and 0x09-0x0D
-    total = max(len(words) - shingle + 1, 1) if words else 0
+    if len(words) >= shingle:
+        grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
+    else:
+        grams = iter([b" ".join(words)] if words else [])
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), np.uint64)
+    if distinct:
+        hashes = np.unique(hashes)
+    total = len(hashes)
     counts = np.zeros(bits, np.int64)
     for at in range(0, total, _CHUNK):
-        part = words[at : min(at + _CHUNK, total) + shingle - 1]
-        grams = map(b" ".join, zip(*(part[i:] for i in range(shingle)), strict=False)) if len(words) >= shingle else [b" ".join(words)]
-        h = np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), np.uint64)
+        h = hashes[at : at + _CHUNK]
         wide = [h] + [rolling.mix(h + np.uint64(i * 0x9E3779B97F4A7C15 % (1 << 64))) for i in range(1, bits // 64)]
         raw = np.stack(wide, axis=1).astype("<u8").view(np.uint8)
         counts += np.unpackbits(raw, axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
     return np.packbits((2 * counts > total)[::-1])
 
 
-def fingerprints(shingle: int, bits: int) -> Callable:
+def fingerprints(shingle: int, bits: int, distinct: bool) -> Callable:
     @F.arrow_udf("binary")
     def fingerprint(texts: pa.Array) -> pa.Array:
         rows = texts.cast(pa.binary())
-        return pa.array([_bits_of(t.as_py() or b"", shingle, bits).tobytes() for t in rows], pa.binary())
+        return pa.array([_bits_of(t.as_py() or b"", shingle, bits, distinct).tobytes() for t in rows], pa.binary())
 
     return fingerprint
 
@@ -199,6 +204,7 @@ def simhash_components(
     distance: int = DISTANCE,
     blocks: int = BLOCKS,
     agree: int = AGREE,
+    distinct: bool = False,
 ) -> DataFrame:
     """doc_id, h (of the text, see repeats), fp, component_id of every row of docs."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -206,7 +212,7 @@ def simhash_components(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             (F.crc32(text) - (1 << 31)).cast("int").alias("h"),
-            fingerprints(shingle, bits)(text).alias("fp"),
+            fingerprints(shingle, bits, distinct)(text).alias("fp"),
         )
     )
     prints = stash(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
@@ -234,13 +240,13 @@ def distance_of(similarity: float, bits: int) -> int:
 
 
 def near_copies(docs: DataFrame, similarity: float = COPY_SIMILARITY) -> DataFrame:
-    """doc_id, h, component_id: groups of texts whose 5-word shingles are similar.
+    """doc_id, h, component_id: groups of texts whose sets of 5-word shingles are similar.
 
     The similarity is judged by the Hamming distance of long fingerprints, whose standard error is about
     0.04 at 0.8. A pair is compared if one of 32 blocks agrees: at a similarity of 0.8 with a probability of
     0.9, at 0.9 of 0.997; exact copies share the fingerprint.
     """
-    return simhash_components(docs, COPY_SHINGLE, COPY_BITS, distance_of(similarity, COPY_BITS), COPY_BLOCKS, 1)
+    return simhash_components(docs, COPY_SHINGLE, COPY_BITS, distance_of(similarity, COPY_BITS), COPY_BLOCKS, 1, distinct=True)
 
 
 def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
