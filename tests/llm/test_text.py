@@ -11,7 +11,6 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.helpers import frame, sha
