@@ -32,7 +32,7 @@ from tidemark.llm.tokens import encoder
 SEQUENCE = 2048
 SLACK = 8
 END_ID = 1
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -174,6 +174,7 @@ def packer(path: str, end_id: int, capacity: int, slack: int, lower: bool, with_
                 room -= size
         if held:
             yield from emit(held)
+        pa.default_memory_pool().release_unused()
 
     return run
 

@@ -41,7 +41,7 @@ GRAMS = (0.32, 0.84)
 OPEN = 2
 CUT = "doc long, h int, base int, text binary"
 SUFFIX = "key long, suffix binary, doc long, h int, lo int, kind int"
-KEPT = "n_bytes long, n_removed long, n_spans long, kept binary"
+KEPT = "n_bytes:long,n_removed:long,n_spans:long,kept"
 
 
 def _settled(records: DataFrame) -> DataFrame:
@@ -156,10 +156,11 @@ def repeated_ranges(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     return found[0].unionAll(found[1]).unionAll(found[2])
 
 
-def kept_bytes(text: Column, spots: Column, min_bytes: int) -> Column:
-    """Struct n_bytes, n_removed, n_spans, kept of a text and its ranges."""
+def kept_bytes(text: Column, spots: Column, min_bytes: int, as_text: bool = False) -> Column:
+    """Struct n_bytes, n_removed, n_spans, kept of a text and its ranges; kept as bytes, or as text of its whole characters."""
+    kind = "string" if as_text else "binary"
 
-    @F.arrow_udf(f"struct<{KEPT.replace(' ', ':').replace(',:', ',')}>")
+    @F.arrow_udf(f"struct<{KEPT}:{kind}>")
     def cut(texts: pa.Array, ranges: pa.Array) -> pa.Array:
         data, offsets = rolling.binary(texts)
         values, at = repeats.lists(ranges)
@@ -173,17 +174,16 @@ def kept_bytes(text: Column, spots: Column, min_bytes: int) -> Column:
             removed[i] = gone.sum()
             runs[i] = gone[0] + (gone[1:] & ~gone[:-1]).sum()
             kept.append(own[~gone].tobytes())
-        return pa.StructArray.from_arrays(
-            [pa.array(size), pa.array(removed), pa.array(runs), pa.array(kept, pa.binary())], ["n_bytes", "n_removed", "n_spans", "kept"]
-        )
+        last = pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+        return pa.StructArray.from_arrays([pa.array(size), pa.array(removed), pa.array(runs), last], ["n_bytes", "n_removed", "n_spans", "kept"])
 
     return cut(text, spots)
 
 
-def suffix_dedup(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """row (all columns of docs), n_bytes, n_removed, n_spans and kept, the bytes that stay."""
+def suffix_dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, as_text: bool = False) -> DataFrame:
+    """row (all columns of docs), n_bytes, n_removed, n_spans and kept, the bytes (or text) that stay."""
     joined = repeats.with_ranges(docs, repeated_ranges(docs, min_bytes))
-    return joined.select("row", kept_bytes(F.col("text"), F.col("spots"), min_bytes).alias("out")).select("row", "out.*")
+    return joined.select("row", kept_bytes(F.col("text"), F.col("spots"), min_bytes, as_text).alias("out")).select("row", "out.*")
 
 
 def without_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
@@ -191,14 +191,13 @@ def without_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
     Cuts can fall inside a character; what is left of it goes, too.
     """
-    out = suffix_dedup(docs, min_bytes)
-
-    def decoded(kept: pa.Array) -> pa.Array:
-        return pa.array([x.decode("utf-8", "ignore") for x in kept.to_pylist()], pa.string())
-
-    texts = out.select("row", F.when(F.col("n_removed") > 0, F.arrow_udf(decoded, "string")("kept")).otherwise(F.col("row.text")).alias("text"))
-    fresh = {"text": F.col("text"), "n_chars": F.coalesce(F.length("text").cast("long"), F.col("row").getField("n_chars"))} if "n_chars" in docs.columns else {"text": F.col("text")}
-    return texts.select(*(fresh[c].cast(docs.schema[c].dataType).alias(c) if c in fresh else F.col("row").getField(c).alias(c) for c in docs.columns))
+    out = suffix_dedup(docs, min_bytes, as_text=True)
+    texts = out.select("row", F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row.text")).alias("text"))
+    fresh = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        fresh["n_chars"] = F.coalesce(F.length("text"), F.col("row.n_chars"))
+    kinds = dict(docs.dtypes)
+    return texts.select(*(fresh.get(c, F.col("row").getField(c)).cast(kinds[c]).alias(c) for c in docs.columns))
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
