@@ -53,7 +53,9 @@ def test_nulls_and_repeats(spark):
     assert simhash.simhash_components(df.limit(0)).count() == 0
 
 
-def test_near_copies(spark):
+@pytest.mark.parametrize("hot", [2048, 1])
+def test_near_copies(spark, monkeypatch, hot):
+    monkeypatch.setattr(simhash, "HOT", hot)
     rng = random.Random(4)
     base = [[f"w{rng.randrange(5000)}" for _ in range(300)] for _ in range(40)]
     rows, close = [], {}

@@ -7,7 +7,8 @@ their Hamming distance is verified there. Each key's verified links leave as sta
 
 Keys under which very many different fingerprints meet are not compared pair by pair. Up to a distance of two
 they go another exact way: two fingerprints lie within two bits exactly if some word lies within one bit of
-both, so each is dealt to the words around it. At larger distances such keys are split by further blocks.
+both, so each is dealt to the words around it. At larger distances the fingerprints of such a key meet its pivots,
+which are far from each other; two of them that are close to different pivots only are not linked there.
 
 Distances beyond ``blocks - agree`` are allowed; then links are found with a probability, see ``near_copies``.
 
@@ -93,15 +94,15 @@ def _binary(words: np.ndarray) -> pa.Array:
 KEYED = "key long, fp binary"
 
 
-def _keys(bits: int, blocks: int, agree: int, given: bool = False) -> Callable:
-    """mapInArrow function: fingerprints to (key, fp); given: each row has a key already, which is made finer."""
+def _keys(bits: int, blocks: int, agree: int) -> Callable:
+    """mapInArrow function: fingerprints to (key, fp)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(batch.schema.get_field_index("fp"))
             words = _matrix(column, bits)
             values = _block_values(words, bits, blocks)
-            before = rolling.column(batch, "key").view(np.uint64) if given else np.zeros(len(words), np.uint64)
+            before = np.zeros(len(words), np.uint64)
             for number, chosen in enumerate(combinations(range(blocks), agree)):
                 key = rolling.mix(before + np.uint64(number + 1))
                 for i in chosen:
@@ -167,6 +168,37 @@ def _verified(bits: int, distance: int) -> Callable:
     return run
 
 
+def _pivoted(bits: int, distance: int) -> Callable:
+    """mapInArrow function: rows sorted by key to links with the pivots of their key.
+
+    A fingerprint that no pivot of its key is close to becomes one itself, so pivots are far from each other, and
+    the work is the rows of a key times its pivots, not times its rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, pivots = None, np.zeros((0, bits // 64), np.uint64)
+        for batch in batches:
+            key = rolling.column(batch, "key")
+            words = _matrix(batch.column(batch.schema.get_field_index("fp")), bits)
+            a, b = [words[:0]], [words[:0]]
+            for start in np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else ():
+                if key[start] != now:
+                    now, pivots = key[start], pivots[:0]
+                rows = words[start : np.searchsorted(key, key[start], side="right")]
+                at = 0
+                while len(rows):
+                    if at == len(pivots):
+                        pivots = np.concatenate((pivots, rows[:1]))
+                        rows = rows[1:]
+                    close = np.bitwise_count(rows ^ pivots[at]).sum(axis=1) <= distance
+                    a.append(rows[close])
+                    b.append(np.repeat(pivots[at : at + 1], int(close.sum()), axis=0))
+                    rows, at = rows[~close], at + 1
+            yield pa.RecordBatch.from_arrays([_binary(np.concatenate(a)), _binary(np.concatenate(b))], ["a", "b"])
+
+    return run
+
+
 def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each 64-bit fingerprint with itself and all words one bit away, as (key, fp)."""
     flips = np.concatenate((np.zeros(1, np.uint64), np.uint64(1) << np.arange(64, dtype=np.uint64)))
@@ -193,7 +225,7 @@ def links(prints: DataFrame, bits: int, distance: int, blocks: int, agree: int)
         least = near.groupBy("key").agg(F.min("fp").alias("b"))
         more = near.join(least, "key").select(F.col("fp").alias("a"), "b").where(F.col("a") != F.col("b"))
     else:
-        more = _met(crowded.mapInArrow(_keys(bits, blocks, 1, given=True), KEYED), bits, distance)
+        more = crowded.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_pivoted(bits, distance), LINKS)
     return found.unionAll(more)
 
 
