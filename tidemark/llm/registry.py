@@ -2,14 +2,34 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import ball_tree, chat, debruijn, decontamination, packing, quality, simhash, suffix_dedup, token_store, toxicity
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def importable(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A query whose Python workers find this package, wherever the session was started."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        environment = spark.sparkContext.environment
+        known = [x for x in environment.get("PYTHONPATH", "").split(os.pathsep) if x]
+        if ROOT not in known:
+            environment["PYTHONPATH"] = os.pathsep.join([*known, ROOT])
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
+    f.__name__: importable(f)
     for f in (
         packing.op1_packing,
         debruijn.op2_debruijn_dedup,
@@ -31,7 +51,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES["pipeline"] = pipeline
+QUERIES["pipeline"] = importable(pipeline)
 
 ORACLE_SQL: dict[str, str] = {
     "op5_top_k": ball_tree.OP5_SQL,
