@@ -72,6 +72,51 @@ def test_near_copies(spark, monkeypatch, hot):
     assert simhash.one_of_each(df, simhash.near_copies(df)).columns == df.columns
 
 
+def similar_groups(rows, limit=0.8):
+    """Groups of row numbers by the Jaccard similarity of all pairs of texts."""
+    sets = []
+    for _, text in rows:
+        w = text.split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)})
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if root[i] != root[j] and len(sets[i] & sets[j]) >= limit * len(sets[i] | sets[j]) - 1e-9:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return root
+
+
+def test_near_copies_at_the_limit(spark):
+    """Pairs at the limit are linked, pairs under it aren't, whatever the length."""
+    rows = []
+    for length in (13, 31, 300):
+        for similarity in (0.7, 0.75, 0.78, 0.8, 0.82, 0.85):
+            own = round((length - 4) * (1 - similarity) / (1 + similarity))
+            for i in range(20):
+                base = [f"b{len(rows)}x{j}" for j in range(length)]
+                rows.append((len(rows), " ".join(base)))
+                rows.append((len(rows), " ".join(base[: length - own] + [f"c{len(rows)}x{j}" for j in range(own)])))
+    found = {r.doc_id: r.component_id for r in simhash.near_copies(frame(spark, rows)).collect()}
+    assert found == dict(enumerate(similar_groups(rows)))
+
+
+def test_near_copies_of_one_large_group(spark, monkeypatch):
+    """Chains through the group: many texts near one base, some of them similar to a few others only."""
+    monkeypatch.setattr(simhash, "HOT", 50)
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(400):
+        text = list(base)
+        for at in rng.sample(range(120), rng.choice([0, 1, 2, 3, 4, 5])):
+            text[at] = f"x{rng.randrange(40)}"
+        rows.append((i, " ".join(text)))
+    root = similar_groups(rows)
+    found = {r.doc_id: r.component_id for r in simhash.near_copies(frame(spark, rows)).collect()}
+    assert found == dict(enumerate(root)) and 1 < len(set(root)) < 300
+
+
 def test_components(spark):
     rng = random.Random(9)
     links = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000 + 2 * i, 5001 + 2 * i) for i in range(50)]

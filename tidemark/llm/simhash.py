@@ -10,7 +10,7 @@ they go another exact way: two fingerprints lie within two bits exactly if some
 both, so each is dealt to the words around it. At larger distances the fingerprints of such a key meet its pivots,
 which are far from each other; two of them that are close to different pivots only are not linked there.
 
-Distances beyond ``blocks - agree`` are allowed; then links are found with a probability, see ``near_copies``.
+Distances beyond ``blocks - agree`` are allowed; then links are found with a probability.
 
 Null and wordless texts have the fingerprint zero. A null doc_id takes part but is never the smallest of a
 component that holds another id. Rows that repeat an id each keep their own fingerprint.
@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import rolling
+from tidemark.llm import jaccard, rolling
 from tidemark.llm.components import components
 from tidemark.llm.shared import stash, table
 
@@ -261,24 +261,15 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-#: Fingerprint of the filter for near copies: 512 bits of 5-word shingles, 32 blocks of 16 bits.
-COPY_SHINGLE, COPY_BITS, COPY_BLOCKS = 5, 512, 32
-COPY_SIMILARITY = 0.8
-
-
-def distance_of(similarity: float, bits: int) -> int:
-    """Expected Hamming distance of two texts whose shingle sets have this Jaccard similarity."""
-    return round(bits * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+#: The filter for near copies: sets of 5-word shingles and their least similarity.
+COPY_SHINGLE, COPY_SIMILARITY = 5, 0.8
 
 
 def near_copies(docs: DataFrame, similarity: float = COPY_SIMILARITY) -> DataFrame:
-    """doc_id, h, component_id: groups of texts whose sets of 5-word shingles are similar.
-
-    The similarity is judged by the Hamming distance of long fingerprints, whose standard error is about
-    0.04 at 0.8. A pair is compared if one of 32 blocks agrees: at a similarity of 0.8 with a probability of
-    0.9, at 0.9 of 0.997; exact copies share the fingerprint.
-    """
-    return simhash_components(docs, COPY_SHINGLE, COPY_BITS, distance_of(similarity, COPY_BITS), COPY_BLOCKS, 1, distinct=True)
+    """doc_id, h, fp, component_id: groups of texts whose sets of 5-word shingles are similar, see jaccard."""
+    found = stash(jaccard.similar(docs, COPY_SHINGLE, similarity, HOT))
+    smallest = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return found.join(smallest, "root").select("doc_id", "h", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
