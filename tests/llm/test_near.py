@@ -117,6 +117,28 @@ def test_near_copies_of_one_large_group(spark, monkeypatch):
     assert found == dict(enumerate(root)) and 1 < len(set(root)) < 300
 
 
+def test_crowded_keys_compare_all_pairs(spark, monkeypatch):
+    """One key of 3 000 fingerprints, most of them close to others than the first ones only."""
+    monkeypatch.setattr(simhash, "HOT", 500)
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2, 128).astype(bool)
+    base[:8] = False
+    flips = rng.random((3000, 128)) < 0.16
+    flips[:, :8] = False
+    prints = np.unique(np.packbits(base ^ flips, axis=1), axis=0)
+    wide = prints.view(">u8").astype(np.uint64)
+    near = [np.flatnonzero(np.bitwise_count(wide ^ w).sum(axis=1) <= 20) for w in wide]
+    a, b = np.repeat(np.arange(len(near)), [len(n) for n in near]), np.concatenate(near)
+    expected = simhash._roots(a, b, len(prints))
+    # one block of 8 bits that all share, under one key
+    crowd = spark.createDataFrame([(1, bytearray(p.tobytes()), len(prints)) for p in prints], "key long, fp binary, count long")
+    found = simhash._met(simhash._in_parts(crowd), 128, 20).collect()
+    number = {p.tobytes(): i for i, p in enumerate(prints)}
+    pairs = [(number[bytes(r.a)], number[bytes(r.b)]) for r in found]
+    got = simhash._roots(np.array([x for x, _ in pairs]), np.array([y for _, y in pairs]), len(prints))
+    assert (got == expected).all() and 1 < len(set(got.tolist())) < len(prints)
+
+
 def test_components(spark):
     rng = random.Random(9)
     links = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000 + 2 * i, 5001 + 2 * i) for i in range(50)]

@@ -7,8 +7,8 @@ their Hamming distance is verified there. Each key's verified links leave as sta
 
 Keys under which very many different fingerprints meet are not compared pair by pair. Up to a distance of two
 they go another exact way: two fingerprints lie within two bits exactly if some word lies within one bit of
-both, so each is dealt to the words around it. At larger distances the fingerprints of such a key meet its pivots,
-which are far from each other; two of them that are close to different pivots only are not linked there.
+both, so each is dealt to the words around it. At larger distances such a key is dealt into parts, and any two parts
+are compared in a task of bounded size, so all pairs are still compared.
 
 Distances beyond ``blocks - agree`` are allowed; then links are found with a probability.
 
@@ -168,37 +168,6 @@ def _verified(bits: int, distance: int) -> Callable:
     return run
 
 
-def _pivoted(bits: int, distance: int) -> Callable:
-    """mapInArrow function: rows sorted by key to links with the pivots of their key.
-
-    A fingerprint that no pivot of its key is close to becomes one itself, so pivots are far from each other, and
-    the work is the rows of a key times its pivots, not times its rows.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, pivots = None, np.zeros((0, bits // 64), np.uint64)
-        for batch in batches:
-            key = rolling.column(batch, "key")
-            words = _matrix(batch.column(batch.schema.get_field_index("fp")), bits)
-            a, b = [words[:0]], [words[:0]]
-            for start in np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else ():
-                if key[start] != now:
-                    now, pivots = key[start], pivots[:0]
-                rows = words[start : np.searchsorted(key, key[start], side="right")]
-                at = 0
-                while len(rows):
-                    if at == len(pivots):
-                        pivots = np.concatenate((pivots, rows[:1]))
-                        rows = rows[1:]
-                    close = np.bitwise_count(rows ^ pivots[at]).sum(axis=1) <= distance
-                    a.append(rows[close])
-                    b.append(np.repeat(pivots[at : at + 1], int(close.sum()), axis=0))
-                    rows, at = rows[~close], at + 1
-            yield pa.RecordBatch.from_arrays([_binary(np.concatenate(a)), _binary(np.concatenate(b))], ["a", "b"])
-
-    return run
-
-
 def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each 64-bit fingerprint with itself and all words one bit away, as (key, fp)."""
     flips = np.concatenate((np.zeros(1, np.uint64), np.uint64(1) << np.arange(64, dtype=np.uint64)))
@@ -213,19 +182,27 @@ def _met(keys: DataFrame, bits: int, distance: int) -> DataFrame:
     return keys.repartition("key").sortWithinPartitions("key").mapInArrow(_verified(bits, distance), LINKS)
 
 
+def _in_parts(crowded: DataFrame) -> DataFrame:
+    """key, fp: each key is dealt into parts, and any two parts of it meet under a key of their own."""
+    parts = F.ceil(F.col("count") * 2 / HOT).cast("int")
+    dealt = crowded.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    each = dealt.select("key", "fp", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    return each.select(F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("key"), "fp")
+
+
 def links(prints: DataFrame, bits: int, distance: int, blocks: int, agree: int) -> DataFrame:
     """a, b: links that connect whatever fingerprints (column fp, each once) lie within the distance, by blocks."""
     keys = stash(prints.select("fp").mapInArrow(_keys(bits, blocks, agree), KEYED))
-    hot = stash(keys.groupBy("key").count().where(F.col("count") > HOT).select("key"))
+    hot = stash(keys.groupBy("key").count().where(F.col("count") > HOT))
     found = _met(keys.join(hot, "key", "left_anti"), bits, distance)
-    crowded = keys.join(hot, "key")
+    crowded = keys.join(hot, "key")  # with the number of fingerprints under the key
     if distance <= 2 and bits == 64:
         near = crowded.select("fp").distinct().mapInArrow(_around, KEYED)
         # everything around one word lies within two bits of everything else there
         least = near.groupBy("key").agg(F.min("fp").alias("b"))
         more = near.join(least, "key").select(F.col("fp").alias("a"), "b").where(F.col("a") != F.col("b"))
     else:
-        more = crowded.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_pivoted(bits, distance), LINKS)
+        more = _met(_in_parts(crowded), bits, distance)
     return found.unionAll(more)
 
 
