@@ -117,6 +117,15 @@ def test_near_copies_of_one_large_group(spark, monkeypatch):
     assert found == dict(enumerate(root)) and 1 < len(set(root)) < 300
 
 
+def test_groups_of_one_id_and_of_null_ids(spark):
+    """Unrelated texts under one id are two groups; near copies with null ids only are one."""
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(1, one), (1, two), (7, two + " end"), (None, three), (None, three + " end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r.doc_id or 0, r.text.split()[0]) for r in simhash.one_of_each(df, simhash.near_copies(df)).collect())
+    assert kept == [(0, "c0"), (1, "a0"), (1, "b0")]
+
+
 def test_crowded_keys_compare_all_pairs(spark, monkeypatch):
     """One key of 3 000 fingerprints, most of them close to others than the first ones only."""
     monkeypatch.setattr(simhash, "HOT", 500)

@@ -243,18 +243,20 @@ COPY_SHINGLE, COPY_SIMILARITY = 5, 0.8
 
 
 def near_copies(docs: DataFrame, similarity: float = COPY_SIMILARITY) -> DataFrame:
-    """doc_id, h, fp, component_id: groups of texts whose sets of 5-word shingles are similar, see jaccard."""
+    """doc_id, h, root, component_id: groups of texts whose sets of 5-word shingles are similar, see jaccard.
+
+    A group is known by its root; component_id is its smallest id, which other groups may have too.
+    """
     found = stash(jaccard.similar(docs, COPY_SHINGLE, similarity, HOT))
     smallest = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return found.join(smallest, "root").select("doc_id", "h", "fp", "component_id")
+    return found.join(smallest, "root").select("doc_id", "h", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """The rows of docs that stand for their group: the smallest id, of equal ids the smallest text CRC; equal rows once."""
     groups = stash(groups)
     first = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "h")
-    # a group is known by its component; groups of null ids only are told apart by fingerprint
-    stands = groups.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("own")).agg(F.min(first).alias("first"))
+    stands = groups.groupBy("root").agg(F.min(first).alias("first"))
     counts = groups.groupBy("doc_id", "h").agg(F.count("*").alias("rows"))
     kept = stash(
         stands.select("first.doc_id", "first.h")
