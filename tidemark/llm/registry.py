@@ -9,7 +9,19 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ball_tree, chat, debruijn, decontamination, packing, quality, simhash, suffix_dedup, token_store, toxicity
+from tidemark.llm import (
+    ball_tree,
+    chat,
+    debruijn,
+    decontamination,
+    packing,
+    quality,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    token_store,
+    toxicity,
+)
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -41,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         token_store.op8_token_orc,
         quality.op9_quality,
         toxicity.op10_toxicity,
+        quality_rules.op12_quality_rules,
     )
 }
 
@@ -57,4 +70,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_top_k": ball_tree.OP5_SQL,
     "op6_chat_format": chat.OP6_SQL,
     "op7_decontamination": decontamination.OP7_SQL,
+    "op12_quality_rules": quality_rules.OP12_SQL,
 }
