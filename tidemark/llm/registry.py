@@ -14,6 +14,7 @@ from tidemark.llm import (
     chat,
     debruijn,
     decontamination,
+    hard_negatives,
     packing,
     quality,
     quality_rules,
@@ -54,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         quality.op9_quality,
         toxicity.op10_toxicity,
         quality_rules.op12_quality_rules,
+        hard_negatives.op13_hard_negatives,
     )
 }
 
@@ -71,4 +73,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_chat_format": chat.OP6_SQL,
     "op7_decontamination": decontamination.OP7_SQL,
     "op12_quality_rules": quality_rules.OP12_SQL,
+    "op13_hard_negatives": hard_negatives.OP13_SQL,
 }
