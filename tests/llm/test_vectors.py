@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.llm import hard_negatives
+from tidemark.llm import hard_negatives, qd, whitening
 
 # --- residue numbers ---------------------------------------------------------------------------------------
 
@@ -72,3 +72,91 @@ def test_hard_negatives(spark, monkeypatch, size):
     got = [tuple(r) for r in hard_negatives.mine(df.repartition(3), F.col("vec_id") % 10 == 0).collect()]
     assert len(got) == len(set(got)) and set(got) == mined(rows, lambda i: i % 10 == 0) and len(got) > 50
     assert hard_negatives.mine(df.limit(0), F.col("vec_id") % 10 == 0).count() == 0
+
+
+# --- whitening ---------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("kind", ["random", "clusters", "equal", "graded", "rank", "zero", "integers"])
+@pytest.mark.parametrize("n", [1, 2, 7, 40])
+def test_singular_vectors(kind, n):
+    rng = np.random.default_rng(n)
+    u, w = (np.linalg.qr(rng.normal(size=(n, n)))[0] for _ in range(2))
+    values = {
+        "random": rng.random(n),
+        "clusters": np.resize([5, 4.9999999, 1, 1e-3], n),
+        "equal": 1 + 1e-13 * np.arange(n),
+        "graded": 0.2 ** np.arange(n),
+        "rank": np.where(np.arange(n) < 3, 1.0, 0.0),
+        "zero": np.zeros(n),
+        "integers": np.ones(n),
+    }[kind]
+    m = np.round(3 * rng.normal(size=(n, n))) if kind == "integers" else u @ np.diag(values) @ w.T
+    squares, z = qd.right_vectors(m, 32)
+    exact = np.linalg.svd(m, compute_uv=False) ** 2
+    assert np.abs(squares - exact).max() <= 1e-12 * exact[0]
+    k = z.shape[1]
+    least, most = (min(32, int((np.sqrt(exact) > limit * np.sqrt(exact[0])).sum())) for limit in (1e-13, 1e-15))
+    assert least <= k <= most or kind in ("rank", "zero")
+    assert kind != "rank" or k == min(n, 3)
+    assert np.abs(z.T @ z - np.eye(k)).max(initial=0) < 1e-10
+    assert np.abs(m.T @ (m @ z) - z * squares[:k]).max(initial=0) <= 1e-11 * exact[0]
+
+
+def whitened_brute(vectors):
+    x = np.floor(64 * np.array(vectors, np.float32).astype(float)).astype(object) + 1_000_000
+    t = len(x) * x - x.sum(axis=0)
+    c = (t / len(x)).astype(float)
+    e, v = np.linalg.eigh(c.T @ c / len(x))
+    e, v = e[::-1], v[:, ::-1]
+    return [int(d) for d in (t * t).sum(axis=1)], c @ v / np.sqrt(e), e / e.sum()
+
+
+@pytest.mark.parametrize("block", [2048, 3])
+def test_whitening(spark, monkeypatch, block):
+    monkeypatch.setattr(whitening, "BLOCK_ROWS", block)
+    monkeypatch.setattr(whitening, "FAN_IN", 2)
+    rng = np.random.default_rng(3)
+    vectors = (rng.normal(size=(60, 9)) * np.arange(1, 10)).astype(np.float32).tolist()
+    rows = [(i, v) for i, v in enumerate(vectors)] + [(7, vectors[7]), (None, vectors[8])]
+    kept = [v for _, v in rows]
+    rows += [(100, None), (101, [None] + [0.0] * 8), (102, [float("inf")] + [0.0] * 8), (103, [float("nan")] * 9), (104, [1.0]), (105, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 AS v", "2 AS whitened", "3 AS part").repartition(7)
+    model = whitening.fit(df)
+    deviations, white, shares = whitened_brute(kept)
+    assert model.rows == len(kept) and np.abs(model.explained - shares).max() < 1e-12
+    got = sorted((r.vec_id if r.vec_id is not None else 99, r.deviation, r.whitened) for r in whitening.whiten(df, model).collect())
+    expected = sorted(zip([i if i is not None else 99 for i, _ in rows[: len(kept)]], deviations, white.tolist(), strict=True))
+    assert [x[:2] for x in got] == [x[:2] for x in expected]
+    assert np.abs(np.abs([x[2] for x in got]) - np.abs([x[2] for x in expected])).max() < 1e-9
+    signs = np.sign(np.array([x[2] for x in got])) * np.sign(np.array([x[2] for x in expected]))
+    assert (signs == signs[0]).all() and whitening.identity_error(df, model) < 1e-12
+
+
+def test_whitening_of_few_equal_and_huge(spark):
+    def fitted(rows):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        model = whitening.fit(df)
+        return model, (whitening.whiten(df, model).collect() if model else [])
+
+    assert fitted([(1, None)])[0] is None and whitening.fit(spark.createDataFrame([], "vec_id long, embedding array<float>")) is None
+    for rows in ([(1, [0.5, 1.0])], [(1, [0.5, 1.0])] * 4):
+        model, out = fitted(rows)
+        assert len(model.variances) == 0 and all(r.deviation == 0 and r.whitened == [] for r in out)
+    # one dimension that doesn't vary, one that copies another
+    model, out = fitted([(i, [0.25 * (i % 5), 3.0, 0.25 * (i % 5)]) for i in range(10)])
+    assert len(model.variances) == 1 and abs(sum(r.whitened[0] ** 2 for r in out) / 10 - 1) < 1e-12
+    model, out = fitted([(1, [1e300, 0.0]), (2, [-1e300, 1.0]), (3, [0.0, 0.0])])
+    assert model.sums[0] == 1_000_000 - 1 and all(0 < r.deviation <= whitening.LONG for r in out)
+
+
+def test_whitening_query(spark):
+    sf = "/root/testdata/sf0.01"
+    out = whitening.op11_whitening(spark, sf).toPandas()
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet").orderBy("vec_id").toPandas()
+    deviations, white, shares = whitened_brute(vectors["embedding"].tolist())
+    assert len(out) == 32 * len(vectors) and (out["n"] == len(vectors)).all() and (out["identity_error"] < 1e-10).all()
+    wide = out.pivot(index="vec_id", columns="component", values="whitened")
+    assert np.abs(np.abs(wide.to_numpy()) - np.abs(white[:, :32])).max() < 1e-8
+    assert out.groupby("vec_id")["deviation"].first().tolist() == deviations
+    assert np.abs(out.groupby("component")["explained"].first().to_numpy() / shares[:32] - 1).max() < 1e-10

@@ -22,6 +22,7 @@ from tidemark.llm import (
     suffix_dedup,
     token_store,
     toxicity,
+    whitening,
 )
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -54,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         token_store.op8_token_orc,
         quality.op9_quality,
         toxicity.op10_toxicity,
+        whitening.op11_whitening,
         quality_rules.op12_quality_rules,
         hard_negatives.op13_hard_negatives,
     )
