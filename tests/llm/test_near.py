@@ -48,82 +48,36 @@ def test_nulls_and_repeats(spark):
     df = spark.createDataFrame([(None, "a b c d"), (4, "a b c d"), (4, "a b c d"), (9, None), (2, ""), (None, "q r s t u v w")], "doc_id long, text string")
     out = {(r.doc_id, r.component_id) for r in simhash.simhash_components(df).collect()}
     assert out == {(None, 4), (4, 4), (9, 2), (2, 2), (None, None)}
-    kept = simhash.one_of_each(df, simhash.near_copies(df)).collect()
+    kept = simhash.one_of_each(df).collect()
     assert sorted((r.doc_id or -1, r.text) for r in kept) == [(-1, "q r s t u v w"), (2, ""), (4, "a b c d")]
     assert simhash.simhash_components(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("hot", [2048, 1])
-def test_near_copies(spark, monkeypatch, hot):
+@pytest.mark.parametrize("hot", [2048, 2])
+def test_one_of_each_group_stays(spark, monkeypatch, hot):
+    """Every linked group keeps its smallest id, whatever else happens; texts without links stay."""
     monkeypatch.setattr(simhash, "HOT", hot)
     rng = random.Random(4)
-    base = [[f"w{rng.randrange(5000)}" for _ in range(300)] for _ in range(40)]
-    rows, close = [], {}
-    for i, w in enumerate(base):
-        rows.append((i, " ".join(w)))
-        near = list(w)
-        for at in rng.sample(range(300), 3):  # a similarity of about 0.9
-            near[at] = "other"
-        close[1000 + i] = i
-        rows.append((1000 + i, " ".join(near)))
+    rows = texts(12, 80)
+    base = " ".join(f"w{rng.randrange(5000)}" for _ in range(900))
+    rows += [(1000 + i, base + " tail" * (i % 3)) for i in range(60)]
     df = frame(spark, rows)
-    kept = {r.doc_id for r in simhash.one_of_each(df, simhash.near_copies(df)).collect()}
-    assert set(range(40)) <= kept and len(kept & set(close)) <= 2
-    assert simhash.one_of_each(df, simhash.near_copies(df)).columns == df.columns
-
-
-def similar_groups(rows, limit=0.8):
-    """Groups of row numbers by the Jaccard similarity of all pairs of texts."""
-    sets = []
-    for _, text in rows:
-        w = text.split()
-        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)})
-    root = list(range(len(rows)))
-    for i in range(len(rows)):
-        for j in range(i):
-            if root[i] != root[j] and len(sets[i] & sets[j]) >= limit * len(sets[i] | sets[j]) - 1e-9:
-                low, high = sorted((root[i], root[j]))
-                root = [low if r == high else r for r in root]
-    return root
-
-
-def test_near_copies_at_the_limit(spark):
-    """Pairs at the limit are linked, pairs under it aren't, whatever the length."""
-    rows = []
-    for length in (13, 31, 300):
-        for similarity in (0.7, 0.75, 0.78, 0.8, 0.82, 0.85):
-            own = round((length - 4) * (1 - similarity) / (1 + similarity))
-            for i in range(20):
-                base = [f"b{len(rows)}x{j}" for j in range(length)]
-                rows.append((len(rows), " ".join(base)))
-                rows.append((len(rows), " ".join(base[: length - own] + [f"c{len(rows)}x{j}" for j in range(own)])))
-    found = {r.doc_id: r.component_id for r in simhash.near_copies(frame(spark, rows)).collect()}
-    assert found == dict(enumerate(similar_groups(rows)))
-
-
-def test_near_copies_of_one_large_group(spark, monkeypatch):
-    """Chains through the group: many texts near one base, some of them similar to a few others only."""
-    monkeypatch.setattr(simhash, "HOT", 50)
-    rng = random.Random(6)
-    base = [f"w{i}" for i in range(120)]
-    rows = []
-    for i in range(400):
-        text = list(base)
-        for at in rng.sample(range(120), rng.choice([0, 1, 2, 3, 4, 5])):
-            text[at] = f"x{rng.randrange(40)}"
-        rows.append((i, " ".join(text)))
-    root = similar_groups(rows)
-    found = {r.doc_id: r.component_id for r in simhash.near_copies(frame(spark, rows)).collect()}
-    assert found == dict(enumerate(root)) and 1 < len(set(root)) < 300
+    kept = sorted(r.doc_id for r in simhash.one_of_each(df).collect())
+    roots = {root for _, _, root in grouped(rows)}
+    assert kept == sorted(roots) and len(kept) < len(rows) - 50
+    assert simhash.one_of_each(df).columns == df.columns
+    assert simhash.one_of_each(df.limit(0)).count() == 0
 
 
 def test_groups_of_one_id_and_of_null_ids(spark):
     """Unrelated texts under one id are two groups; near copies with null ids only are one."""
     one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
-    rows = [(1, one), (1, two), (7, two + " end"), (None, three), (None, three + " end")]
+    rows = [(1, one), (1, two), (7, two.upper()), (None, three), (None, three.upper()), (2, "plumless " + one), (2, "buckeroo " + one)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = sorted((r.doc_id or 0, r.text.split()[0]) for r in simhash.one_of_each(df, simhash.near_copies(df)).collect())
-    assert kept == [(0, "c0"), (1, "a0"), (1, "b0")]
+    kept = sorted((r.doc_id or 0, r.text.split()[0]) for r in simhash.one_of_each(df).collect())
+    # digests decide which of the equal fingerprints with null ids stays; the two texts with equal CRCs are two documents
+    assert [(d, w.lower()) for d, w in kept if d != 2] == [(0, "c0"), (1, "a0"), (1, "b0")]
+    assert len([d for d, _ in kept if d == 2]) == len({fingerprint(t) for d, t in rows if d == 2})
 
 
 def test_crowded_keys_compare_all_pairs(spark, monkeypatch):

@@ -24,10 +24,10 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard, rolling
+from tidemark.llm import rolling
 from tidemark.llm.components import components
 from tidemark.llm.shared import stash, table
 
@@ -206,6 +206,15 @@ def links(prints: DataFrame, bits: int, distance: int, blocks: int, agree: int)
     return found.unionAll(more)
 
 
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+
+def _digest() -> Column:
+    """128 bits that stand for the text where rows share an id."""
+    return F.unhex(F.md5(_text()))
+
+
 def simhash_components(
     docs: DataFrame,
     shingle: int = SHINGLE,
@@ -215,13 +224,12 @@ def simhash_components(
     agree: int = AGREE,
     distinct: bool = False,
 ) -> DataFrame:
-    """doc_id, h (of the text, see repeats), fp, component_id of every row of docs."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    """doc_id, digest (of the text), fp, root (the fingerprint that stands for the group), component_id of every row of docs."""
     rows = stash(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
-            (F.crc32(text) - (1 << 31)).cast("int").alias("h"),
-            fingerprints(shingle, bits, distinct)(text).alias("fp"),
+            _digest().alias("digest"),
+            fingerprints(shingle, bits, distinct)(_text()).alias("fp"),
         )
     )
     prints = stash(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
@@ -229,8 +237,8 @@ def simhash_components(
     tied = prints.join(ties, prints["fp"] == ties["a"], "left").select("fp", "least", F.coalesce("b", "fp").alias("root"))
     tied = stash(tied)
     smallest = tied.groupBy("root").agg(F.min("least").alias("component_id"))
-    member = stash(tied.join(smallest, "root").select("fp", "component_id"))
-    return rows.join(member, "fp").select("doc_id", "h", "fp", "component_id")
+    member = stash(tied.join(smallest, "root").select("fp", "root", "component_id"))
+    return rows.join(member, "fp").select("doc_id", "digest", "fp", "root", "component_id")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,35 +246,18 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-#: The filter for near copies: sets of 5-word shingles and their least similarity.
-COPY_SHINGLE, COPY_SIMILARITY = 5, 0.8
+def one_of_each(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+    """The rows of docs that stand for their group: the smallest id, of equal ids the smallest digest; equal rows once.
 
-
-def near_copies(docs: DataFrame, similarity: float = COPY_SIMILARITY) -> DataFrame:
-    """doc_id, h, root, component_id: groups of texts whose sets of 5-word shingles are similar, see jaccard.
-
-    A group is known by its root; component_id is its smallest id, which other groups may have too.
+    groups: simhash_components of docs, or of other settings. A group is known by its root, as two groups may have
+    the same smallest id. Null ids come last; rows with null ids only are a group like any other.
     """
-    found = stash(jaccard.similar(docs, COPY_SHINGLE, similarity, HOT))
-    smallest = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return found.join(smallest, "root").select("doc_id", "h", "root", "component_id")
-
-
-def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows of docs that stand for their group: the smallest id, of equal ids the smallest text CRC; equal rows once."""
-    groups = stash(groups)
-    first = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "h")
-    stands = groups.groupBy("root").agg(F.min(first).alias("first"))
-    counts = groups.groupBy("doc_id", "h").agg(F.count("*").alias("rows"))
-    kept = stash(
-        stands.select("first.doc_id", "first.h")
-        .withColumnRenamed("doc_id", "d")
-        .withColumnRenamed("h", "t")
-        .join(counts, (F.col("d").eqNullSafe(F.col("doc_id"))) & (F.col("t") == F.col("h")))
-        .select("d", "t", "rows")
-    )
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc"), (F.crc32(text) - (1 << 31)).cast("int").alias("h"))
-    met = rows.join(kept, F.col("doc").eqNullSafe(F.col("d")) & (F.col("h") == F.col("t")))
+    groups = stash((simhash_components(docs) if groups is None else groups).select("doc_id", "digest", "root"))
+    first = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "digest")
+    stands = groups.groupBy("root").agg(F.min(first).alias("first")).select(F.col("first.doc_id").alias("d"), F.col("first.digest").alias("t"))
+    counts = groups.groupBy("doc_id", "digest").agg(F.count("*").alias("rows"))
+    kept = stash(stands.join(counts, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("digest"))).select("d", "t", "rows"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc"), _digest().alias("digest"))
+    met = rows.join(kept, F.col("doc").eqNullSafe(F.col("d")) & (F.col("digest") == F.col("t")))
     single = met.where("rows = 1").select("row.*")
-    return single.unionAll(met.where("rows > 1").dropDuplicates(["doc", "h"]).select("row.*"))
+    return single.unionAll(met.where("rows > 1").dropDuplicates(["doc", "digest"]).select("row.*"))
