@@ -225,6 +225,12 @@ VIEWS["listed"] = f"""
       WHEN authority LIKE '%EU%' THEN 'EU_SANCTIONS' WHEN authority LIKE '%SECO%' THEN 'SWISS_SECO' ELSE 'OTHER' END AS authority_category,
     date_diff('day', effective_date, {AS_OF}) AS days_since_listing, date_diff('day', {AS_OF}, expiry_date) AS days_until_expiry FROM in_watch_list"""
 QUERIES["watch_list_enriched"] = "SELECT * FROM listed"
+QUERIES["name_pairs"] = """
+  SELECT a, b, CAST(levenshtein(a, b) AS INTEGER) AS distance FROM (SELECT DISTINCT upper(full_name) AS a FROM customer_current)
+  CROSS JOIN (SELECT DISTINCT upper(entity_name) AS b FROM listed WHERE is_active) WHERE levenshtein(a, b) <= 5"""
+QUERIES["alias_pairs"] = """
+  SELECT a, b FROM (SELECT DISTINCT upper(full_name) AS a FROM customer_current)
+  CROSS JOIN (SELECT DISTINCT upper(entity_aliases) AS b FROM listed WHERE is_active) WHERE contains(b, a) AND a <> ''"""
 VIEWS["screen_pairs"] = """
   SELECT c.customer_id, full_name AS customer_name, date_of_birth AS customer_dob, coalesce(a.country, 'UNKNOWN') AS customer_country, CAST(NULL AS VARCHAR) AS customer_nationality,
     CAST(NULL AS VARCHAR) AS customer_type, risk_classification, entity_id, entity_name, entity_aliases, dob AS sanctions_dob, nationality_country AS sanctions_nationality, authority, list_name,
@@ -270,6 +276,8 @@ VIEWS["pep_pairs"] = f"""
   SELECT c.customer_id, upper(c.full_name) = upper(p.full_name) AS is_exact, p.* EXCLUDE (status), {_lv('c.first_name', 'p.first_name')} AS df, {_lv('c.family_name', 'p.last_name')} AS dl, {_lv('c.full_name', 'p.full_name')} AS dn
   FROM customer_current c CROSS JOIN in_exposed_persons p WHERE p.status = 'ACTIVE'"""
 PEP_NEAR = "(df <= 2 AND dl = 0) OR (df = 0 AND dl <= 2) OR (df = 1 AND dl = 1) OR dn <= 3"
+QUERIES["exposed_name_pairs"] = f"""
+  SELECT DISTINCT upper(c.first_name) AS cf, upper(c.family_name) AS cl, exposed_person_id FROM pep_pairs p JOIN customer_current c ON p.customer_id = c.customer_id WHERE {PEP_NEAR}"""
 QUERIES["exposed_person_matches"] = f"""
   SELECT customer_id, 'EXACT' AS match_kind, * EXCLUDE (customer_id, is_exact, df, dl, dn) FROM pep_pairs WHERE is_exact
   UNION ALL SELECT customer_id, 'FUZZY' AS match_kind, * EXCLUDE (customer_id, is_exact, df, dl, dn) FROM pep_pairs WHERE {PEP_NEAR}"""

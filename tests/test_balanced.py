@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import similar
 from tidemark.functions.similar import containment_pairs, edit_pairs
-from tidemark.functions.spread import latest, most_frequent, quantiles, salted_join, with_next
+from tidemark.functions.spread import block_join, latest, most_frequent, quantiles, salted_join, with_next
 
 
 def distance(a, b):
@@ -24,25 +25,50 @@ def words(rng, n, low, high, letters="abc"):
     return sorted({"".join(rng.choice(letters) for _ in range(rng.randint(low, high))) for _ in range(n)})
 
 
+@pytest.mark.parametrize("pieces", [0, 9])
 @pytest.mark.parametrize("k", [1, 2, 3, 5])
-def test_edit_pairs_lose_nothing(spark, k):
+def test_edit_pairs_lose_nothing(spark, monkeypatch, k, pieces):
+    """By blocks and by pieces, at any number of edits."""
+    monkeypatch.setattr(similar, "PIECES_UPTO", pieces)
     rng = random.Random(k)
-    left = words(rng, 60, 1, 6) + words(rng, 60, 7, 14, "abcdef")
+    left = words(rng, 60, 1, 6) + words(rng, 60, 7, 14, "abcdef") + words(rng, 20, 3, 9, "aNé ~n\u4e2d") + ["aaaaaaaaa", "z"]
     right = words(rng, 30, 1, 6) + words(rng, 30, 7, 14, "abcdef") + left[::9]
     a = spark.createDataFrame([(x,) for x in left], "x string")
     b = spark.createDataFrame([(x,) for x in sorted(set(right))], "y string")
-    got = {(r.a, r.b, r.distance) for r in edit_pairs(a, "x", b, "y", k).collect()}
+    got = [(r.a, r.b, r.distance) for r in edit_pairs(a, "x", b, "y", k).collect()]
     want = {(x, y, distance(x, y)) for x in left for y in set(right) if distance(x, y) <= k}
-    assert got == want
+    assert set(got) == want and len(got) == len(set(got))
     assert len(want) > 20
 
 
-def test_edit_pairs_have_no_nested_loop(spark):
+@pytest.mark.parametrize("k", [2, 5])
+def test_edit_pairs_have_no_nested_loop(spark, k):
     a = spark.range(1000).select(F.concat(F.lit("name"), "id").alias("x"))
-    plan = edit_pairs(a, "x", a, "x", 2)._jdf.queryExecution().executedPlan().toString()
+    plan = edit_pairs(a, "x", a, "x", k)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
-    # the only nested-loop join is the one-row total of the hot-key check
-    assert plan.count("BroadcastNestedLoopJoin") <= 2
+    # the only nested-loop joins are the one-row totals of the hot-key check
+    assert plan.count("BroadcastNestedLoopJoin") <= 4
+
+
+def test_few_random_names_reach_the_distance(spark):
+    """At five edits and 26 letters the bags let fewer than 2 % of all pairs through to the edit distance."""
+    rng = random.Random(3)
+
+    def names(n):
+        part = lambda: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(rng.randint(3, 9)))
+        return spark.createDataFrame([(f"{part()} {part()}",) for _ in range(n)], "v string")
+
+    left, right = (names(n).select("v", *similar._bag("v", x)).withColumnRenamed("v", x) for n, x in ((1500, "_a"), (800, "_b")))
+    met = block_join(left, right, similar._alike("_a", "_b", 5), left_rows=500, right_rows=300).count()
+    assert met < 0.02 * 1500 * 800
+
+
+def test_block_join_meets_every_pair_once(spark):
+    left = spark.range(70).selectExpr("id AS x", "id % 3 AS part")
+    right = spark.range(50).selectExpr("id AS y")
+    got = block_join(left, right, (F.col("x") + F.col("y")) % 5 == 0, left_rows=16, right_rows=7).select("x", "y")
+    assert sorted(map(tuple, got.collect())) == sorted((x, y) for x in range(70) for y in range(50) if (x + y) % 5 == 0)
+    assert block_join(left.limit(0), right, F.lit(True)).count() == 0
 
 
 def test_containment_is_literal(spark):
@@ -52,12 +78,32 @@ def test_containment_is_literal(spark):
     assert got == {("ab", "xxabyy"), ("ab", "abc"), ("a%c", "a%c"), ("hello wor", "say hello world")}
 
 
-def test_salted_join_equals_join(spark):
-    left = spark.range(6000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
-    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("7", 3), ("absent", 4)], "k string, v int")
-    got = salted_join(left, right, "k", F.col("id") % 2 == 0)
-    want = left.join(right, "k").where(F.col("id") % 2 == 0)
-    assert sorted(map(tuple, got.select("k", "id", "v").collect())) == sorted(map(tuple, want.select("k", "id", "v").collect()))
+@pytest.mark.parametrize("hot_left", [True, False])
+@pytest.mark.parametrize("hot_right", [True, False])
+def test_salted_join_equals_join(spark, hot_left, hot_right):
+    def side(n, hot, name):
+        key = F.when((F.col("id") % 3 == 0) & F.lit(hot), "hot").when(F.col("id") % 101 == 0, None).otherwise((F.col("id") % 97).cast("string"))
+        return spark.range(n).select(key.alias("k"), (F.col("id") % 2).alias("part"), F.col("id").alias(name))
+
+    left, right = side(3000, hot_left, "id").withColumnRenamed("part", "p"), side(600, hot_right, "v").withColumnRenamed("part", "q")
+    cond = (F.col("id") + F.col("v")) % 4 == 0
+    got, want = (df.select("k", "p", "id", "q", "v") for df in (salted_join(left, right, "k", cond), left.join(right, "k").where(cond)))
+    assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count() and got.count() > 100
+    two = salted_join(left.withColumn("j", F.col("p")), right.withColumn("j", F.col("q")), ["k", "j"])
+    assert two.count() == left.join(right, (left["k"] == right["k"]) & (left["p"] == right["q"])).count()
+
+
+def test_salted_join_deals_out_keys_of_both_sides(spark):
+    """A key with a third of the rows on both sides: no cell gets more than a 32nd of it from either."""
+    left = spark.range(30000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    right = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
+    met = salted_join(left, right, "k").where("k = 'hot'")
+    assert met.count() == 10000 * 1000
+    plan = salted_join(left, right, "k")._jdf.queryExecution().analyzed().toString()
+    assert plan.count("xxhash64") == 2
+    per_row = met.groupBy("id").count().agg(F.min("count"), F.max("count")).first()
+    assert tuple(per_row) == (1000, 1000)
+
 
 
 @pytest.mark.parametrize("size", [1, 2, 5, 100, 1001])

@@ -1,20 +1,23 @@
 """Joins of two name lists by edit distance or by containment, without a nested loop.
 
-Edit distance uses the pigeonhole idea of published segment-filter joins (Li, Deng, Wang, Feng,
+Few edits use the pigeonhole idea of published segment-filter joins (Li, Deng, Wang, Feng,
 "Pass-Join", PVLDB 2011): a string cut into k+1 pieces must share at least one piece unchanged
-with any string at distance <= k, and the piece can move only a little.  Both inputs are
-reduced to distinct values first; lengths, letters in use and the distance are checked inside the join, so rejected candidates
-are never written or shuffled.  No pair is lost.  A piece that very many names share is split over
-several tasks.
+with any string at distance <= k, and the piece can move only a little.  Many edits use a block join whose
+first test is a bag distance on bitmaps.  Both inputs are reduced to distinct values first, and all tests run inside the
+join, so rejected candidates are never written or shuffled.  No pair is lost.  A piece that very many names share is
+split over several tasks.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import c
-from tidemark.functions.spread import salted_join
+from tidemark.functions.spread import block_join, salted_join
 
 
 def _values(df: DataFrame, col, name: str) -> DataFrame:
@@ -55,22 +58,54 @@ def _window_keys(v: str, k: int) -> str:
     return f"array_distinct(concat({long}, {short}))"
 
 
-def _letters(v: str) -> Column:
-    """Bits of the letters in use; letters may share a bit, which can only hide a difference."""
-    bit = "shiftleft(1L, pmod(ascii(x), 63))"
-    return F.expr(f"aggregate(split({v}, ''), 0L, (bits, x) -> if(x = '', bits, bits | {bit}))")
+SLOTS, LEVELS = 13, 4
+
+
+def _bag(v: str, name: str) -> list[Column]:
+    """How often each letter occurs, in unary, as bits of two longs.
+
+    Letters have their own slot, other characters share one with a letter, and counts stop at LEVELS; both can only
+    hide differences.
+    """
+    slots = f"transform(filter(split({v}, ''), x -> x != ''), x -> pmod(ascii(x) - 65, {2 * SLOTS}))"
+
+    def half(base: int) -> Column:
+        at = f"cast({LEVELS} * (s - {base}) as int)"
+        full = (1 << LEVELS) - 1
+        more = f"bits | shiftleft((shiftleft(shiftright(bits, {at}) & {full}L, 1) | 1L) & {full}L, {at})"
+        return F.expr(f"aggregate(filter({slots}, s -> s >= {base} and s < {base + SLOTS}), 0L, (bits, s) -> {more})")
+
+    return [half(0).alias(f"{name}_lo"), half(SLOTS).alias(f"{name}_hi")]
+
+
+def _alike(a: str, b: str, k: int) -> Column:
+    """Whether neither bag holds more than k letters that the other lacks; true for all names within k edits."""
+
+    def lacking(x: str, y: str) -> Column:
+        return reduce(add, (F.bit_count(F.col(f"{x}_{half}").bitwiseAND(F.bitwise_not(F.col(f"{y}_{half}")))) for half in ("lo", "hi")))
+
+    return (lacking(a, b) <= k) & (lacking(b, a) <= k)
+
+
+#: Up to so many edits a shared piece is rarer than a similar bag of letters.
+PIECES_UPTO = 3
 
 
 def edit_pairs(many: DataFrame, many_col, few: DataFrame, few_col, k: int) -> DataFrame:
-    """Distinct pairs (a, b, distance) with distance <= k; ``many`` is the larger list."""
-    cut = _values(many, many_col, "a").select("a", _letters("a").alias("_in_a"), F.explode(F.expr(_piece_keys("a", k))).alias("_key"))
-    moved = _values(few, few_col, "b").select("b", _letters("b").alias("_in_b"), F.explode(F.expr(_window_keys("b", k))).alias("_key"))
-    # an edit adds at most one letter to either name that the other lacks: a test of bits before the distance itself
-    both = F.col("_in_a").bitwiseAND(F.col("_in_b"))
-    alike = (F.bit_count(F.col("_in_a")) - F.bit_count(both) <= k) & (F.bit_count(F.col("_in_b")) - F.bit_count(both) <= k)
-    near = (F.abs(F.length("a") - F.length("b")) <= k) & alike & (F.levenshtein("a", "b", k) >= 0)
-    found = salted_join(cut, moved, "_key", near)
-    return found.select("a", "b").distinct().withColumn("distance", F.levenshtein("a", "b"))
+    """Distinct pairs (a, b, distance) with distance <= k; ``many`` is the larger list.
+
+    Few edits: names meet by shared pieces.  More edits leave pieces of one or two letters that all names share, so then
+    blocks of names meet and bags of letters, compared as bits, decide which distances are computed.
+    """
+    near = (F.abs(F.length("a") - F.length("b")) <= k) & _alike("_a", "_b", k) & (F.levenshtein("a", "b", k) >= 0)
+    left, right = _values(many, many_col, "a"), _values(few, few_col, "b")
+    if k > PIECES_UPTO:
+        found = block_join(left.select("a", *_bag("a", "_a")), right.select("b", *_bag("b", "_b")), near).select("a", "b")
+    else:
+        cut = left.select("a", *_bag("a", "_a"), F.explode(F.expr(_piece_keys("a", k))).alias("_key"))
+        moved = right.select("b", *_bag("b", "_b"), F.explode(F.expr(_window_keys("b", k))).alias("_key"))
+        found = salted_join(cut, moved, "_key", near).select("a", "b").distinct()
+    return found.withColumn("distance", F.levenshtein("a", "b"))
 
 
 def containment_pairs(names: DataFrame, name_col, texts: DataFrame, text_col, gram: int = 4) -> DataFrame:

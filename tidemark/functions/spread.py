@@ -144,29 +144,58 @@ def quantiles(df: DataFrame, keys: list[str], value: str, named: dict[str, float
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, key: str, cond: Column | None = None, *, share: float = 0.001, salts: int = 32
+    left: DataFrame, right: DataFrame, key: str | list[str], cond: Column | None = None, *, parts: int = 256, most: int = 32
 ) -> DataFrame:
-    """Inner join on ``key`` whose hot keys are split over ``salts`` tasks.
+    """Inner join on ``key`` that splits hot keys of either side over several tasks.
 
-    A key is hot if it holds more than ``share`` of the left rows, so there are fewer than
-    1 / share hot keys whatever the input: that is the proven bound of the broadcast.  Left rows of
-    a hot key are dealt out, right rows are repeated for every part; other keys are left alone.
+    A key is hot on a side if it holds more than a ``parts``-th of that side's rows, so there are fewer than
+    2 * ``parts`` hot keys whatever the input: that is the proven bound of the broadcast.  Rows of a hot key
+    are dealt out, one part for each ``parts``-th of the side but at most ``most``, and the rows of the other side are repeated
+    for every part; a key that is hot on both sides becomes a grid.  Other keys are left alone.
     ``cond`` is checked inside the join, before anything is written.
     """
-    counted = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counted.agg(F.sum("_n").alias("_all"))
-    hot = (
-        counted.crossJoin(F.broadcast(total))
-        .where(F.col("_n") > F.col("_all") * share)
-        .select(key, F.lit(True).alias("_hot"))
-    )
-    mine = left.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*left.columns), F.lit(salts))).otherwise(0).cast("int")
-    )
-    theirs = right.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
-    )
-    theirs = theirs.drop("_hot").withColumnsRenamed({key: "_rkey", "_salt": "_rsalt"})
-    on = (F.col(key) == F.col("_rkey")) & (F.col("_salt") == F.col("_rsalt"))
-    out = mine.drop("_hot").join(theirs, on if cond is None else on & cond)
-    return out.drop("_salt", "_rsalt", "_rkey")
+    keys = [key] if isinstance(key, str) else key
+
+    def splits(df: DataFrame, name: str) -> DataFrame:
+        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        total = counted.agg(F.sum("_n").alias("_all"))
+        share = F.col("_n") * parts / F.col("_all")
+        hot = counted.crossJoin(F.broadcast(total)).where(share > 1)
+        return hot.select(*keys, F.least(F.ceil(share), F.lit(most)).cast("int").alias(name))
+
+    hot = splits(left, "_of_left").join(splits(right, "_of_right"), keys, "full_outer")
+    once = {x: F.coalesce(F.col(x), F.lit(1)) for x in ("_of_left", "_of_right")}
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        """df with _own, the part of a row, and _other, every part of the other side."""
+        at = F.pmod(F.xxhash64(*df.columns), F.col(own)).cast("int").alias("_own")
+        marked = df.join(F.broadcast(hot), keys, "left").withColumns(once)
+        return marked.select(*df.columns, at, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias("_other"))
+
+    mine = dealt(left, "_of_left", "_of_right")
+    theirs = dealt(right, "_of_right", "_of_left").withColumnsRenamed({"_own": "_their_own", "_other": "_their_other"} | {k: f"_their_{k}" for k in keys})
+    on = (F.col("_own") == F.col("_their_other")) & (F.col("_other") == F.col("_their_own"))
+    for k in keys:
+        on &= F.col(k) == F.col(f"_their_{k}")
+    out = mine.join(theirs, on if cond is None else on & cond)
+    return out.drop("_own", "_other", "_their_own", "_their_other", *(f"_their_{k}" for k in keys))
+
+
+def block_join(left: DataFrame, right: DataFrame, cond: Column, *, left_rows: int = 16384, right_rows: int = 8192) -> DataFrame:
+    """Inner join by a condition that no key can stand for: a grid of cells of bounded size.
+
+    Rows of both sides are dealt into blocks of about so many rows; each pair of blocks is one cell, and so one key of an
+    equi-join.  No task holds more than its cells, no side is broadcast whole, and the condition is checked inside the
+    join.  The work is the product of the sides, so the condition should begin with what is cheap and rejects most.
+    """
+    rows, cols = (max(1, -(-df.count() // size)) for df, size in ((left, left_rows), (right, right_rows)))
+
+    def dealt(df: DataFrame, own: int, other: int) -> tuple[Column, Column]:
+        return F.pmod(F.xxhash64(*df.columns), F.lit(own)), F.explode(F.sequence(F.lit(0), F.lit(other - 1)))
+
+    i, j = dealt(left, rows, cols)
+    mine = left.select("*", i.alias("_i"), j.alias("_j")).withColumn("_cell", F.col("_i") * cols + F.col("_j"))
+    j, i = dealt(right, cols, rows)
+    theirs = right.select("*", j.alias("_j"), i.alias("_i")).withColumn("_their_cell", F.col("_i") * cols + F.col("_j"))
+    met = mine.drop("_i", "_j").join(theirs.drop("_i", "_j"), (F.col("_cell") == F.col("_their_cell")) & cond)
+    return met.drop("_cell", "_their_cell")

@@ -57,18 +57,36 @@ def _people(customers: DataFrame) -> DataFrame:
 
 def exact_match(people: DataFrame, listed: DataFrame) -> DataFrame:
     """Customers whose full name equals an active entry, ignoring case."""
-    return people.join(listed, people["_name"] == F.upper(listed["entity_name"])).withColumns(
+    return salted_join(people, listed.withColumn("_name", F.upper("entity_name")), "_name").withColumns(
         {"match_type": F.lit("EXACT_MATCH"), "match_score": F.lit(100.0), "edit_distance": F.lit(0)}
     )
 
 
-def fuzzy_match(people: DataFrame, listed: DataFrame, exact: DataFrame, k: int = 5) -> DataFrame:
-    """Names within ``k`` edits of an active entry, minus entries already matched exactly."""
-    pairs = edit_pairs(people, "_name", listed, F.upper("entity_name"), k)
+def name_pairs(customers: DataFrame, watch_list: DataFrame, *, as_of, k: int = 5) -> DataFrame:
+    """Distinct upper-case names (a) within ``k`` edits of an active entry (b), with their distance."""
+    listed = watch_list_enriched(watch_list, as_of=as_of).where("is_active")
+    return edit_pairs(_people(customers), "_name", listed, F.upper("entity_name"), k)
+
+
+def alias_pairs(customers: DataFrame, watch_list: DataFrame, *, as_of) -> DataFrame:
+    """Distinct upper-case names (a) that the alias text (b) of an active entry contains."""
+    listed = watch_list_enriched(watch_list, as_of=as_of).where("is_active")
+    return containment_pairs(_people(customers), "_name", listed, F.upper("entity_aliases"))
+
+
+def _matched(people: DataFrame, pairs: DataFrame, listed: DataFrame, listed_name) -> DataFrame:
+    """Customers and entries of the paired names; a name that very many hold, on either side, is split.
+
+    The small list goes first: each salted join reads its inputs twice, so those should be stored or small.
+    """
+    entries = salted_join(pairs, listed.withColumn("b", listed_name), "b").drop("b").withColumnRenamed("a", "_name")
+    return salted_join(people, entries, "_name")
+
+
+def fuzzy_match(people: DataFrame, listed: DataFrame, exact: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Entries whose name is paired with the customer's, minus entries already matched exactly."""
     return (
-        people.join(pairs, people["_name"] == pairs["a"])
-        .join(listed, F.col("b") == F.upper(listed["entity_name"]))
-        .drop("a", "b")
+        _matched(people, pairs, listed, F.upper("entity_name"))
         .join(exact.select("customer_id", "entity_id").distinct(), ["customer_id", "entity_id"], "left_anti")
         .withColumns(
             {
@@ -80,13 +98,10 @@ def fuzzy_match(people: DataFrame, listed: DataFrame, exact: DataFrame, k: int =
     )
 
 
-def alias_match(people: DataFrame, listed: DataFrame, exact: DataFrame) -> DataFrame:
+def alias_match(people: DataFrame, listed: DataFrame, exact: DataFrame, pairs: DataFrame) -> DataFrame:
     """Entries whose alias text contains the customer's full name."""
-    pairs = containment_pairs(people, "_name", listed, F.upper("entity_aliases"))
     return (
-        people.join(pairs, people["_name"] == pairs["a"])
-        .join(listed, F.col("b") == F.upper(listed["entity_aliases"]))
-        .drop("a", "b")
+        _matched(people, pairs, listed, F.upper("entity_aliases"))
         .join(exact.select("customer_id", "entity_id").distinct(), ["customer_id", "entity_id"], "left_anti")
         .withColumns({"match_type": F.lit("ALIAS_MATCH"), "match_score": F.lit(95.0), "edit_distance": F.lit(0)})
     )
@@ -132,21 +147,24 @@ def screening_inputs(customers: DataFrame, addresses: DataFrame, watch_list: Dat
     return people, listed
 
 
-def name_matches(customers, addresses, watch_list, *, as_of, kind: str = "all", k: int = 5) -> DataFrame:
+def name_matches(
+    customers, addresses, watch_list, pairs: DataFrame, aliases: DataFrame, *, as_of, kind: str = "all"
+) -> DataFrame:
+    """Matches of one kind or of all; the pairs are what ``name_pairs`` and ``alias_pairs`` give for the same inputs."""
     people, listed = screening_inputs(customers, addresses, watch_list, as_of=as_of)
     exact = exact_match(people, listed).select(*MATCH_COLUMNS)
     if kind == "exact":
         return exact
-    fuzzy = fuzzy_match(people, listed, exact, k).select(*MATCH_COLUMNS)
+    fuzzy = fuzzy_match(people, listed, exact, pairs).select(*MATCH_COLUMNS)
     if kind == "fuzzy":
         return fuzzy
-    alias = alias_match(people, listed, exact).select(*MATCH_COLUMNS)
+    alias = alias_match(people, listed, exact, aliases).select(*MATCH_COLUMNS)
     return alias if kind == "alias" else exact.unionByName(fuzzy).unionByName(alias)
 
 
-def customer_screening(customers, addresses, watch_list, *, as_of, k: int = 5) -> DataFrame:
+def customer_screening(customers, addresses, watch_list, pairs: DataFrame, aliases: DataFrame, *, as_of) -> DataFrame:
     """All matches with confidence, disposition, combined score and priority."""
-    found = name_matches(customers, addresses, watch_list, as_of=as_of, k=k)
+    found = name_matches(customers, addresses, watch_list, pairs, aliases, as_of=as_of)
     kind, score = F.col("match_type"), F.col("match_score")
     dob, nat = F.col("dob_match"), F.col("nationality_match")
     found = found.withColumns(
@@ -246,19 +264,18 @@ def high_risk_alerts(screening: DataFrame) -> DataFrame:
     )
 
 
-def exposed_person_matches(customers: DataFrame, exposed: DataFrame) -> DataFrame:
-    """Exact and near matches of customers to active exposed persons.
+def exposed_name_pairs(customers: DataFrame, exposed: DataFrame) -> DataFrame:
+    """Distinct upper-case names (cf, cl) of customers near those of active exposed persons, with exposed_person_id.
 
-    Near: same family name and first name within 2 edits, or the reverse, or one edit in each,
-    or full names within 3 edits.  Returns customer_id, match_kind and the person's columns.
+    Near: same family name and first name within 2 edits, or the reverse, or one edit in each, or full names within
+    3 edits.
     """
-    active = exposed.where("status = 'ACTIVE'")
     names = customers.select(
         F.upper("first_name").alias("cf"),
         F.upper("family_name").alias("cl"),
         F.upper(F.concat_ws(" ", "first_name", "family_name")).alias("cn"),
     ).distinct()
-    persons = active.select(
+    persons = exposed.where("status = 'ACTIVE'").select(
         "exposed_person_id",
         F.upper("first_name").alias("pf"),
         F.upper("last_name").alias("pl"),
@@ -272,29 +289,26 @@ def exposed_person_matches(customers: DataFrame, exposed: DataFrame) -> DataFram
     # a very common family or first name is split over several tasks
     same_last = keep(salted_join(names, persons.withColumn("cl", F.col("pl")), "cl", near_first))
     same_first = keep(salted_join(names, persons.withColumn("cf", F.col("pf")), "cf", near_last))
-    last_one = edit_pairs(names, "cl", persons, "pl", 1).where("distance = 1")
-    one_each = keep(
-        names.join(last_one, F.col("cl") == F.col("a")).join(
-            persons, (F.col("b") == F.col("pl")) & (F.levenshtein("cf", "pf", 1) == 1)
-        )
-    )
-    full = edit_pairs(names, "cn", persons, "pn", 3)
-    near_full = keep(names.join(full, F.col("cn") == F.col("a")).join(persons, F.col("b") == F.col("pn")))
-    near = same_last.union(same_first).union(one_each).union(near_full).distinct()
+    last_one = edit_pairs(names, "cl", persons, "pl", 1).where("distance = 1").select(F.col("a").alias("cl"), F.col("b").alias("pl"))
+    one_each = keep(salted_join(names, last_one.join(persons, "pl"), "cl", F.levenshtein("cf", "pf", 1) == 1))
+    full = edit_pairs(names, "cn", persons, "pn", 3).select(F.col("a").alias("cn"), F.col("b").alias("pn"))
+    # full names are all but unique among the distinct ones
+    near_full = keep(names.join(full.join(persons, "pn"), "cn"))
+    return same_last.union(same_first).union(one_each).union(near_full).distinct()
+
 
+def exposed_person_matches(customers: DataFrame, exposed: DataFrame, near: DataFrame) -> DataFrame:
+    """Exact and near matches of customers to active exposed persons; ``near`` is what ``exposed_name_pairs`` gives.
+
+    Returns customer_id, match_kind and the person's columns.
+    """
     who = customers.select("customer_id", F.upper("first_name").alias("cf"), F.upper("family_name").alias("cl"))
-    detail = active.drop("status")
-    exact = (
-        who.withColumn("cn", F.concat_ws(" ", "cf", "cl"))
-        .join(detail.withColumn("pn", F.upper("full_name")), F.col("cn") == F.col("pn"))
-        .select("customer_id", F.lit("EXACT").alias("match_kind"), *detail.columns)
-    )
-    fuzzy = (
-        who.join(near, ["cf", "cl"])
-        .join(detail, "exposed_person_id")
-        .select("customer_id", F.lit("FUZZY").alias("match_kind"), *detail.columns)
-    )
-    return exact.unionByName(fuzzy)
+    detail = exposed.where("status = 'ACTIVE'").drop("status")
+    exact = salted_join(
+        who.withColumn("_name", F.concat_ws(" ", "cf", "cl")), detail.withColumn("_name", F.upper("full_name")), "_name"
+    ).select("customer_id", F.lit("EXACT").alias("match_kind"), *detail.columns)
+    fuzzy = salted_join(who, near.join(detail, "exposed_person_id"), ["cf", "cl"])
+    return exact.unionByName(fuzzy.select("customer_id", F.lit("FUZZY").alias("match_kind"), *detail.columns))
 
 
 def exposed_match_score(first, family, p_first, p_last, p_full):

@@ -72,14 +72,17 @@ query("screening_status", lambda w: cu.screening_status(w["customer_360"], as_of
 query("screening_alerts", lambda w: cu.screening_alerts(cu.screening_status(w["customer_360"], as_of=AS_OF)))
 
 # ---- screening --------------------------------------------------------------------------------
-SCREEN = ("customer_current", "addresses_current", "in_watch_list")
+SCREEN = ("customer_current", "addresses_current", "in_watch_list", "name_pairs", "alias_pairs")
+for _name in ("name_pairs", "alias_pairs"):
+    mart(_name, lambda w, f=getattr(sc, _name): f(*w("customer_current", "in_watch_list"), as_of=AS_OF))
+mart("exposed_name_pairs", lambda w: sc.exposed_name_pairs(*w("customer_current", "in_exposed_persons")))
 query("watch_list_enriched", lambda w: sc.watch_list_enriched(w["in_watch_list"], as_of=AS_OF))
 for _kind in ("exact", "fuzzy", "alias"):
     query(f"name_match_{_kind}", lambda w, k=_kind: sc.name_matches(*w(*SCREEN), as_of=AS_OF, kind=k))
 mart("customer_screening", lambda w: sc.customer_screening(*w(*SCREEN), as_of=AS_OF))
 query("screening_summary", lambda w: sc.screening_summary(w["customer_screening"]))
 query("high_risk_alerts", lambda w: sc.high_risk_alerts(w["customer_screening"]))
-mart("exposed_person_matches", lambda w: sc.exposed_person_matches(*w("customer_current", "in_exposed_persons")))
+mart("exposed_person_matches", lambda w: sc.exposed_person_matches(*w("customer_current", "in_exposed_persons", "exposed_name_pairs")))
 
 # ---- payments ---------------------------------------------------------------------------------
 query("accounts_enriched", lambda w: pay.accounts_enriched(w["in_accounts"]))
