@@ -1,7 +1,7 @@
 """Credit, market and aggregated risk queries."""
 
 from oracle import QUERIES, VIEWS, d, mean, pct, r
-from oracle.bank import AS_OF
+from oracle.bank import AS_OF, TAG
 
 
 def _scale(odd, cuts, best):
@@ -9,13 +9,22 @@ def _scale(odd, cuts, best):
 
 
 _dd = lambda x: f"CAST({x} AS DOUBLE)"
-VIEWS["irb"] = f"""
+def _irb(day: str, until: str) -> str:
+    """Ratings on a day, from the payments that the condition lets through."""
+    return f"""
   SELECT customer_id, full_name, onboarding_date, {_scale("'CCC'", ("'B'", "'BB'", "'BBB'", "'A'", "'AA'"), "'AAA'")} AS credit_rating, {_dd(_scale(15, (8, 4, 2, 1, 0.5), 0.1))} AS pd_1_year, {_dd(_scale(25, (15, 8, 4, 2, 1), 0.3))} AS pd_lifetime, CAST(45 AS DOUBLE) AS lgd_rate,
-    coalesce(hd, 0) AS ead_amount, {_dd(_scale(150, (120, 100, 75, 50, 35), 20))} AS risk_weight, {AS_OF} AS rating_date, 'FOUNDATION_IRB' AS rating_methodology, 'RETAIL' AS portfolio_segment, {_scale(120, (60, 30, 0, 0, 0), 0)} AS days_past_due,
+    coalesce(hd, 0) AS ead_amount, {_dd(_scale(150, (120, 100, 75, 50, 35), 20))} AS risk_weight, {day} AS rating_date, 'FOUNDATION_IRB' AS rating_methodology, 'RETAIL' AS portfolio_segment, {_scale(120, (60, 30, 0, 0, 0), 0)} AS days_past_due,
     has_anomaly OR coalesce(sh > 20, FALSE) AS default_flag, coalesce(sh > 5, FALSE) AS watch_list_flag, coalesce(hd, 0) AS total_exposure_chf, {r('CAST(coalesce(hd, 0) * 6 AS DOUBLE) / 10')} AS secured_exposure_chf, {r('CAST(coalesce(hd, 0) * 4 AS DOUBLE) / 10')} AS unsecured_exposure_chf
-  FROM customer_current LEFT JOIN (SELECT customer_id, anomaly_percentage AS sh FROM tagged_share) t USING (customer_id) LEFT JOIN (SELECT customer_id, sum(current_balance_base) AS hd FROM balances GROUP BY 1) b USING (customer_id)"""
+  FROM customer_current LEFT JOIN (SELECT customer_id, {pct(f'count(CASE WHEN {TAG} THEN 1 END)', 'count(*)')} AS sh FROM scored WHERE {until} GROUP BY 1) t USING (customer_id)
+  LEFT JOIN (SELECT customer_id, sum(coalesce(bal, 0)) AS hd FROM accounts_enriched a LEFT JOIN (SELECT account_id, sum(base_amount) AS bal FROM in_transactions WHERE {until} GROUP BY 1) m ON a.account_id = m.account_id WHERE a.is_active GROUP BY 1) b USING (customer_id)"""
+
+
+VIEWS["irb"] = _irb(AS_OF, "TRUE")
+for _back in (1, 90):
+    VIEWS[f"irb_{_back}"] = _irb(f"({AS_OF} - {_back})", f"booking_date < {AS_OF} - {_back - 1}")
 QUERIES["irb_customer_ratings"] = f"SELECT * REPLACE ({d('ead_amount')} AS ead_amount, {d('total_exposure_chf')} AS total_exposure_chf) FROM irb"
-QUERIES["rating_history"] = f"SELECT customer_id, rating_date AS effective_date, credit_rating, pd_1_year, pd_lifetime, lgd_rate, risk_weight, default_flag, watch_list_flag, {d('total_exposure_chf')} AS total_exposure_chf, days_past_due, rating_date FROM irb"
+_stored = f"customer_id, rating_date AS effective_date, credit_rating, pd_1_year, pd_lifetime, lgd_rate, risk_weight, default_flag, watch_list_flag, {d('total_exposure_chf')} AS total_exposure_chf, days_past_due, rating_date"
+QUERIES["rating_history"] = " UNION ALL ".join(f"SELECT {_stored} FROM {v}" for v in ("irb", "irb_1", "irb_90"))
 _x = "total_exposure_chf"
 _d2 = lambda x: f"CAST({x} AS DECIMAL(6,2))"
 VIEWS["irbm"] = f"""
@@ -31,9 +40,6 @@ QUERIES["irb_rwa_summary"] = f"""
   SELECT {AS_OF} AS calculation_date, {d(f'sum({_x})')} AS total_exposure_chf, {r('sum(risk_weighted_assets_chf)')} AS total_rwa_chf, {r('sum(capital_requirement_chf)')} AS total_capital_requirement_chf, {r('sum(expected_loss_chf)')} AS total_expected_loss_chf, {pct('sum(risk_weighted_assets_chf)', f'sum({_x})')} AS average_risk_weight,
     CAST(15.2 AS DOUBLE) AS tier1_capital_ratio, CAST(18.5 AS DOUBLE) AS total_capital_ratio, CAST(5.8 AS DOUBLE) AS leverage_ratio, CAST(sum(default_count) AS BIGINT) AS default_customers, CAST(sum(customer_count) AS BIGINT) AS total_customers, {pct('sum(default_count)', 'sum(customer_count)')} AS portfolio_default_rate,
     {', '.join(f"{d(_seg(s, _x))} AS {s.lower()}_exposure_chf, {r(_seg(s, 'risk_weighted_assets_chf'))} AS {s.lower()}_rwa_chf" for s in ('RETAIL', 'CORPORATE', 'SME'))} FROM irbm"""
-# the snapshot of the day before holds the same ratings one notch lower for every fifth customer
-VIEWS["irbh"] = f"""
-  SELECT customer_id, {AS_OF} - 1 AS effective_date, CASE WHEN CAST(customer_id AS INT) % 5 = 0 THEN 'BBB' ELSE credit_rating END AS credit_rating, CASE WHEN CAST(customer_id AS INT) % 5 = 0 THEN NOT default_flag ELSE default_flag END AS default_flag FROM irb"""
 _rk = lambda x: f"CASE {x} WHEN 'AAA' THEN 7 WHEN 'AA' THEN 6 WHEN 'A' THEN 5 WHEN 'BBB' THEN 4 WHEN 'BB' THEN 3 WHEN 'B' THEN 2 WHEN 'CCC' THEN 1 END"
 _rate = "count(CASE WHEN a.default_flag THEN 1 END) * CAST(100 AS DOUBLE) / count(*)"
 _new, _cur = "count(CASE WHEN a.default_flag AND NOT coalesce(h.default_flag, FALSE) THEN 1 END)", "count(CASE WHEN NOT a.default_flag AND coalesce(h.default_flag, FALSE) THEN 1 END)"
@@ -42,7 +48,7 @@ QUERIES["irb_risk_trends"] = f"""
     {r(f"CAST(sum({_x} * {_d2('pd_1_year')} * {_d2('lgd_rate')}) AS DOUBLE) / 10000")} AS expected_loss_chf, {r(_rate)} AS default_rate, {_new} AS new_defaults, {_cur} AS cured_defaults, {_new} - {_cur} AS net_default_change,
     count(CASE WHEN {_rk('a.credit_rating')} > {_rk('h.credit_rating')} THEN 1 END) AS rating_migrations_up, count(CASE WHEN {_rk('a.credit_rating')} < {_rk('h.credit_rating')} THEN 1 END) AS rating_migrations_down,
     CASE WHEN avg(pd_1_year) BETWEEN 0.5 AND 2 THEN 9 WHEN avg(pd_1_year) BETWEEN 0.1 AND 5 THEN 7 ELSE 5 END AS model_performance_score, CAST(CASE WHEN {_rate} BETWEEN 0.5 AND 3 THEN 92.5 WHEN {_rate} BETWEEN 0.1 AND 5 THEN 87.2 ELSE 78.5 END AS DOUBLE) AS backtesting_accuracy, CAST(1 AS DOUBLE) AS stress_test_multiplier
-  FROM irb a LEFT JOIN irbh h ON a.customer_id = h.customer_id AND h.effective_date = {AS_OF} - 1 GROUP BY 2"""
+  FROM irb a LEFT JOIN (SELECT customer_id, credit_rating, default_flag FROM irb_1) h ON a.customer_id = h.customer_id GROUP BY 2"""
 
 VIEWS["frtb"] = """
   SELECT 'EQUITY' AS risk_class, 'EQUITY_LARGE_CAP' AS risk_bucket, customer_id, account_id, 'EQUITY' AS instrument_type, symbol AS instrument_name, 'CHF' AS currency, CAST(net_investment_chf AS DECIMAL(28,2)) AS position_value_chf, CAST(net_investment_chf AS DECIMAL(28,4)) AS delta_chf, CAST(NULL AS DECIMAL(28,4)) AS vega_chf,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from tidemark.plans.workspace import Workspace
 from tidemark.sources.files import clean, load_csv, parse_loose_json
 from tidemark.sources.schemas import LANDING, LIQUIDITY_NULLS
 from tidemark.sources.sinks import append_new, export_csv, run_in_order
+from tidemark.sources.snapshots import SnapshotStore
 from tidemark.streaming.ingest import ingest_stream, ingested
 
 # the whole order history is the look-back: the given data ends with the as-of date
@@ -205,7 +207,6 @@ mart(
     "irb_customer_ratings",
     lambda w: cr.irb_customer_ratings(*w("customer_360", "anomaly_analysis", "account_balances"), as_of=AS_OF),
 )
-query("rating_history", lambda w: cr.rating_history(w["irb_customer_ratings"]))
 query("irb_portfolio_metrics", lambda w: cr.irb_portfolio_metrics(w["irb_customer_ratings"], as_of=AS_OF))
 query(
     "irb_rwa_summary",
@@ -213,19 +214,35 @@ query(
 )
 
 
-def _day_before(w):
-    """Snapshot of the day before: every fifth customer stood elsewhere then."""
-    moved = F.col("customer_id").cast("int") % 5 == 0
-    return cr.rating_history(w["irb_customer_ratings"]).withColumns(
-        {
-            "effective_date": F.date_sub("effective_date", 1),
-            "credit_rating": F.when(moved, "BBB").otherwise(F.col("credit_rating")),
-            "default_flag": F.when(moved, ~F.col("default_flag")).otherwise(F.col("default_flag")),
-        }
+# days whose ratings are stored; trends compare the two latest
+RATED_DAYS = tuple((date.fromisoformat(AS_OF) - timedelta(days=x)).isoformat() for x in (90, 1, 0))
+
+
+def _ratings_on(w, day: str) -> DataFrame:
+    """Ratings from what was booked up to the end of a day."""
+    if day == AS_OF:
+        return w["irb_customer_ratings"]
+    booked = F.col("booking_date") < F.date_add(F.lit(day).cast("date"), 1).cast("timestamp_ntz")
+    scored, txns = (df.where(booked) for df in w("transaction_anomalies", "in_transactions"))
+    balances = pay.account_balances(
+        pay.accounts_enriched(w["in_accounts"]), txns, w["fx_enhanced"], as_of=day, lookback=WINDOW["lookback"]
     )
+    view = w["customer_360"]
+    return cr.irb_customer_ratings(view, pay.anomaly_analysis(view, scored), balances, as_of=day)
+
+
+def _rating_snapshots(w) -> SnapshotStore:
+    """The stored ratings; days that aren't stored yet are added."""
+    store = SnapshotStore(w.spark, f"{w.root}/snapshots/ratings", "effective_date")
+    stored = {d.isoformat() for d in store.dates()}
+    for day in RATED_DAYS:
+        if day not in stored:
+            store.add(cr.rating_history(_ratings_on(w, day)), day)
+    return store
 
 
-query("irb_risk_trends", lambda w: cr.irb_risk_trends(w["irb_customer_ratings"], _day_before(w), as_of=AS_OF))
+query("rating_history", lambda w: _rating_snapshots(w).read())
+query("irb_risk_trends", lambda w: cr.irb_risk_trends(w["irb_customer_ratings"], _rating_snapshots(w).latest(2, AS_OF), as_of=AS_OF))
 mart("frtb_risk_positions", lambda w: cr.frtb_risk_positions(*w("equity_positions", "fi_positions", "cmd_positions")))
 query("frtb_sensitivities", lambda w: cr.frtb_sensitivities(w["frtb_risk_positions"]))
 query("frtb_capital_charges", lambda w: cr.frtb_capital_charges(cr.frtb_sensitivities(w["frtb_risk_positions"])))
