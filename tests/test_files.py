@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark.operators import messages as ms
-from tidemark.sources import files, sinks
+from tidemark.sources import files, sinks, xml
 from tidemark.streaming.ingest import ingest_stream, ingested
 
 SCHEMA = "id STRING, name STRING, day DATE, amount DECIMAL(10,2)"
@@ -77,11 +77,76 @@ def test_xml_files_and_listing(spark, folder):
     )
     write(folder / "in" / "pacs008_1.xml", doc)
     write(folder / "in" / "sub" / "mortgage_1_internal.txt", "hello")
-    row = ms.credit_transfers(files.load_xml_text(spark, str(folder / "in"), "*.xml")).first()
+    row = ms.credit_transfers(xml.load_xml_text(spark, str(folder / "in"), "*.xml")).first()
     assert (row.message_id, row.end_to_end_id, row.transaction_currency) == ("M1", "E1", "EUR")
     assert row.is_high_value_payment and row.debtor_name is None and row.payment_corridor == "UNKNOWN -> UNKNOWN"
     found = files.list_files(spark, str(folder / "in"), "%mortgage%", "%_internal.txt").collect()
-    assert [(r.relative_path, r.size) for r in found] == [("mortgage_1_internal.txt", 5)]
+    assert [(r.relative_path, r.size) for r in found] == [("sub/mortgage_1_internal.txt", 5)]
+
+
+BODY = "Id: STRING, Entry: ARRAY<STRUCT<Amt: STRUCT<_VALUE: STRING, _Ccy: STRING>, Note: STRING>>"
+
+
+def loaded(spark, path, **options):
+    out = xml.load_xml(spark, str(path), "Document", BODY, **options)
+    rows = sorted((r.file_name, r.msg.Id, [e.Amt._VALUE if e.Amt else None for e in r.msg.Entry or []]) for r in out.rows.collect())
+    return rows, sorted((r.file_name, r._reject_reason) for r in out.rejects.collect())
+
+
+def test_several_documents_a_file(spark, folder):
+    doc = "<Document{1}><Id>{0}</Id><Entry><Amt Ccy='CHF'>{0}.5</Amt></Entry><Entry><Note>a &lt;b&gt; \n c</Note></Entry></Document>".format
+    head = '<?xml version="1.0"?>\r\n<!-- <Document>s follow -->\n'
+    write(folder / "in" / "a.xml", head + doc(1, "") + "\n" + doc(2, ' xmlns="urn:x"') + "<!-- more -->" + doc(3, "") + "\n\n")
+    write(folder / "in" / "b.xml", '<p:Document xmlns:p="urn:y"><p:Id>4</p:Id></p:Document>\n' + doc(5, "") + "<Document><Id>6</Id>")
+    write(folder / "in" / "c.xml", doc(7, "").replace("</Note>", "") + doc(8, "") + "trailing")
+    write(folder / "in" / "empty.xml", "")
+    write(folder / "in" / "d.txt", doc(9, ""))
+    rows, rejects = loaded(spark, folder / "in", glob="*.xml")
+    assert rows == [("a.xml", str(i), [f"{i}.5", None]) for i in (1, 2, 3)] + [("b.xml", "4", []), ("b.xml", "5", ["5.5", None]), ("c.xml", "8", ["8.5", None])]
+    assert rejects == [("b.xml", "no end of Document"), ("c.xml", "no end of Document"), ("c.xml", "not well formed")]
+
+
+def test_one_large_file_is_read_by_many_tasks(spark, folder):
+    docs = [f"<Document{' a=\"b\"' * (i % 2)}><Id>{i}</Id><Entry><Amt Ccy='CHF'>{i}</Amt></Entry></Document>\n" for i in range(500)]
+    write(folder / "in" / "all.xml", "".join(docs))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        assert xml.xml_pieces(spark, str(folder / "in"), "Document").rdd.getNumPartitions() > 5
+        rows, rejects = loaded(spark, folder / "in")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert rows == sorted(("all.xml", str(i), [str(i)]) for i in range(500)) and not rejects
+
+
+def test_catalogue_has_first_lines(spark, folder):
+    write(folder / "in" / "a.csv", "id,name\n" + "1,x\n" * 10)
+    write(folder / "in" / "sub" / "b.csv", '"Name", ID')
+    write(folder / "in" / "sub" / "none.csv", "")
+    got = files.file_catalogue(spark, str(folder / "in"), "%.csv").collect()
+    assert {(r.relative_path, r.size, r.header) for r in got} == {("a.csv", 48, "id,name"), ("sub/b.csv", 10, '"Name", ID')}
+    assert files.file_catalogue(spark, str(folder / "in"), "sub/%", header=False).count() == 1
+    assert files.header_names('"Name", ID ,"a, b"') == ("name", "id", "a, b")
+
+
+def test_headers_need_no_scan_of_the_data(spark, folder):
+    write(folder / "in" / "a.csv", "id,name,amount\n1,a,5\n")
+    write(folder / "in" / "b.csv", "amount,id\n7,2\n")
+    write(folder / "in" / "c.csv", "id,name,amount\n3,c,\n")
+    rows = files.load_csv(spark, str(folder / "in"), SCHEMA, by_name=True).rows
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2 and "Join" not in plan and "FileScan text" not in plan
+    assert sorted(r.id for r in rows.collect()) == ["1", "2", "3"]
+
+
+def test_messages_are_tagged_once_and_read_by_kind(spark, folder):
+    rows = [("pacs008_a.xml", "<x/>"), ("b.xml", "<FIToFIPmtStsRpt/>"), ("PACS002_c", "<FIToFICstmrCdtTrf/>"), ("d", "<y/>"), ("pacs008_e", None)]
+    df = spark.createDataFrame(rows, "file_name string, raw_xml string").withColumn("load_ts", F.lit(None).cast("timestamp_ntz"))
+    got = sinks.materialize(ms.tagged(df), str(folder / "m"), [ms.KIND])
+    assert {(r.file_name, r.kind) for r in got.collect()} == {("pacs008_a.xml", "pacs008"), ("b.xml", "pacs002"), ("PACS002_c", "pacs002"), ("PACS002_c", "pacs008")}
+    plan = ms.credit_transfers(got)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "kind" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert ms.credit_transfers(got).count() == ms.credit_transfers(df).count() == 2
 
 
 def test_unanswered_transfer_is_kept(spark):

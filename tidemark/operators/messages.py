@@ -47,8 +47,21 @@ def _top_level(body: str) -> list[str]:
     return [*parts, body[start:]]
 
 
-def _of_kind(messages: DataFrame, mark: str, root: str) -> DataFrame:
-    return messages.where(F.col("raw_xml").isNotNull() & (F.col("file_name").ilike(f"%{mark}%") | F.col("raw_xml").contains(root)))
+KIND = "kind"
+KINDS = {"pacs008": "FIToFICstmrCdtTrf", "pacs002": "FIToFIPmtStsRpt"}
+
+
+def tagged(messages: DataFrame) -> DataFrame:
+    """Messages with their kind, told by file name or outer element; a message of several kinds comes once for each.
+
+    Stored by kind, later readers open only the documents of theirs. Messages of no known kind are left out.
+    """
+    kinds = [F.when(F.col("file_name").ilike(f"%{mark}%") | F.col("raw_xml").contains(root), F.lit(mark)) for mark, root in KINDS.items()]
+    return messages.where(F.col("raw_xml").isNotNull()).withColumn(KIND, F.explode(F.array_compact(F.array(*kinds))))
+
+
+def _of_kind(messages: DataFrame, mark: str) -> DataFrame:
+    return (messages if KIND in messages.columns else tagged(messages)).where(F.col(KIND) == mark)
 
 
 def _each(df: DataFrame, items: str) -> DataFrame:
@@ -63,7 +76,7 @@ def _time(x) -> Column:
 
 def credit_transfers(messages: DataFrame) -> DataFrame:
     """Every transfer of every credit-transfer message as one typed row."""
-    df = parse_xml(_of_kind(messages, "pacs008", "FIToFICstmrCdtTrf"), "raw_xml", TRANSFER, "FIToFICstmrCdtTrf")
+    df = parse_xml(_of_kind(messages, "pacs008"), "raw_xml", TRANSFER, KINDS["pacs008"])
     df = _each(df, "msg.CdtTrfTxInf").withColumn("h", F.col("msg.GrpHdr"))
 
     def party(side: str, name: str) -> list[Column]:
@@ -121,7 +134,7 @@ TX_STATUS = {**GROUP_STATUS, "ACSC": "ACCEPTED_SETTLEMENT_COMPLETED", "ACSP": "A
 
 def status_reports(messages: DataFrame) -> DataFrame:
     """Every transaction status of every status report as one typed row."""
-    df = parse_xml(_of_kind(messages, "pacs002", "FIToFIPmtStsRpt"), "raw_xml", STATUS, "FIToFIPmtStsRpt")
+    df = parse_xml(_of_kind(messages, "pacs002"), "raw_xml", STATUS, KINDS["pacs002"])
     df = _each(df, "msg.TxInfAndSts").withColumns({"h": F.col("msg.GrpHdr"), "o": F.col("msg.OrgnlGrpInfAndSts")})
     tx, group, original = F.col("t.TxSts"), F.col("o.GrpSts"), F.col("o.OrgnlMsgId")
     return df.select(

@@ -25,10 +25,11 @@ from tidemark.operators import trades as tr
 from tidemark.plans import lookups
 from tidemark.plans.tables import AS_OF
 from tidemark.plans.workspace import Workspace
-from tidemark.sources.files import clean, load_csv, parse_loose_json
+from tidemark.sources.files import REASON, clean, file_catalogue, load_csv, parse_loose_json
 from tidemark.sources.schemas import LANDING, LIQUIDITY_NULLS
 from tidemark.sources.sinks import append_new, export_csv, run_in_order
 from tidemark.sources.snapshots import SnapshotStore
+from tidemark.sources.xml import load_xml
 from tidemark.streaming.ingest import ingest_stream, ingested
 
 # the whole order history is the look-back: the given data ends with the as-of date
@@ -36,6 +37,8 @@ WINDOW = {"as_of": AS_OF, "lookback": 3650}
 
 MARTS: dict[str, Callable[[Workspace], DataFrame]] = {}
 QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {}
+#: Columns by which a mart is stored.
+FOLDERS: dict[str, list[str]] = {}
 
 
 def mart(name: str, build, show=None) -> None:
@@ -321,8 +324,10 @@ query(
 )
 
 # ---- messages ---------------------------------------------------------------------------------
-mart("credit_transfers", lambda w: ms.credit_transfers(w["in_messages"]))
-mart("status_reports", lambda w: ms.status_reports(w["in_messages"]))
+MARTS["messages_by_kind"] = lambda w: ms.tagged(w["in_messages"])
+FOLDERS["messages_by_kind"] = [ms.KIND]
+mart("credit_transfers", lambda w: ms.credit_transfers(w["messages_by_kind"]))
+mart("status_reports", lambda w: ms.status_reports(w["messages_by_kind"]))
 query("payment_lifecycle", lambda w: ms.payment_lifecycle(*w("credit_transfers", "status_reports")))
 
 # ---- sources and sinks: tables go out as files and come back through the loaders ---------------
@@ -381,6 +386,31 @@ def _ordered_load(w):
     return w.spark.read.parquet(payments)
 
 
+def _xml_load(w):
+    """All messages in files of many, every seventh broken; each is either read or rejected."""
+    path, n = w.path("xml_messages"), F.regexp_extract("file_name", r"_(\d+)", 1).cast("long")
+    broken = F.when(n % 7 == 3, F.replace("raw_xml", F.lit("</MsgId>"), F.lit("")))
+    w["in_messages"].select(F.coalesce(broken, F.col("raw_xml"))).write.text(path)
+    body = f"{ms.KINDS['pacs008']}: STRUCT<{ms.TRANSFER}>, {ms.KINDS['pacs002']}: STRUCT<{ms.STATUS}>"
+    loaded = load_xml(w.spark, path, "Document", body)
+    head = [F.col(f"msg.{root}.GrpHdr.MsgId") for root in ms.KINDS.values()]
+    count = F.coalesce(*(F.size(f"msg.{ms.KINDS[kind]}.{items}") for kind, items in (("pacs008", "CdtTrfTxInf"), ("pacs002", "TxInfAndSts"))))
+    rows = loaded.rows.select(F.coalesce(*head).alias("message_id"), count.alias("entries"), F.lit(None).cast("string").alias("reason"))
+    rejects = loaded.rejects.select(F.regexp_extract("raw_xml", "<MsgId>([^<]*)", 1), F.lit(None).cast("int"), F.col(REASON))
+    return rows.union(rejects)
+
+
+def _list_files(w):
+    """Folder and header of the account files, a folder for each type."""
+    path = w.path("account_files")
+    w["in_accounts"].select("account_type", "account_id", "customer_id", "status").write.partitionBy("account_type").option("header", "true").csv(path)
+    found = file_catalogue(w.spark, path, "%.csv", "account_type=%")
+    folder = F.element_at(F.split("relative_path", "/"), 1)
+    return found.where("size > 0 AND last_modified IS NOT NULL").select(folder.alias("folder"), "header").distinct()
+
+
+query("xml_load", _xml_load)
+query("list_files", _list_files)
 query("csv_load", _csv_load)
 query("csv_load_by_name", _csv_by_name)
 query("csv_load_null_tokens", _csv_null_tokens)
@@ -520,6 +550,6 @@ def registered() -> dict[str, Callable]:
     """name -> callable(spark, sf_dir) for every query."""
 
     def bind(build):
-        return lambda spark, sf_dir: plain(build(Workspace.of(spark, sf_dir, MARTS)))
+        return lambda spark, sf_dir: plain(build(Workspace.of(spark, sf_dir, MARTS, FOLDERS)))
 
     return {name: bind(build) for name, build in QUERIES.items()}

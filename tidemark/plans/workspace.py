@@ -40,16 +40,21 @@ def shared_folder(spark: SparkSession) -> str:
 SHARED_INPUTS = frozenset(
     (
         "in_customers in_accounts in_transactions in_watch_list in_exposed_persons "
-        "in_equity_trades in_fi_trades in_cmd_trades in_hqla_holdings in_deposits"
+        "in_equity_trades in_fi_trades in_cmd_trades in_hqla_holdings in_deposits in_loan_extracts"
     ).split()
 )
 
+# inputs whose rows are long documents made from short rows: the short rows are dealt out first
+LONG_INPUTS = frozenset(("in_messages", "in_loan_extracts"))
+LONG_ROWS = 50_000
+
 
 class Workspace:
     _open: dict[tuple[str, str], Workspace] = {}
 
-    def __init__(self, spark: SparkSession, sf_dir: str, marts: dict[str, Callable[[Workspace], DataFrame]]):
+    def __init__(self, spark: SparkSession, sf_dir: str, marts: dict[str, Callable[[Workspace], DataFrame]], folders=None):
         self.spark = spark
+        self.folders: dict[str, list[str]] = folders or {}  # columns by which a mart is stored
         self.sf_dir = str(sf_dir).rstrip("/")
         self.marts = marts
         key = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:12]
@@ -58,11 +63,11 @@ class Workspace:
         self._paths = 0
 
     @classmethod
-    def of(cls, spark: SparkSession, sf_dir: str, marts) -> Workspace:
+    def of(cls, spark: SparkSession, sf_dir: str, marts, folders=None) -> Workspace:
         key = (spark.sparkContext.applicationId, str(sf_dir))
         found = cls._open.get(key)
         if found is None or found.spark is not spark:
-            found = cls._open[key] = cls(spark, sf_dir, marts)
+            found = cls._open[key] = cls(spark, sf_dir, marts, folders)
         return found
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -80,14 +85,21 @@ class Workspace:
             sql = SPARK_TABLES[name]
             text = re.sub(r"\{(\w+)\}", "\x01\\1\x02", sql).replace("{", "{{").replace("}", "}}")
             text = text.replace("\x01", "{").replace("\x02", "}")
-            frame = self.spark.sql(text, **{n: self[n] for n in needs(sql)})
+            deal = self._dealt if name in LONG_INPUTS else self.__getitem__
+            frame = self.spark.sql(text, **{n: deal(n) for n in needs(sql)})
             return self.written(name, frame) if name in SHARED_INPUTS else frame
-        return self.written(name, self.marts[name](self))
+        return self.written(name, self.marts[name](self), self.folders.get(name))
+
+    def _dealt(self, name: str) -> DataFrame:
+        """A base table in parts of bounded size, as a file may hold all of it in one row group."""
+        df = self[name]
+        parts = max(self.spark.sparkContext.defaultParallelism, -(-df.count() // LONG_ROWS))
+        return df.repartition(parts, *df.columns)
 
     def path(self, name: str) -> str:
         """A new folder in the shared area for files that a query writes itself."""
         self._paths += 1
         return f"{self.root}/files/{name}-{self._paths}"
 
-    def written(self, name: str, df: DataFrame) -> DataFrame:
-        return materialize(df, f"{self.root}/{name}")
+    def written(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+        return materialize(df, f"{self.root}/{name}", partition_by)

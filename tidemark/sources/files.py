@@ -1,7 +1,9 @@
-"""Reading landing files: CSV with a declared schema, XML documents, loose JSON, directory lists."""
+"""Reading landing files: CSV with a declared schema, loose JSON, directory lists."""
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import NamedTuple
 
@@ -76,30 +78,63 @@ def apply_schema(raw: DataFrame, schema: StructType, null_values=(), required=()
     return Loaded(rows, checked.where(F.col(REASON).isNotNull()))
 
 
+def _first_line(spark: SparkSession, path: str) -> str:
+    """First line of a file through its own file system; no more than a buffer is read."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
+    lines = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        return (lines.readLine() or "").removeprefix("\ufeff")
+    finally:
+        lines.close()
+
+
+def first_lines(spark: SparkSession, paths: list[str], threads: int = 16) -> list[str]:
+    """First line of every file, a few files at a time."""
+    with ThreadPoolExecutor(threads) as pool:
+        return list(pool.map(lambda path: _first_line(spark, path), paths))
+
+
+def file_catalogue(spark: SparkSession, path: str, *like: str, header: bool = True) -> DataFrame:
+    """path, relative_path, last_modified, size and header (the first line) of the files that ``list_files`` finds.
+
+    The listing is Spark's own; of each file only the first bytes are read, by the driver, which lists the files anyhow.
+    """
+    files = list_files(spark, path, *like)
+    if not header:
+        return files
+    paths = [r.path for r in files.select("path").collect()]
+    table = spark.createDataFrame(list(zip(paths, first_lines(spark, paths), strict=True)), "path string, header string")
+    return files.join(table, "path")
+
+
+def header_names(line: str) -> tuple[str, ...]:
+    """Lower-case names of a header line; quotes as in the data."""
+    return tuple(x.strip().lower() for x in next(csv.reader([line], skipinitialspace=True), []))
+
+
 def _by_header(spark: SparkSession, path: str, glob: str | None, names: list[str]) -> DataFrame:
     """Text values under the wanted names, each file read by its own first line.
 
-    The headers are a small table joined by file; only the width of the widest reaches the driver.
+    Files with one header are one scan, which names its columns itself, so no data is read to find names, nothing is
+    joined, and only wanted columns are parsed.
     """
-    lines = spark.read.options(**({"pathGlobFilter": glob} if glob else {})).text(path)
-    first = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
-    placed = lines.select(F.col("_metadata.file_path").alias(FILE), "value", first.alias("place"))
-    headers = placed.where("place.start = 0").groupBy(FILE).agg(F.min_by("value", "place").alias("header"))
-    width = headers.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 1
-    cells = [f"c{i}" for i in range(width)]
-    options = csv_options() | {"header": "false"}
-    parsed = F.from_csv("header", ", ".join(f"{x} string" for x in cells), {k: v for k, v in options.items() if k != "enforceSchema"})
-    titles = F.filter(F.array(*[F.lower(F.trim(parsed[x])) for x in cells]), lambda x: x.isNotNull())
-    text = StructType([StructField(x, StringType()) for x in [*cells, EXTRA]])
-    rows = spark.read.options(**csv_options(glob)).schema(text).csv(path)
-    rows = rows.select(F.array(*cells, EXTRA).alias("cells"), F.col("_metadata.file_path").alias(FILE))
-    rows = rows.join(headers.select(FILE, titles.alias("titles")), FILE)
-
-    def named(name: str) -> Column:
-        return F.get("cells", F.array_position("titles", F.lit(name.lower())).cast("int") - 1).alias(name)
-
-    beyond = F.filter(F.slice("cells", F.size("titles") + 1, len(cells) + 1), lambda x: x.isNotNull())
-    return rows.select(*map(named, names), F.get(beyond, F.lit(0)).alias(EXTRA), FILE)
+    listed = spark.read.format("binaryFile").options(**({"pathGlobFilter": glob} if glob else {})).load(path).select("path")
+    paths = [r.path for r in listed.collect()]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(paths, first_lines(spark, paths), strict=True):
+        groups.setdefault(header_names(line), []).append(file)
+
+    def scan(titles: tuple[str, ...], files: list[str]) -> DataFrame:
+        cells = [f"c{i}" for i in range(len(titles))]
+        text = StructType([StructField(x, StringType()) for x in [*cells, EXTRA]])
+        rows = spark.read.options(**csv_options()).schema(text).csv(files)
+        own = [F.col(cells[titles.index(n.lower())]) if n.lower() in titles else F.lit(None).cast("string") for n in names]
+        return rows.select(*(x.alias(n) for x, n in zip(own, names, strict=True)), EXTRA, F.col("_metadata.file_path").alias(FILE))
+
+    if not groups:
+        return spark.createDataFrame([], text_schema(StructType([StructField(n, StringType()) for n in names])).add(FILE, "string"))
+    return reduce(DataFrame.union, (scan(titles, files) for titles, files in groups.items()))
 
 
 def load_csv(
@@ -141,33 +176,20 @@ def parse_loose_json(col) -> Column:
     return F.try_parse_json(F.replace(c(col), F.lit("'"), F.lit('"')))
 
 
-def load_xml_text(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """One row per XML file: name, modification time, whole text.
-
-    Each file is one message; files are spread over tasks by Spark's own size-based splitting.
-    """
-    reader = spark.read.option("wholetext", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path).select(
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("load_ts"),
-        F.col("value").alias("raw_xml"),
-    )
-
-
 def list_files(spark: SparkSession, path: str, *like: str) -> DataFrame:
-    """Path, time and size of the files below a folder whose relative path matches all patterns.
+    """Path, time and size of the files below a folder whose path relative to it matches all patterns.
 
-    Only the file listing is read: the content column is pruned.
+    Only the file listing is read: the content column is pruned.  Files without content aren't listed.
     """
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString().rstrip("/")
     found = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(path)
         .select(
             F.col("path"),
-            F.element_at(F.split("path", "/"), -1).alias("relative_path"),
+            F.ltrim(F.substring("path", len(root) + 1, 1 << 20), F.lit("/")).alias("relative_path"),
             F.col("modificationTime").cast("timestamp_ntz").alias("last_modified"),
             F.col("length").alias("size"),
         )
