@@ -1,7 +1,9 @@
 """One row on each side of the documented thresholds, and edge inputs."""
 
+import random
 from datetime import date, datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,12 +129,16 @@ def _staff(spark, rows):
 
 
 def test_hierarchy_of_deep_and_cyclic_chains(spark):
-    chain = [("0", None, "SUPER_TEAM_LEADER")] + [(str(i), str(i - 1), "TEAM_LEADER") for i in range(1, 40)]
-    assert st.hierarchy(_staff(spark, chain)).agg(F.max("hierarchy_level")).first()[0] == 40
-    with pytest.raises(Exception, match="RECURSION"):
-        st.hierarchy(_staff(spark, chain), max_levels=10).collect()
+    chain = [("0", None, "SUPER_TEAM_LEADER")] + [(str(i), str(i - 1), "TEAM_LEADER") for i in range(1, 500)]
+    chain += [("a", "499", "CLIENT_ADVISOR"), ("b", "a", "ASSISTANT")]
+    got = {r.employee_id: r for r in st.hierarchy(_staff(spark, chain)).collect()}
+    assert len(got) == 502 and all(got[str(i)].hierarchy_level == i + 1 for i in range(500))
+    assert got["b"].hierarchy_path.split(" > ") == [str(i) for i in range(500)] + ["a", "b"]
+    assert got["a"].team_leader_id == got["b"].team_leader_id == "499" and got["7"].team_leader_id is None
     ring = [("1", "3", "SUPER_TEAM_LEADER"), ("2", "1", "TEAM_LEADER"), ("3", "2", "TEAM_LEADER")]
-    assert {r.employee_id for r in st.hierarchy(_staff(spark, ring)).collect()} == {"1", "2", "3"}
+    ring += [("4", "3", "SUPER_TEAM_LEADER"), ("5", "4", "TEAM_LEADER"), ("6", "6", "TEAM_LEADER"), ("7", "6", "TEAM_LEADER")]
+    got = sorted((r.employee_id, r.hierarchy_path) for r in st.hierarchy(_staff(spark, ring)).collect())
+    assert got == [("1", "1"), ("2", "1 > 2"), ("3", "1 > 2 > 3"), ("4", "1 > 2 > 3 > 4"), ("4", "4"), ("5", "1 > 2 > 3 > 4 > 5"), ("5", "4 > 5")]
 
 
 def test_quantiles_need_exact_values(spark):
@@ -162,3 +168,31 @@ def test_customers_count_once(spark):
     total = got["compliance_summary"](spark, sf).first().total_customers
     assert total == got["customer_risk_profile"](spark, sf).first().total_customers
     assert total == got["customer_360"](spark, sf).select("customer_id").distinct().count()
+
+
+def test_profile_reads_the_payments_once(spark, folder):
+    """Moments, distinct values and quantiles against a plain calculation, and one scan of the facts."""
+    rng = random.Random(3)
+    rows = [(rng.choice("aaab"), rng.choice([None, *range(-300, 300)]), rng.choice(["CHF", "EUR", None]), rng.choice("xyz"), datetime(2024, 1, rng.randint(1, 28), rng.randint(0, 23))) for _ in range(400)]
+    schema = "account_id string, amount int, currency string, counterparty_account string, booking_date timestamp_ntz"
+    path = str(folder / "t")
+    spark.createDataFrame([*rows, ("c", 1, "CHF", "x", datetime(2024, 1, 1))], schema).withColumn("amount", (F.col("amount") / 100).cast("decimal(12,2)")).write.parquet(path)
+    txns = spark.read.parquet(path)
+    got = {r.account_id: r for r in pay.behavioural_profile(txns, as_of="2024-02-01").collect()}
+    assert set(got) == {"a", "b"}
+    for account, r in got.items():
+        own = [x for x in rows if x[0] == account]
+        amounts, hours = [x[1] / 100 for x in own if x[1] is not None], [x[4].hour for x in own]
+        assert (r.total_transactions, r.active_days) == (len(own), len({x[4].date() for x in own}))
+        assert (r.distinct_currencies, r.distinct_counterparties) == (len({x[2] for x in own if x[2]}), len({x[3] for x in own}))
+        assert (float(r.min_transaction_amount), float(r.max_transaction_amount)) == (min(amounts), max(amounts))
+        for value, want in (
+            (r.avg_transaction_amount, np.mean(amounts)), (r.stddev_transaction_amount, np.std(amounts, ddof=1)),
+            (r.avg_transaction_hour, np.mean(hours)), (r.stddev_transaction_hour, np.std(hours, ddof=1)),
+            (r.weekend_transaction_ratio, np.mean([x[4].weekday() >= 5 for x in own])),
+            (r.median_transaction_amount, np.quantile(amounts, 0.5)), (r.large_transaction_threshold, np.quantile(amounts, 0.95)),
+            (r.q1_amount, np.quantile(amounts, 0.25)), (r.q3_amount, np.quantile(amounts, 0.75)),
+        ):
+            assert abs(value - want) < 1e-9
+    assert pay._counted(txns, 100, True)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert path not in pay.behavioural_profile(txns, as_of="2024-02-01")._jdf.queryExecution().executedPlan().toString()

@@ -80,11 +80,14 @@ def quantiles(df: DataFrame, keys: list[str], value: str, named: dict[str, float
         raise TypeError(f"{value} is {kind.simpleString()}; quantiles are exact for decimals and integers only")
     unit = 10 ** (kind.scale if isinstance(kind, DecimalType) else 0)
     counted = (
-        df.where(c(value).isNotNull())
-        .groupBy(*keys, (c(value) * unit).cast("bigint").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_b", _decade_bucket(F.col("_v")))
+        df.where(c(value).isNotNull()).groupBy(*keys, (c(value) * unit).cast("bigint").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     )
+    return counted_quantiles(counted, keys, unit, named)
+
+
+def counted_quantiles(counted: DataFrame, keys: list[str], unit: int, named: dict[str, float]) -> DataFrame:
+    """Quantiles from values that are counted already: keys, _v (the value times ``unit``) and _n (how often)."""
+    counted = counted.withColumn("_b", _decade_bucket(F.col("_v")))
     by_key = Window.partitionBy(*keys)
     upto = by_key.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     histogram = (

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import (
-    above, as_date, at_least, c, choose, day_number, days, distinct_list, flag, is_tagged, is_weekend, ladder,
+    above, as_date, at_least, c, choose, day_number, days, dbl, distinct_list, flag, is_tagged, is_weekend, ladder,
     mean, months_crossed, on_date, pct, ratio, rnd, sum_if, tag_of, zero,
 )
-from tidemark.functions.spread import quantiles
+from tidemark.functions.lineage import stored
+from tidemark.functions.spread import counted_quantiles
 
 
 def accounts_enriched(accounts: DataFrame) -> DataFrame:
@@ -117,45 +120,88 @@ def _since(df: DataFrame, column: str, as_of, n_days: int) -> DataFrame:
     return df.where(c(column) >= F.date_sub(on_date(as_of), n_days).cast("timestamp_ntz"))
 
 
+def _stddev(n: Column, total: Column, squares: Column) -> Column:
+    """Sample deviation from exact sums of integers; null for fewer than two."""
+    spread = squares.cast("decimal(38,0)") * n - total.cast("decimal(38,0)") * total
+    return F.when(n > 1, F.sqrt(F.greatest(dbl(spread), F.lit(0.0)) / dbl(n) / (dbl(n) - 1)))
+
+
+def _counted(used: DataFrame, unit: int, full: bool) -> DataFrame:
+    """One pass over the payments: how often an account has each amount, day, currency and counterparty.
+
+    Rows are account_id, kind, number (the amount in its smallest unit, or the day), text, n and for days the sums of
+    hours.  All kinds are combined before the shuffle, so a busy account is spread by its values.
+    """
+    nothing = F.lit(None)
+
+    def cell(kind: str, number=nothing, text=nothing) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), number.cast("bigint").alias("number"), text.cast("string").alias("text"))
+
+    cells = [cell("amount", F.col("amount") * unit), cell("day", F.unix_date(as_date("booking_date")))]
+    if full:
+        cells += [cell(x, text=F.col(x)) for x in ("currency", "counterparty_account")]
+    hour = F.hour("booking_date")
+    rows = used.select("account_id", hour.alias("hour"), F.explode(F.array(*cells)).alias("cell"))
+    return rows.groupBy("account_id", "cell.kind", "cell.number", "cell.text").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("hour").alias("hours"), F.sum(F.col("hour") * F.col("hour")).alias("squares")
+    )
+
+
 def behavioural_profile(
     txns: DataFrame, *, as_of, lookback: int = 450, min_n: int = 5, full: bool = True
 ) -> DataFrame:
     """Per-account statistics over the look-back, for accounts with at least ``min_n`` payments.
 
-    The single distinct count makes Spark combine on (account, day) before it combines on the
-    account, so one scan yields all moments without overloading a busy account.  ``full`` adds
-    the columns that scoring does not need.
+    The payments are read once, into a stored table of counts by account and value; moments, distinct days and exact
+    quantiles come from that table.  ``full`` adds the columns that scoring does not need.
     """
     used = _since(txns, "booking_date", as_of, lookback).where(
         F.col("booking_date") < on_date(as_of).cast("timestamp_ntz")
     )
-    n, active, hour = F.count(F.lit(1)), F.countDistinct(as_date("booking_date")), F.hour("booking_date")
-    base = (
-        used.groupBy("account_id")
-        .agg(
-            n.alias("total_transactions"),
-            mean("amount").alias("avg_transaction_amount"),
-            F.stddev_samp(F.col("amount").cast("double")).alias("stddev_transaction_amount"),
-            F.min("amount").alias("min_transaction_amount"),
-            F.max("amount").alias("max_transaction_amount"),
-            active.alias("active_days"),
-            ratio(n, active).alias("avg_daily_transaction_count"),
-            mean(hour).alias("avg_transaction_hour"),
-            F.stddev_samp(hour).alias("stddev_transaction_hour"),
-            ratio(F.count_if(is_weekend("booking_date")), n).alias("weekend_transaction_ratio"),
-        )
-        .where(F.col("total_transactions") >= min_n)
+    kind = used.schema["amount"].dataType
+    unit = 10**kind.scale
+    counted = stored(_counted(used, unit, full))
+    n, v, is_day, is_amount = F.col("n"), F.col("number"), F.col("kind") == "day", F.col("kind") == "amount"
+    valued = is_amount & v.isNotNull()
+
+    def total(when: Column, value: Column) -> Column:
+        return F.sum(F.when(when, value))
+
+    wide = v.cast("decimal(20,0)")
+    sums = counted.groupBy("account_id").agg(
+        total(is_day, n).alias("total_transactions"),
+        F.count_if(is_day & v.isNotNull()).alias("active_days"),
+        total(is_day & is_weekend(F.date_from_unix_date(v.cast("int"))), n).alias("_weekend"),
+        total(is_day, F.col("hours")).alias("_hours"),
+        total(is_day, F.col("squares")).alias("_squares"),
+        total(valued, n).alias("_n"),
+        total(valued, wide * n).alias("_sum"),
+        total(valued, (wide * wide).cast("decimal(38,0)") * n).alias("_sum2"),
+        F.min(F.when(valued, v)).alias("_min"),
+        F.max(F.when(valued, v)).alias("_max"),
+        F.count_if((F.col("kind") == "currency") & F.col("text").isNotNull()).alias("distinct_currencies"),
+        F.count_if((F.col("kind") == "counterparty_account") & F.col("text").isNotNull()).alias("distinct_counterparties"),
+    )
+    count, active = F.col("total_transactions"), F.col("active_days")
+    scale = F.lit(Decimal(1).scaleb(-kind.scale))
+    base = sums.where(count >= min_n).select(
+        "account_id",
+        "total_transactions",
+        ratio(F.col("_sum") * scale, "_n").alias("avg_transaction_amount"),
+        (_stddev(F.col("_n"), F.col("_sum"), F.col("_sum2")) / unit).alias("stddev_transaction_amount"),
+        *((F.col(f"_{x}") * scale).cast(kind).alias(f"{x}_transaction_amount") for x in ("min", "max")),
+        "active_days",
+        ratio(count, active).alias("avg_daily_transaction_count"),
+        ratio("_hours", count).alias("avg_transaction_hour"),
+        _stddev(count, F.col("_hours"), F.col("_squares")).alias("stddev_transaction_hour"),
+        ratio(zero("_weekend"), count).alias("weekend_transaction_ratio"),
+        *(["distinct_currencies", "distinct_counterparties"] if full else []),
     )
     cuts = {"median_transaction_amount": 0.5, "large_transaction_threshold": 0.95}
     if full:
         cuts |= {"q1_amount": 0.25, "q3_amount": 0.75}
-    out = base.join(quantiles(used, ["account_id"], "amount", cuts), "account_id")
-    if full:
-        # two distinct counts, each de-duplicated before it reaches one account's task
-        for col, name in (("currency", "distinct_currencies"), ("counterparty_account", "distinct_counterparties")):
-            pairs = used.select("account_id", col).distinct()
-            out = out.join(pairs.groupBy("account_id").agg(F.count(col).alias(name)), "account_id")
-    return out
+    amounts = counted.where(valued).select("account_id", v.alias("_v"), n.alias("_n"))
+    return base.join(counted_quantiles(amounts, ["account_id"], unit, cuts), "account_id")
 
 
 def transaction_anomalies(

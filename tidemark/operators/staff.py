@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.expr import (
     at_least, choose, days, distinct_list, ladder, mean, on_date, pct, ratio, rnd, sum_if, zero,
 )
+from tidemark.functions.lineage import stored
+from tidemark.functions.spread import salted_join
 
 CAPACITY = 200
 
@@ -16,34 +18,61 @@ def _name(prefix: str = ""):
     return F.concat_ws(" ", f"{prefix}first_name", f"{prefix}family_name")
 
 
-def hierarchy(employees: DataFrame, max_levels: int = 100) -> DataFrame:
-    """Everyone under a top leader, with level and paths, by a recursive query.
+TOP, ADVISOR = "SUPER_TEAM_LEADER", "CLIENT_ADVISOR"
 
-    Nobody is visited twice on a path, so a cyclic chain ends. A chain of more than ``max_levels`` levels is an error
-    of the query, never a shorter result.
+
+def chains(staff: DataFrame) -> DataFrame:
+    """employee_id and up: the employee, the manager, the manager's manager and so on, as structs of id, name and level.
+
+    Each round joins every unfinished chain with the chain of its last manager, so chains double: a chain of n levels takes
+    log2(n) rounds, however long. A chain ends where there is no manager, or before someone who is on it already.
+    """
+    known = staff.select(F.col("employee_id").alias("manager_employee_id"), F.lit(True).alias("_known")).distinct()
+    first = staff.join(known, "manager_employee_id", "left").select(
+        "employee_id",
+        F.array(F.struct(F.col("employee_id").alias("id"), F.col("full_name").alias("name"), F.col("position_level").alias("level"))).alias("up"),
+        F.when(F.col("_known"), F.col("manager_employee_id")).alias("next"),
+    )
+    state = stored(first)
+    while not state.where("next IS NOT NULL").isEmpty():
+        upper = state.select(F.col("employee_id").alias("next"), F.col("up").alias("more"), F.col("next").alias("then"))
+        ids = F.transform("up", lambda x: x["id"])
+        # one manager may head very many unfinished chains
+        met = salted_join(state.where("next IS NOT NULL"), upper, "next").withColumn(
+            "again", F.array_position(F.transform("more", lambda x: F.array_contains(ids, x["id"])), F.lit(True))
+        )
+        more = F.when(F.col("again") > 0, F.slice("more", 1, F.col("again").cast("int") - 1)).otherwise(F.col("more"))
+        longer = met.select("employee_id", F.concat("up", more).alias("up"), F.when(F.col("again") == 0, F.col("then")).alias("next"))
+        state = stored(state.where("next IS NULL").union(longer))
+    return state.select("employee_id", "up")
+
+
+def hierarchy(employees: DataFrame) -> DataFrame:
+    """Everyone under a top leader, with level and paths; below several top leaders once for each.
+
+    There is no limit to the levels, and a chain of managers that returns to itself ends there.
     """
     staff = employees.select(
         "employee_id", "first_name", "family_name", "position_level", "manager_employee_id", "country", "region",
         "employment_status", "hire_date", "performance_rating", _name().alias("full_name"),
     )
-    walked = employees.sparkSession.sql(
-        f"""
-        WITH RECURSIVE walk MAX RECURSION LEVEL {int(max_levels)} AS (
-          SELECT employee_id, 1 AS hierarchy_level, employee_id AS root_super_leader_id,
-            CAST(NULL AS STRING) AS team_leader_id, employee_id AS hierarchy_path, full_name AS hierarchy_path_names
-          FROM {{staff}} WHERE position_level = 'SUPER_TEAM_LEADER'
-          UNION ALL
-          SELECT e.employee_id, w.hierarchy_level + 1, w.root_super_leader_id,
-            CASE WHEN e.position_level = 'CLIENT_ADVISOR' THEN e.manager_employee_id ELSE w.team_leader_id END,
-            w.hierarchy_path || ' > ' || e.employee_id, w.hierarchy_path_names || ' > ' || e.full_name
-          FROM {{staff}} e JOIN walk w ON e.manager_employee_id = w.employee_id
-            AND NOT contains(' > ' || w.hierarchy_path || ' > ', ' > ' || e.employee_id || ' > '))
-        SELECT * FROM walk LIMIT ALL
-        """,
-        staff=staff,
+    at = F.explode(F.filter(F.sequence(F.lit(1), F.size("up")), lambda i: F.get("up", i - 1)["level"] == TOP)).alias("hierarchy_level")
+    placed = chains(staff).select("employee_id", "up", at)
+    down = placed.withColumn("down", F.reverse(F.slice("up", 1, F.col("hierarchy_level"))))
+    # the manager of the nearest advisor, the employee included, below the top leader
+    below = F.slice("up", 1, F.col("hierarchy_level") - 1)
+    advisor = F.array_position(F.transform(below, lambda x: F.coalesce(x["level"] == ADVISOR, F.lit(False))), F.lit(True))
+    leader = F.when(advisor > 0, F.get("up", advisor.cast("int")))
+    walked = down.select(
+        "employee_id",
+        "hierarchy_level",
+        F.get("down", F.lit(0))["id"].alias("root_super_leader_id"),
+        leader["id"].alias("team_leader_id"),
+        F.array_join(F.transform("down", lambda x: x["id"]), " > ").alias("hierarchy_path"),
+        F.array_join(F.transform("down", lambda x: x["name"]), " > ").alias("hierarchy_path_names"),
+        leader["name"].alias("team_leader_name"),
     )
-    leader = staff.select(F.col("employee_id").alias("team_leader_id"), F.col("full_name").alias("team_leader_name"))
-    return walked.join(staff, "employee_id").join(leader, "team_leader_id", "left")
+    return walked.join(staff, "employee_id")
 
 
 def _current(assignments: DataFrame) -> DataFrame:

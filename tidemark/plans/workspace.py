@@ -10,32 +10,14 @@ from __future__ import annotations
 
 import hashlib
 import re
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.functions.lineage import shared_folder
 from tidemark.plans.tables import BASE, SPARK_TABLES, needs
 from tidemark.sources.sinks import materialize
 
-CHECKPOINT_KEY = "spark.checkpoint.dir"
-
-
-_own_folder: dict[str, str] = {}
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach, as named by the session; only a local master may do without."""
-    folder = spark.conf.get(CHECKPOINT_KEY, None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
-        app = spark.sparkContext.applicationId
-        folder = _own_folder.setdefault(app, "") or tempfile.mkdtemp(prefix="tidemark-")
-        _own_folder[app] = folder
-    return folder.rstrip("/")
-
-
 # inputs that join or bound the facts and that many queries read: each is derived once
 SHARED_INPUTS = frozenset(
     (
