@@ -86,6 +86,15 @@ def test_identical_rows_are_one_document(spark):
     assert {(r.row.doc_id, r.n_removed) for r in late} == {(7, 0), (9, len(text)), (None, 149)}
 
 
+def test_equal_ids_and_equal_checksums_are_two_documents(spark):
+    """Two texts under one id, or under none, whose CRCs agree."""
+    passage = " ".join(f"t{i}" for i in range(60))
+    for doc in (None, 4):
+        df = spark.createDataFrame([(doc, f"plumless {passage}"), (doc, f"buckeroo {passage}")], "doc_id long, text string")
+        assert [r.n_removed for r in debruijn.repeated_words(df).collect()] == [60, 60]
+        assert sorted(r.n_removed for r in suffix_dedup.suffix_dedup(df).collect()) == [0, len(passage) + 1]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert debruijn.repeated_words(df).count() == 0

@@ -197,15 +197,16 @@ def test_held_out_accuracy(spark, name, label, parts, part, cut):
 
 def test_scores_ignore_everything_but_text(spark):
     docs = spark.createDataFrame([(1, "same text"), (2, "same text"), (None, "same text"), (4, None), (5, ""), (5, "")], "doc_id long, text string")
+    docs = docs.selectExpr("*", "'x' AS score", "'y' AS toxicity", "'z' AS row")
     labels = spark.createDataFrame([(1, 1), (2, 0), (4, None), (None, 1), (1, 1)], "doc_id long, quality int")
     weights = ftrl.learnt(docs, labels, "quality", ftrl.is_held_out(5, 0), quality.features, quality.HOW)
     out = quality.score_texts(docs, *weights).collect()
-    assert len({r.score for r in out if r.text}) == 1 and len({r.score for r in out if not r.text}) == 1
+    assert len({r.score for r in out if r.row.text}) == 1 and len({r.score for r in out if not r.row.text}) == 1
     none = ftrl.learnt(docs.limit(0), labels.limit(0), "quality", ftrl.is_held_out(5, 0), quality.features, quality.HOW)
     assert none[1] == 0 and quality.score_texts(docs.limit(0), *none).count() == 0
     toxic = labels.withColumnRenamed("quality", "toxic")
     scored = toxicity.with_scores(docs, toxic).collect()
-    assert len(scored) == 6 and len({r.toxicity for r in scored if r.text}) == 1
+    assert len(scored) == 6 and len({r.toxicity for r in scored if r.row.text}) == 1 and scored[0].row.toxicity == "y"
 
 
 def test_disguised_words_are_restored(spark):

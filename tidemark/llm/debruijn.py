@@ -28,7 +28,7 @@ from tidemark.llm.shared import stash, table
 
 WINDOW = 35
 GRAM = 10
-EDGE = "edge long, doc long, h int, lo int, copies int"
+EDGE = "edge long, doc long, h long, lo int, copies int"
 PLACE = ["doc", "h", "lo", "n"]
 KEPT = "n_words:long,n_removed:long,kept:string"
 
@@ -57,8 +57,8 @@ def _edges(length: int, block: int = 100_000) -> Callable:
                 held += len(start)
                 if held > block or i == batch.num_rows - 1:
                     full = np.concatenate(rows, axis=1)
-                    narrow = [pa.array(x.astype(np.int32)) for x in full[2:]]
-                    yield pa.RecordBatch.from_arrays([pa.array(full[0]), pa.array(full[1]), *narrow], ["edge", "doc", "h", "lo", "copies"])
+                    narrow = [pa.array(x.astype(np.int32)) for x in full[3:]]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, full[:3]), *narrow], ["edge", "doc", "h", "lo", "copies"])
                     rows, held = [], 0
 
     return run

@@ -55,7 +55,7 @@ def _windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
 def keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    return docs.select(F.struct("*").alias("row"), doc.alias("doc"), (F.crc32(text) - (1 << 31)).cast("int").alias("h"))
+    return docs.select(F.struct("*").alias("row"), doc.alias("doc"), F.xxhash64(text).alias("h"))
 
 
 def marked(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:

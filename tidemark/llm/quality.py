@@ -104,7 +104,7 @@ def scores(data: np.ndarray, offsets: np.ndarray, weights: np.ndarray, bias: flo
 
 
 def score_texts(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
-    """docs with a column score."""
+    """row (the columns of docs as they are) and score."""
 
     def score(texts: pa.Array) -> pa.Array:
         out = []
@@ -112,12 +112,12 @@ def score_texts(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
             out.append(scores(*rolling.binary(texts[at : at + 256]), weights, bias))
         return pa.array(np.concatenate(out) if out else np.zeros(0))
 
-    return docs.select("*", F.arrow_udf(score, "double")(F.col("text").cast("string")).alias("score"))
+    return docs.select(F.struct("*").alias("row"), F.arrow_udf(score, "double")(F.col("text").cast("string")).alias("score"))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     held_out = ftrl.is_held_out(FOLDS, FOLD)
     weights, bias = ftrl.learnt(docs, table(spark, sf_dir, "labels"), "quality", held_out, features, HOW)
-    found = score_texts(docs, weights, bias)
+    found = score_texts(docs, weights, bias).select("row.doc_id", "score")
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

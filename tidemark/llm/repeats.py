@@ -1,6 +1,6 @@
 """Span records of a table of documents, shared by the two operators on long repeats.
 
-A document is the pair (doc, h) of its id (null: the smallest long, so first in order) and the CRC of its
+A document is the pair (doc, h) of its id (null: the smallest long, so first in order) and a 64-bit hash of its
 text; rows with the same id and text are one document and get the same answer.
 """
 
@@ -18,7 +18,7 @@ from tidemark.llm import rolling
 
 NULL_ID = -(1 << 63)
 GLOBAL, SURE = 0, 1
-SCHEMA = "anchor long, content long, doc long, h int, base int, lo int, n int, copies int, kind int"
+SCHEMA = "anchor long, content long, doc long, h long, base int, lo int, n int, copies int, kind int"
 COLUMNS = SCHEMA.replace("long", "").replace("int", "").replace(",", "").split()
 
 
@@ -26,7 +26,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     """doc, h, base, text (null: empty) of a table with doc_id and text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    return docs.select(doc.alias("doc"), (F.crc32(text) - (1 << 31)).cast("int").alias("h"), F.lit(0).alias("base"), text.alias("text"))
+    return docs.select(doc.alias("doc"), F.xxhash64(text).alias("h"), F.lit(0).alias("base"), text.alias("text"))
 
 
 def combined(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
@@ -60,7 +60,8 @@ def as_batch(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
             pa.array(rows["anchor"].view(np.int64)),
             pa.array(rows["content"].view(np.int64)),
             pa.array(rows["doc"].astype(np.int64)),
-            *(pa.array(rows[c].astype(np.int32)) for c in ("h", "base", "lo", "n", "copies", "kind")),
+            pa.array(rows["h"].astype(np.int64)),
+            *(pa.array(rows[c].astype(np.int32)) for c in ("base", "lo", "n", "copies", "kind")),
         ],
         COLUMNS,
     )
@@ -100,7 +101,7 @@ def with_ranges(docs: DataFrame, flagged: DataFrame) -> DataFrame:
     """row (the columns of docs as they are), text, spots; spots is null where nothing is flagged."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    rows = docs.select(F.struct("*").alias("row"), doc.alias("doc"), (F.crc32(text) - (1 << 31)).cast("int").alias("h"), text.alias("text"))
+    rows = docs.select(F.struct("*").alias("row"), doc.alias("doc"), F.xxhash64(text).alias("h"), text.alias("text"))
     return rows.join(packed_ranges(flagged), ["doc", "h"], "left").select("row", "text", "spots")
 
 

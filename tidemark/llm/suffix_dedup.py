@@ -19,7 +19,7 @@ Equal spans of one block meet before the shuffle, so a passage with many copies
 
 Null text is empty. A null doc_id comes before all others. Rows with equal id and text are one document:
 each is returned with the same answer and none counts as the other's copy. Rows with one id but different
-texts are ordered by the CRC of the text. Columns besides doc_id and text are carried, whatever their names.
+texts are ordered by a hash of the text. Columns besides doc_id and text are carried, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,8 +39,8 @@ MIN_BYTES = 100
 #: k-grams of the two passes, as shares of min_bytes.
 GRAMS = (0.32, 0.84)
 OPEN = 2
-CUT = "doc long, h int, base int, text binary"
-SUFFIX = "key long, suffix binary, doc long, h int, lo int, kind int"
+CUT = "doc long, h long, base int, text binary"
+SUFFIX = "key long, suffix binary, doc long, h long, lo int, kind int"
 KEPT = "n_bytes:long,n_removed:long,n_spans:long,kept"
 
 

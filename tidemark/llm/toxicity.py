@@ -248,7 +248,7 @@ def scores(data: np.ndarray, offsets: np.ndarray, slots_in: Callable, weights: n
 
 
 def with_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs with a column toxicity; the model is learnt from the labelled rows that aren't held out."""
+    """row (the columns of docs as they are) and toxicity; the model is learnt from the labelled rows that aren't held out."""
     costs = trigram_costs(docs)
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     weights, bias = ftrl.learnt(known, labels, "toxic", ftrl.is_held_out(FOLDS, FOLD), features(costs), HOW)
@@ -259,12 +259,12 @@ def with_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
             out.append(scores(*rolling.binary(texts[at : at + 256]), slots_in, weights, bias))
         return pa.array(np.concatenate(out) if out else np.zeros(0))
 
-    return docs.select("*", F.arrow_udf(score, "double")(F.col("text").cast("string")).alias("toxicity"))
+    return docs.select(F.struct("*").alias("row"), F.arrow_udf(score, "double")(F.col("text").cast("string")).alias("toxicity"))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = with_scores(docs, table(spark, sf_dir, "labels"))
+    found = with_scores(docs, table(spark, sf_dir, "labels")).select("row.doc_id", "toxicity")
     return found.select(
         "doc_id",
         ftrl.is_held_out(FOLDS, FOLD).alias("held_out"),
