@@ -19,7 +19,7 @@ from tidemark.llm.shared import stash, table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under the toxicity threshold; null and empty texts stay."""
     scored = toxicity.with_scores(docs, table(spark, sf_dir, "labels"))
-    return scored.where(F.col("toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    return scored.where(F.col("toxicity") < toxicity.THRESHOLD).select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
