@@ -204,3 +204,8 @@ QUERIES["xml_load"] = """
     CASE WHEN NOT bad THEN CAST(1 + n % 3 AS INTEGER) END AS entries, CASE WHEN bad THEN 'not well formed' END AS reason
   FROM (SELECT raw_xml, n, n % 7 = 3 AS bad FROM (SELECT raw_xml, CAST(regexp_extract(file_name, '_([0-9]+)', 1) AS BIGINT) AS n FROM in_messages) m) q"""
 QUERIES["list_files"] = "SELECT DISTINCT 'account_type=' || account_type AS folder, 'account_id,customer_id,status' AS header FROM in_accounts"
+QUERIES["stream_account_totals"] = f"""
+  SELECT account_id, {d('sum(base_amount)')} AS balance, count(*) AS payments, count(CASE WHEN base_amount > 0 THEN 1 END) AS credits, count(CASE WHEN base_amount < 0 THEN 1 END) AS debits,
+    min(booking_date) AS first_booking, max(booking_date) AS last_booking, {d('max(base_amount)')} AS largest FROM in_transactions GROUP BY 1"""
+QUERIES["stream_daily_totals"] = f"""
+  SELECT CAST(booking_date AS DATE) AS booking_day, currency, {d('sum(amount)')} AS amount, count(*) AS payments, {d('max(amount)')} AS largest FROM in_transactions GROUP BY 1, 2"""

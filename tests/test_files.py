@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import messages as ms
 from tidemark.sources import files, sinks, xml
+from tidemark.streaming import refresh
 from tidemark.streaming.ingest import ingest_stream, ingested
 
 SCHEMA = "id STRING, name STRING, day DATE, amount DECIMAL(10,2)"
@@ -189,6 +190,35 @@ def test_stream_loads_each_file_once(spark, folder):
     assert seen == [1, 1] and spark.read.parquet(bad).count() == 1
 
 
+def test_totals_follow_the_ingest(spark, folder):
+    """Two batches, one of them replayed, and a batch after the totals were compacted equal the whole."""
+    totals = refresh.Totals(
+        keys={"k": F.lower("name")}, sums={"amount": "amount"}, counts={"n": True, "dear": F.col("amount") > 2}, least={"first": "day"}, greatest={"last": "day"}
+    )
+    path, moved = str(folder / "totals"), str(folder / "moved")
+    source, sink, check = (str(folder / x) for x in ("src", "sink", "check"))
+
+    def run(to):
+        ingest_stream(spark, source, SCHEMA, sink, check, refresh=refresh.refresher({to: totals})).awaitTermination()
+
+    def whole():
+        return sorted(map(tuple, totals.of(ingested(spark, sink)).collect()))
+
+    write(folder / "src" / "a.csv", "id,name,day,amount\n1,A,2024-01-01,1\n2,a,2024-02-01,5\n3,b,,\n")
+    run(path)
+    write(folder / "src" / "b.csv", "id,name,day,amount\n4,a,2023-01-01,2.5\n5,c,2024-01-01,9\n")
+    run(path)
+    for number in (0, 1):
+        refresh.refresher({path: totals})(spark.read.parquet(f"{sink}/_batch={number}"), number)
+    got = refresh.refreshed(spark, path, totals)
+    assert sorted(map(tuple, got.collect())) == whole() and got.count() == 3
+    refresh.compact(spark, path, totals, moved)
+    assert sorted(map(tuple, refresh.refreshed(spark, moved, totals).collect())) == whole()
+    write(folder / "src" / "c.csv", "id,name,day,amount\n6,c,2025-01-01,1\n")
+    run(moved)
+    assert sorted(map(tuple, refresh.refreshed(spark, moved, totals).collect())) == whole()
+
+
 def test_messages_with_several_entries(spark):
     def entry(i):
         return f"<CdtTrfTxInf><PmtId><EndToEndId>E{i}</EndToEndId></PmtId><IntrBkSttlmAmt Ccy='CHF'>{i}.50</IntrBkSttlmAmt></CdtTrfTxInf>"

@@ -31,6 +31,7 @@ from tidemark.sources.sinks import append_new, export_csv, run_in_order
 from tidemark.sources.snapshots import SnapshotStore
 from tidemark.sources.xml import load_xml
 from tidemark.streaming.ingest import ingest_stream, ingested
+from tidemark.streaming.refresh import Totals, refreshed, refresher
 
 # the whole order history is the look-back: the given data ends with the as-of date
 WINDOW = {"as_of": AS_OF, "lookback": 3650}
@@ -366,6 +367,41 @@ def _stream_ingest(w):
     return ingested(w.spark, sink)
 
 
+#: What an ingest of payments keeps up to date.
+ACCOUNT_TOTALS = Totals(
+    keys={"account_id": "account_id"},
+    sums={"balance": "base_amount"},
+    counts={"payments": True, "credits": "base_amount > 0", "debits": "base_amount < 0"},
+    least={"first_booking": "booking_date"},
+    greatest={"last_booking": "booking_date", "largest": "base_amount"},
+)
+DAILY_TOTALS = Totals(
+    keys={"booking_day": "CAST(booking_date AS DATE)", "currency": "currency"},
+    sums={"amount": "amount"},
+    counts={"payments": True},
+    greatest={"largest": "amount"},
+)
+
+
+def _stream_totals(w, name: str) -> DataFrame:
+    """Totals that follow the ingest batch by batch; the first batch is refreshed twice, as after a failure."""
+    source = _as_files(w, "in_transactions", "transactions", f"{name}_source")
+    sink, checkpoint = w.path(f"{name}_sink"), w.path(f"{name}_checkpoint")
+    totals = ACCOUNT_TOTALS if name == "stream_account_totals" else DAILY_TOTALS
+    kept = w.path(name)
+    refresh = refresher({kept: totals})
+
+    def again(rows: DataFrame, number: int) -> None:
+        refresh(rows, number)
+        if number == 0:
+            refresh(rows, number)
+
+    ingest_stream(
+        w.spark, source, LANDING["transactions"], sink, checkpoint, max_files=1, refresh=again
+    ).awaitTermination()
+    return refreshed(w.spark, kept, totals)
+
+
 def _insert_if_absent(w):
     path, df = w.path("insert_target"), w["in_transactions"].select("transaction_id", "account_id")
     append_new(w.spark, path, df.where("account_id < '5'"), ["transaction_id"])
@@ -415,6 +451,8 @@ query("csv_load", _csv_load)
 query("csv_load_by_name", _csv_by_name)
 query("csv_load_null_tokens", _csv_null_tokens)
 query("stream_ingest", _stream_ingest)
+for _name in ("stream_account_totals", "stream_daily_totals"):
+    query(_name, lambda w, n=_name: _stream_totals(w, n))
 query("insert_if_absent", _insert_if_absent)
 query("ordered_load", _ordered_load)
 query(
