@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import similar
 from tidemark.functions.similar import containment_pairs, edit_pairs
-from tidemark.functions.spread import block_join, latest, most_frequent, quantiles, salted_join, with_next
+from tidemark.functions.spread import block_join, cell_distinct, cell_mode, cells, latest, most_frequent, quantiles, salted_join, with_next
+from tidemark.operators import trades as tr
 
 
 def distance(a, b):
@@ -132,3 +133,33 @@ def test_mode_ties_take_smallest(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", "y"), ("a", "x"), ("b", "z")], "k string, v string")
     got = {r.k: (r.m, r.n) for r in most_frequent(df, ["k"], "v", "m", "n").collect()}
     assert got == {"a": ("x", 2), "b": ("z", 1)}
+
+
+def test_cells_give_modes_and_totals_at_once(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice("ab"), rng.choice(["x", "y", None]), rng.randint(1, 4), rng.randint(-5, 5)) for _ in range(300)] + [("c", None, 2, 1), ("d", "y", 1, 0), ("d", "x", 1, 0)]
+    df = spark.createDataFrame(rows, "k string, v string, w int, amount int")
+    found = cells(df, ["k"], {"v": F.col("v"), "w": F.col("w")}, F.sum("amount").alias("amount"))
+    one = F.col("kind") == "w"
+    got = found.groupBy("k").agg(
+        F.sum(F.when(one, F.col("n"))), F.sum(F.when(one, F.col("amount"))), cell_mode("v")["value"], cell_mode("v")["n"], cell_distinct("v"), cell_distinct("w")
+    )
+    for k, n, amount, mode, often, values, others in got.collect():
+        own = [r for r in rows if r[0] == k]
+        counted = {v: sum(r[1] == v for r in own) for v in {r[1] for r in own}}
+        assert (n, amount, often) == (len(own), sum(r[3] for r in own), max(counted.values())) and counted[mode] == often
+        assert (values, others) == (len({r[1] for r in own} - {None}), len({r[2] for r in own}))
+        assert mode == min((v for v in counted if counted[v] == often), key=lambda v: (v is not None, v or ""))
+
+
+def test_trade_reports_scan_the_trades_once(spark):
+    trades = trades_of(spark)
+    for report in (tr.equity_customer_activity(trades, as_of="2001-08-02"), tr.equity_currency_exposure(trades)):
+        assert report._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def trades_of(spark):
+    from tidemark.plans.catalog import FOLDERS, MARTS
+    from tidemark.plans.workspace import Workspace
+
+    return Workspace.of(spark, "/root/testdata/sf0.001", MARTS, FOLDERS)["in_equity_trades"]

@@ -56,6 +56,28 @@ def most_frequent(
     return best.select(*cols)
 
 
+def cells(df: DataFrame, keys: list[str], kinds: dict[str, Column], *measures: Column) -> DataFrame:
+    """keys, kind, value, n and measures: for every key how often each value of each kind occurs, from one scan.
+
+    Kinds are columns that are counted side by side (values as text).  Rows are combined before the shuffle and spread by
+    value, so modes, distinct counts and, from one of the kinds, totals of a busy key come from many tasks.
+    """
+    each = F.array(*(F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value")) for kind, value in kinds.items()))
+    rows = df.withColumn("_cell", F.explode(each))
+    return rows.groupBy(*keys, F.col("_cell.kind").alias("kind"), F.col("_cell.value").alias("value")).agg(F.count(F.lit(1)).alias("n"), *measures)
+
+
+def cell_mode(kind: str) -> Column:
+    """Aggregate over cells: the struct (value, n) of the commonest value of a kind; a tie goes to the smallest."""
+    own = F.col("kind") == kind
+    return F.min_by(F.when(own, F.struct("value", "n")), F.when(own, F.struct(-F.col("n"), F.col("value"))))
+
+
+def cell_distinct(kind: str) -> Column:
+    """Aggregate over cells: how many values of a kind there are, without null."""
+    return F.count_if((F.col("kind") == kind) & F.col("value").isNotNull())
+
+
 def _decade_bucket(cents: Column) -> Column:
     """Order-preserving bucket: sign, number of digits and the three leading digits.
 

@@ -13,7 +13,7 @@ from tidemark.functions.expr import (
     as_date, at_least, at_most, attach_total, c, choose, days, dbl, ladder, mean, months_crossed, on_date, pct, ratio,
     rnd, sum_if, weighted_mean,
 )
-from tidemark.functions.spread import most_frequent
+from tidemark.functions.spread import cell_distinct, cell_mode, cells
 
 ONE = 1
 
@@ -106,37 +106,55 @@ def equity_positions(trades: DataFrame, *, as_of) -> DataFrame:
 
 
 def equity_customer_activity(trades: DataFrame, *, as_of) -> DataFrame:
-    first, last, n = F.min("trade_date"), F.max("trade_date"), _n()
+    """Volumes, habits and tenure per customer, from one scan of the trades."""
+    kinds = {"day": as_date("trade_date"), "account": F.col("account_id")} | {x: F.col(x) for x in ("symbol", "market", "order_type")}
+    found = cells(
+        trades,
+        ["customer_id"],
+        kinds,
+        F.count_if(_buy()).alias("buys"),
+        F.count_if(_sell()).alias("sells"),
+        F.sum(_base()).alias("volume"),
+        F.count(_base()).alias("valued"),
+        F.max(_base()).alias("largest"),
+        F.sum("commission").alias("commission"),
+        F.sum(_bps()).alias("bps"),
+        F.count(_bps()).alias("with_bps"),
+        F.min("trade_date").alias("first"),
+        F.max("trade_date").alias("last"),
+    )
+    day = F.col("kind") == "day"
+
+    def total(name: str):
+        return F.sum(F.when(day, F.col(name)))
+
+    first, last, n = F.min("first"), F.max("last"), total("n")
     months = months_crossed(first, last)
-    base = trades.groupBy("customer_id").agg(
+    symbol = cell_mode("symbol")
+    return found.groupBy("customer_id").agg(
         n.alias("total_trades"),
-        F.count_if(_buy()).alias("total_buy_trades"),
-        F.count_if(_sell()).alias("total_sell_trades"),
-        F.sum(_base()).alias("total_volume_chf"),
-        rnd(F.sum("commission")).alias("total_commission_chf"),
-        rnd(mean(_base())).alias("average_trade_size_chf"),
-        F.max(_base()).alias("largest_trade_chf"),
-        rnd(F.avg(_bps())).alias("average_commission_bps"),
+        total("buys").alias("total_buy_trades"),
+        total("sells").alias("total_sell_trades"),
+        total("volume").alias("total_volume_chf"),
+        rnd(total("commission")).alias("total_commission_chf"),
+        rnd(ratio(total("volume"), total("valued"))).alias("average_trade_size_chf"),
+        F.max("largest").alias("largest_trade_chf"),
+        rnd(ratio(total("bps"), total("with_bps"))).alias("average_commission_bps"),
         as_date(first).alias("first_trade_date"),
         as_date(last).alias("last_trade_date"),
-        F.countDistinct(as_date("trade_date")).alias("trading_days"),
+        cell_distinct("day").alias("trading_days"),
         days(first, on_date(as_of)).alias("customer_tenure_days"),
         rnd(F.when(months > 0, n / months).otherwise(n.cast("double"))).alias("average_trades_per_month"),
         at_least(n, [(100, "VERY_ACTIVE"), (50, "ACTIVE"), (20, "MODERATE"), (5, "OCCASIONAL")], "INACTIVE").alias(
             "trader_category"
         ),
+        cell_distinct("account").alias("unique_accounts"),
+        symbol["value"].alias("most_traded_symbol"),
+        symbol["n"].alias("most_traded_symbol_count"),
+        cell_distinct("symbol").alias("unique_symbols"),
+        cell_mode("market")["value"].alias("preferred_market"),
+        cell_mode("order_type")["value"].alias("preferred_order_type"),
     )
-    key = ["customer_id"]
-    accounts = trades.select(*key, "account_id").distinct().groupBy(*key).agg(F.count("account_id").alias("unique_accounts"))
-    modes = [
-        accounts,
-        most_frequent(trades, key, "symbol", "most_traded_symbol", "most_traded_symbol_count", "unique_symbols"),
-        most_frequent(trades, key, "market", "preferred_market"),
-        most_frequent(trades, key, "order_type", "preferred_order_type"),
-    ]
-    for m in modes:
-        base = base.join(m, key, "left")
-    return base
 
 
 def _term(days_left):
@@ -346,19 +364,32 @@ def equity_positions_by_security(trades: DataFrame) -> DataFrame:
 
 
 def equity_currency_exposure(trades: DataFrame, base_ccy: str = "CHF") -> DataFrame:
-    foreign = trades.where(F.col("currency") != base_ccy)
-    grouped = foreign.groupBy("currency").agg(
-        _n().alias("trade_count"),
-        F.sum(F.abs("gross_amount")).alias("total_original_volume"),
-        F.sum(_base()).alias("total_chf_volume"),
-        rnd(mean("fx_rate"), 6).alias("avg_fx_rate"),
-        F.min("fx_rate").alias("min_fx_rate"),
-        F.max("fx_rate").alias("max_fx_rate"),
+    """Trades in foreign currencies, from one scan; the few currencies are spread by customer and symbol."""
+    found = cells(
+        trades.where(F.col("currency") != base_ccy),
+        ["currency"],
+        {"customer": F.col("customer_id"), "symbol": F.col("symbol")},
+        F.sum(F.abs("gross_amount")).alias("original"),
+        F.sum(_base()).alias("volume"),
+        F.sum("fx_rate").alias("rates"),
+        F.count("fx_rate").alias("rated"),
+        F.min("fx_rate").alias("low"),
+        F.max("fx_rate").alias("high"),
+    )
+
+    def total(name: str):
+        return F.sum(F.when(F.col("kind") == "customer", F.col(name)))
+
+    return found.groupBy("currency").agg(
+        total("n").alias("trade_count"),
+        total("original").alias("total_original_volume"),
+        total("volume").alias("total_chf_volume"),
+        rnd(ratio(total("rates"), total("rated")), 6).alias("avg_fx_rate"),
+        F.min("low").alias("min_fx_rate"),
+        F.max("high").alias("max_fx_rate"),
+        cell_distinct("customer").alias("unique_customers"),
+        cell_distinct("symbol").alias("unique_symbols"),
     )
-    for value, name in (("customer_id", "unique_customers"), ("symbol", "unique_symbols")):
-        seen = foreign.select("currency", value).distinct().groupBy("currency").agg(F.count(value).alias(name))
-        grouped = grouped.join(seen, "currency")
-    return grouped
 
 
 def high_value_equity_trades(trades: DataFrame, threshold: int = 100000) -> DataFrame:
