@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import similar
 from tidemark.functions.similar import containment_pairs, edit_pairs
 from tidemark.functions.spread import block_join, cell_distinct, cell_mode, cells, latest, most_frequent, quantiles, salted_join, with_next
+from tidemark.operators import metrics as mt
 from tidemark.operators import trades as tr
 
 
@@ -163,3 +164,25 @@ def trades_of(spark):
     from tidemark.plans.workspace import Workspace
 
     return Workspace.of(spark, "/root/testdata/sf0.001", MARTS, FOLDERS)["in_equity_trades"]
+
+
+def test_facts_are_reduced_before_they_are_joined(spark):
+    """Metrics by the columns of another table: one aggregate under the join; the same values as a plain query."""
+    fact = spark.range(900).select(
+        (F.col("id") % 7).alias("customer_id"), (F.col("id") % 3).alias("kind"), ((F.col("id") * 13) % 101 - 20).alias("x"), F.when(F.col("id") % 5 > 0, F.col("id")).alias("y")
+    )
+    who = spark.createDataFrame([(i, "AB"[i % 2], i) for i in range(6)], "id long, country string, tier long")
+    model = mt.Model(
+        "fact", {"n": mt._count("y"), "total": mt._sum("x"), "average": mt._avg("y"), "top": mt._max("x"), "low": mt._count_if(lambda: F.col("x") < 0)}, {"who": ("customer_id", "id", ("country", "tier"))}
+    )
+    tables = {"fact": fact, "who": who}.__getitem__
+    both = fact.join(who, fact["customer_id"] == who["id"], "left")
+    for dims in (["country", "kind"], ["kind"], ["tier"], []):
+        got = mt.metric_query(model, tables, metrics=list(model.metrics), dims=dims)
+        want = both.groupBy(*dims).agg(F.count("y"), F.sum("x"), F.round(F.avg("y"), 2), F.max("x"), F.count_if(F.col("x") < 0))
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert ("Join" in plan) == (bool(set(dims) & {"country", "tier"})) and (plan.count("Aggregate [") >= 2 or "Join" not in plan)
+    assert mt.metric_query(model, tables, metrics=["n", "low"], filters=F.col("x") > 1000).first() == (0, 0)
+    with pytest.raises(KeyError):
+        mt.metric_query(model, tables, metrics=["n"], dims=["nowhere"])

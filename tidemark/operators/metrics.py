@@ -8,37 +8,67 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.expr import mean, rnd
+from tidemark.functions.expr import ratio, rnd
 
 
 @dataclass(frozen=True)
-class Model:
-    """A fact table, the tables it refers to, its dimensions and its metrics.
+class Metric:
+    """An aggregate in two steps: parts of the facts, which may be merged any number of times, and the value of parts."""
 
-    ``relations`` maps a table name to (key in the fact, key in the table, columns to add).
-    ``dims`` None means every column of the fact may be used.
-    """
+    parts: tuple[tuple[Callable[[], Column], Callable[[str], Column]], ...]
+    value: Callable[..., Column] = lambda part: part
 
-    fact: str
-    metrics: dict[str, Callable[[], Column]] = field(default_factory=dict)
-    relations: dict[str, tuple[str, str, tuple[str, ...]]] = field(default_factory=dict)
-    dims: tuple[str, ...] | None = None
+    def names(self, name: str) -> list[str]:
+        return [f"_{name}_{i}" for i in range(len(self.parts))]
+
+    def of_facts(self, name: str) -> list[Column]:
+        return [first().alias(n) for n, (first, _) in zip(self.names(name), self.parts, strict=True)]
+
+    def merged(self, name: str) -> Column:
+        own = (again(n) for n, (_, again) in zip(self.names(name), self.parts, strict=True))
+        return self.value(*own).alias(name)
+
+
+def _counted(part: str) -> Column:
+    return F.coalesce(F.sum(part), F.lit(0))
 
 
 def _count(x):
-    return lambda: F.count(x)
+    return Metric(((lambda: F.count(x), _counted),))
+
+
+def _count_if(cond):
+    return Metric(((lambda: F.count_if(cond()), _counted),))
 
 
 def _sum(x):
-    return lambda: F.sum(x)
+    return Metric(((lambda: F.sum(x), F.sum),))
+
+
+def _rounded_sum(x):
+    return Metric(((lambda: F.sum(x), F.sum),), rnd)
 
 
 def _avg(x):
-    return lambda: rnd(mean(x))
+    return Metric(((lambda: F.sum(x), F.sum), (lambda: F.count(x), F.sum)), lambda total, n: rnd(ratio(total, n)))
 
 
 def _max(x):
-    return lambda: F.max(x)
+    return Metric(((lambda: F.max(x), F.max),))
+
+
+@dataclass(frozen=True)
+class Model:
+    """A fact table, the tables it refers to, its dimensions and its metrics.
+
+    ``relations`` maps a table name to (key in the fact, key in the table, columns to add).
+    ``dims`` None means every column of the fact may be used.
+    """
+
+    fact: str
+    metrics: dict[str, Metric] = field(default_factory=dict)
+    relations: dict[str, tuple[str, str, tuple[str, ...]]] = field(default_factory=dict)
+    dims: tuple[str, ...] | None = None
 
 
 CUSTOMER_COLUMNS = ("country", "account_tier", "overall_risk_rating", "risk_classification", "lifecycle_stage")
@@ -70,8 +100,8 @@ MODELS: dict[str, Model] = {
             "transaction_count": _count("transaction_id"),
             "total_amount": _sum("amount"),
             "avg_amount": _avg("amount"),
-            "high_risk_count": lambda: F.count_if(
-                F.col("overall_anomaly_classification").isin("HIGH_ANOMALY", "CRITICAL_ANOMALY")
+            "high_risk_count": _count_if(
+                lambda: F.col("overall_anomaly_classification").isin("HIGH_ANOMALY", "CRITICAL_ANOMALY")
             ),
         },
         {"customers": TO_CUSTOMER},
@@ -93,7 +123,7 @@ MODELS: dict[str, Model] = {
         {
             "customer_risk_count": _count("customer_id"),
             "total_exposure_sum": _sum("total_exposure_chf"),
-            "total_capital_sum": lambda: rnd(F.sum("total_capital_requirement_chf")),
+            "total_capital_sum": _rounded_sum("total_capital_requirement_chf"),
             "avg_exposure": _avg("total_exposure_chf"),
             "max_concentration": _max("max_single_exposure_chf"),
         },
@@ -128,8 +158,8 @@ def metric_query(
 ) -> DataFrame:
     """Named metrics by dimensions; without metrics, the distinct dimension rows.
 
-    Only relations that a dimension needs are joined.  A referenced table is reduced to one row
-    per key first, so facts are never repeated.
+    The fact is reduced to one row per join key and own dimensions before it is joined, and only relations that a
+    dimension needs are joined.  A referenced table is reduced to one row per key first, so facts are never repeated.
     """
     m = MODELS[model] if isinstance(model, str) else model
     unknown = [x for x in metrics if x not in m.metrics]
@@ -138,18 +168,26 @@ def metric_query(
     df = tables(m.fact)
     if filters is not None:
         df = df.where(filters)
-    for table, (here, there, columns) in m.relations.items():
-        wanted = [x for x in columns if x in dims and x not in df.columns]
-        if wanted:
-            lookup = tables(table).select(F.col(there).alias("_key"), *wanted).distinct()
-            df = df.join(lookup, F.col(here) == F.col("_key"), "left").drop("_key")
-    missing = [x for x in dims if x not in df.columns or (m.dims is not None and x not in m.dims)]
+    own = [x for x in dims if x in df.columns]
+    joined = {t: [x for x in columns if x in dims and x not in own] for t, (_, _, columns) in m.relations.items()}
+    known = [*own, *(x for columns in joined.values() for x in columns)]
+    missing = [x for x in dims if x not in known or (m.dims is not None and x not in m.dims)]
     if missing:
         raise KeyError(f"unknown dimensions: {missing}")
+    needed = {t: columns for t, columns in joined.items() if columns}
+    keys = list(dict.fromkeys([*own, *(m.relations[t][0] for t in needed)]))
+    parts = [column for x in metrics for column in m.metrics[x].of_facts(x)]
+    if parts:
+        df = df.groupBy(*keys).agg(*parts)
+    else:
+        df = df.select(*keys).distinct()
+    for table, columns in needed.items():
+        here, there, _ = m.relations[table]
+        lookup = tables(table).select(F.col(there).alias("_key"), *columns).distinct()
+        df = df.join(lookup, F.col(here) == F.col("_key"), "left").drop("_key")
     if not metrics:
         return df.select(*dims).distinct()
-    exprs = [m.metrics[x]().alias(x) for x in metrics]
-    return df.groupBy(*dims).agg(*exprs) if dims else df.agg(*exprs)
+    return df.groupBy(*dims).agg(*(m.metrics[x].merged(x) for x in metrics))
 
 
 def wealth_detailed(performance: DataFrame, customer_view: DataFrame) -> DataFrame:

@@ -6,12 +6,14 @@ Every limited report has a unique last sort key, so the rows are the same on eve
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import (
     above, at_least, at_most, attach_total, below, choose, days, distinct_list, flag, ladder, mean, on_date, pct, ratio, rnd,
-    sum_if,
+    sum_if, zero,
 )
 from tidemark.functions.spread import quantiles
 from tidemark.operators.customer import MATCHED, one_per_customer
@@ -89,47 +91,55 @@ def quarterly_alerts(txns: DataFrame, scored: DataFrame, customer_view: DataFram
     )
 
 
-def alert_backlog(scored: DataFrame, accounts: DataFrame, customer_view: DataFrame, *, as_of) -> DataFrame:
-    """Open alerts by severity, service level, age and region."""
+def alert_backlog(scored: DataFrame, customer_view: DataFrame, *, as_of) -> DataFrame:
+    """Open alerts by severity, service level, age and region; alerts are counted by customer, day and class first."""
     homes = customer_view.select("customer_id", "country").distinct()
-    owner = accounts.select("account_id", F.col("customer_id").alias("_owner"))
-    df = (
-        scored.where(_cls().isin(*ALERTS))
-        .join(owner, "account_id", "left")
-        .join(homes.withColumnRenamed("customer_id", "_owner"), "_owner", "left")
-        .withColumn("age", days("value_date", on_date(as_of)))
-    )
+    counted = scored.where(_cls().isin(*ALERTS)).groupBy("customer_id", "value_date", _cls()).agg(_n().alias("alerts"))
+    df = counted.join(homes, "customer_id", "left").withColumn("age", days("value_date", on_date(as_of)))
     limit = choose(_cls(), {"CRITICAL_ANOMALY": 5, "HIGH_ANOMALY": 15}, 30)
-    age, home = F.col("age"), F.col("country")
-    late = F.count_if(age > limit)
+    age, home, n = F.col("age"), F.col("country"), F.col("alerts")
+
+    def total(when: Column | None = None) -> Column:
+        return zero(F.sum(n if when is None else F.when(when, n)))
+
+    late, dated = total(age > limit), total(age.isNotNull())
     nordic, central = flag(home.isin(*NORDICS)), flag(home.isin(*CENTRAL))
     return df.agg(
-        _n().alias("total_open_alerts"),
-        rnd(mean("age"), 1).alias("avg_age_days"),
+        total().alias("total_open_alerts"),
+        rnd(ratio(F.sum(age * n), dated), 1).alias("avg_age_days"),
         F.max("age").alias("oldest_alert_days"),
-        *[F.count_if(_cls() == x).alias(f"{x.split('_')[0].lower()}_open") for x in ALERTS],
+        *[total(_cls() == x).alias(f"{x.split('_')[0].lower()}_open") for x in ALERTS],
         late.alias("sla_breach_count"),
-        pct(late, _n()).alias("sla_breach_percentage"),
-        *_aging("alerts"),
-        F.count_if(nordic).alias("nordic_backlog"),
-        F.count_if(central).alias("central_europe_backlog"),
-        F.count_if(~nordic & ~central).alias("other_backlog"),
+        pct(late, total()).alias("sla_breach_percentage"),
+        *_aging("alerts", count=total),
+        total(nordic).alias("nordic_backlog"),
+        total(central).alias("central_europe_backlog"),
+        total(~nordic & ~central).alias("other_backlog"),
     )
 
 
-def _aging(prefix: str, age: str = "age") -> list[Column]:
+def _aging(prefix: str, age: str = "age", count: Callable[[Column], Column] = F.count_if) -> list[Column]:
     a = F.col(age)
     return [
-        F.count_if(a <= 7).alias(f"{prefix}_0_7_days"),
-        F.count_if((a > 7) & (a <= 30)).alias(f"{prefix}_8_30_days"),
-        F.count_if((a > 30) & (a <= 90)).alias(f"{prefix}_31_90_days"),
-        F.count_if(a > 90).alias(f"{prefix}_90_plus_days"),
+        count(a <= 7).alias(f"{prefix}_0_7_days"),
+        count((a > 7) & (a <= 30)).alias(f"{prefix}_8_30_days"),
+        count((a > 30) & (a <= 90)).alias(f"{prefix}_31_90_days"),
+        count(a > 90).alias(f"{prefix}_90_plus_days"),
     ]
 
 
 def risk_heatmap(txns, scored, accounts, customer_view, *, top: int = 10) -> DataFrame:
-    """Alert rate by country, by amount tier and by kind of customer."""
-    hit = scored.where(_cls().isin(*ALERTS)).select("transaction_id", "overall_anomaly_classification", F.lit(True).alias("_hit"))
+    """Alert rate by country, by amount tier and by kind of customer.
+
+    Payments and alerts are each reduced to one row per account and tier before anything is joined.
+    """
+    tier = at_least(
+        "amount", [(100000, "TIER_1_>100K"), (10000, "TIER_2_10K-100K"), (1000, "TIER_3_1K-10K")], "TIER_4_<1K"
+    ).alias("tier")
+    alerts = scored.where(_cls().isin(*ALERTS)).groupBy("account_id", tier)
+    alerts = alerts.agg(_n().alias("alerts"), F.count_if(_cls() == "CRITICAL_ANOMALY").alias("critical"))
+    paid = txns.groupBy("account_id", tier).agg(_n().alias("n"), F.sum("amount").alias("amount"), F.count("amount").alias("valued"))
+    rows = paid.join(alerts, ["account_id", "tier"], "left")
     kinds = one_per_customer(customer_view).select(
         "customer_id",
         "country",
@@ -145,30 +155,26 @@ def risk_heatmap(txns, scored, accounts, customer_view, *, top: int = 10) -> Dat
         F.max(F.col("exposed_person_match_type").isin(*MATCHED)).alias("_pep")
     )
     kinds = kinds.join(pep, "customer_id").withColumn("_kind", F.when(F.col("_pep"), "PEP").otherwise(F.col("_kind")))
-    rows = txns.select("transaction_id", "account_id", "amount").join(hit, "transaction_id", "left")
     owned = rows.join(accounts.select("account_id", "customer_id"), "account_id", "left").join(
         kinds.drop("_pep"), "customer_id", "left"
     )
+    hits = zero(F.sum("alerts"))
 
     def part(df, dimension, category, detail):
         out = df.groupBy(category.alias("category")).agg(
-            F.count_if("_hit").alias("alert_count"),
-            _n().alias("total_transactions"),
-            pct(F.count_if("_hit"), _n()).alias("alert_rate_pct"),
+            hits.alias("alert_count"),
+            F.sum("n").alias("total_transactions"),
+            pct(hits, F.sum("n")).alias("alert_rate_pct"),
             detail.cast("double").alias("detail_metric"),
         )
         return out.withColumn("risk_dimension", F.lit(dimension))
 
-    critical = F.count_if(_cls() == "CRITICAL_ANOMALY")
-    tier = at_least(
-        "amount", [(100000, "TIER_1_>100K"), (10000, "TIER_2_10K-100K"), (1000, "TIER_3_1K-10K")], "TIER_4_<1K"
-    )
     by_country = (
-        part(owned.where(F.col("country").isNotNull()), "COUNTRY_RISK", F.col("country"), critical)
+        part(owned.where(F.col("country").isNotNull()), "COUNTRY_RISK", F.col("country"), zero(F.sum("critical")))
         .orderBy(F.desc("alert_rate_pct"), "category")
         .limit(top)
     )
-    by_tier = part(rows, "AMOUNT_TIER", tier, rnd(mean("amount")))
+    by_tier = part(rows, "AMOUNT_TIER", F.col("tier"), rnd(ratio(F.sum("amount"), F.sum("valued"))))
     by_kind = part(owned, "CUSTOMER_TYPE", F.coalesce("_kind", F.lit("STANDARD")), F.max(F.lit(None).cast("double")))
     return by_country.unionByName(by_tier).unionByName(by_kind)
 

@@ -521,7 +521,7 @@ query("customer_completeness", lambda w: qu.customer_completeness(w["customer_cu
 VIEW, SCORED, PERF = "customer_360", "transaction_anomalies", "portfolio_performance"
 ONCE = "customers_once"  # the view with the strongest match of each customer
 query("quarterly_alerts", lambda w: rp.quarterly_alerts(*w("in_transactions", SCORED, VIEW)))
-query("alert_backlog", lambda w: rp.alert_backlog(*w(SCORED, "in_accounts", VIEW), as_of=AS_OF))
+query("alert_backlog", lambda w: rp.alert_backlog(*w(SCORED, VIEW), as_of=AS_OF))
 query("risk_heatmap", lambda w: rp.risk_heatmap(*w("in_transactions", SCORED, "in_accounts", VIEW)))
 query(
     "sanctions_universe",
