@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import similar
+from tidemark.functions import similar, spread
 from tidemark.functions.similar import containment_pairs, edit_pairs
 from tidemark.functions.spread import block_join, cell_distinct, cell_mode, cells, latest, most_frequent, quantiles, salted_join, with_next
 from tidemark.operators import metrics as mt
@@ -82,7 +82,8 @@ def test_containment_is_literal(spark):
 
 @pytest.mark.parametrize("hot_left", [True, False])
 @pytest.mark.parametrize("hot_right", [True, False])
-def test_salted_join_equals_join(spark, hot_left, hot_right):
+def test_salted_join_equals_join(spark, monkeypatch, hot_left, hot_right):
+    monkeypatch.setattr(spread, "EASY", 10)
     def side(n, hot, name):
         key = F.when((F.col("id") % 3 == 0) & F.lit(hot), "hot").when(F.col("id") % 101 == 0, None).otherwise((F.col("id") % 97).cast("string"))
         return spark.range(n).select(key.alias("k"), (F.col("id") % 2).alias("part"), F.col("id").alias(name))
@@ -95,10 +96,12 @@ def test_salted_join_equals_join(spark, hot_left, hot_right):
     assert two.count() == left.join(right, (left["k"] == right["k"]) & (left["p"] == right["q"])).count()
 
 
-def test_salted_join_deals_out_keys_of_both_sides(spark):
+def test_salted_join_deals_out_keys_of_both_sides(spark, monkeypatch):
     """A key with a third of the rows on both sides: no cell gets more than a 32nd of it from either."""
     left = spark.range(30000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
     right = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
+    assert "_of_left" not in salted_join(left, right, "k")._jdf.queryExecution().analyzed().toString()
+    monkeypatch.setattr(spread, "EASY", 500)
     met = salted_join(left, right, "k").where("k = 'hot'")
     assert met.count() == 10000 * 1000
     plan = salted_join(left, right, "k")._jdf.queryExecution().analyzed().toString()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType
@@ -168,41 +171,60 @@ def counted_quantiles(counted: DataFrame, keys: list[str], unit: int, named: dic
     )
 
 
+#: Rows of one key that a single task joins without trouble.
+EASY = 20_000
+
+
+def _hot_keys(left: DataFrame, right: DataFrame, keys: list[str], parts: int, most: int) -> DataFrame | None:
+    """keys, _of_left, _of_right: the hot keys of a join and into how many parts to deal each side; None without any."""
+    sides = [df.select(*keys, F.lit(x).alias("_l"), F.lit(1 - x).alias("_r")) for df, x in ((left, 1), (right, 0))]
+    counted = sides[0].unionAll(sides[1]).groupBy(*keys).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+    totals = counted.agg(F.sum("_l").alias("_all_l"), F.sum("_r").alias("_all_r"))
+
+    def hot(n: str) -> Column:
+        return (F.col(n) > EASY) & (F.col(n) * parts > F.col(f"_all{n}"))
+
+    def split(n: str) -> Column:
+        return F.when(hot(n), F.least(F.ceil(F.col(n) * parts / F.col(f"_all{n}")), F.lit(most))).otherwise(1).cast("int")
+
+    found = counted.crossJoin(F.broadcast(totals)).where(hot("_l") | hot("_r"))
+    found = found.select(*keys, split("_l").alias("_of_left"), split("_r").alias("_of_right"))
+    rows = found.collect()  # fewer than 2 * parts
+    return left.sparkSession.createDataFrame(rows, found.schema) if rows else None
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, key: str | list[str], cond: Column | None = None, *, parts: int = 256, most: int = 32
 ) -> DataFrame:
     """Inner join on ``key`` that splits hot keys of either side over several tasks.
 
-    A key is hot on a side if it holds more than a ``parts``-th of that side's rows, so there are fewer than
-    2 * ``parts`` hot keys whatever the input: that is the proven bound of the broadcast.  Rows of a hot key
-    are dealt out, one part for each ``parts``-th of the side but at most ``most``, and the rows of the other side are repeated
-    for every part; a key that is hot on both sides becomes a grid.  Other keys are left alone.
-    ``cond`` is checked inside the join, before anything is written.
+    A key is hot on a side if it holds more than a ``parts``-th of that side's rows (and more than EASY rows), so there
+    are fewer than 2 * ``parts`` hot keys whatever the input: that is the proven bound of the broadcast.  Rows of a hot key
+    are dealt out, one part for each ``parts``-th of the side but at most ``most``, and the rows of the other side are
+    repeated for every part; a key that is hot on both sides becomes a grid.  Other keys are left alone.
+    ``cond`` is checked inside the join, before anything is written.  Keys are counted first, so the inputs are read
+    twice and should be stored, or cheap to make.
     """
     keys = [key] if isinstance(key, str) else key
-
-    def splits(df: DataFrame, name: str) -> DataFrame:
-        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        total = counted.agg(F.sum("_n").alias("_all"))
-        share = F.col("_n") * parts / F.col("_all")
-        hot = counted.crossJoin(F.broadcast(total)).where(share > 1)
-        return hot.select(*keys, F.least(F.ceil(share), F.lit(most)).cast("int").alias(name))
-
-    hot = splits(left, "_of_left").join(splits(right, "_of_right"), keys, "full_outer")
-    once = {x: F.coalesce(F.col(x), F.lit(1)) for x in ("_of_left", "_of_right")}
-
-    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
-        """df with _own, the part of a row, and _other, every part of the other side."""
-        at = F.pmod(F.xxhash64(*df.columns), F.col(own)).cast("int").alias("_own")
-        marked = df.join(F.broadcast(hot), keys, "left").withColumns(once)
-        return marked.select(*df.columns, at, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias("_other"))
-
-    mine = dealt(left, "_of_left", "_of_right")
-    theirs = dealt(right, "_of_right", "_of_left").withColumnsRenamed({"_own": "_their_own", "_other": "_their_other"} | {k: f"_their_{k}" for k in keys})
-    on = (F.col("_own") == F.col("_their_other")) & (F.col("_other") == F.col("_their_own"))
-    for k in keys:
-        on &= F.col(k) == F.col(f"_their_{k}")
-    out = mine.join(theirs, on if cond is None else on & cond)
+    hot = _hot_keys(left, right, keys, parts, most)
+    if hot is None:
+        mine, theirs = left, right
+        on = [F.col(k) == F.col(f"_their_{k}") for k in keys]
+    else:
+
+        def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+            """df with _own, the part of a row, and _other, every part of the other side."""
+            of_own, of_other = (F.coalesce(F.col(x), F.lit(1)) for x in (own, other))
+            at = F.pmod(F.xxhash64(*df.columns), of_own).cast("int").alias("_own")
+            marked = df.join(F.broadcast(hot), keys, "left")
+            return marked.select(*df.columns, at, F.explode(F.sequence(F.lit(0), of_other - 1)).alias("_other"))
+
+        mine = dealt(left, "_of_left", "_of_right")
+        theirs = dealt(right, "_of_right", "_of_left").withColumnsRenamed({"_own": "_their_own", "_other": "_their_other"})
+        on = [F.col("_own") == F.col("_their_other"), F.col("_other") == F.col("_their_own")]
+        on += [F.col(k) == F.col(f"_their_{k}") for k in keys]
+    theirs = theirs.withColumnsRenamed({k: f"_their_{k}" for k in keys})
+    out = mine.join(theirs, reduce(and_, on if cond is None else [*on, cond]))
     return out.drop("_own", "_other", "_their_own", "_their_other", *(f"_their_{k}" for k in keys))
 
 
