@@ -95,6 +95,18 @@ def test_equal_ids_and_equal_checksums_are_two_documents(spark):
         assert sorted(r.n_removed for r in suffix_dedup.suffix_dedup(df).collect()) == [0, len(passage) + 1]
 
 
+@pytest.mark.parametrize("letters", [1024, 2048])
+def test_long_words_that_polynomials_cannot_tell_apart(spark, letters):
+    """A sequence of two letters and its complement."""
+    bits = [i.bit_count() & 1 for i in range(letters)]
+    one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    same = " ".join(f"t{i}" for i in range(34))
+    df = spark.createDataFrame([(1, f"{same} {one}"), (2, f"{same} {two}")], "doc_id long, text string")
+    assert [r.n_removed for r in debruijn.repeated_words(df).collect()] == [0, 0]
+    again = df.unionAll(df.selectExpr("doc_id + 2", "text"))
+    assert [r.n_removed for r in debruijn.repeated_words(again).collect()] == [35] * 4
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert debruijn.repeated_words(df).count() == 0

@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 BLOCK_BYTES = 1 << 20
+LONG_WORD = 256
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _BYTE = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -102,12 +104,15 @@ def byte_values(data: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = BLOCK_BYTES) -> np.ndarray:
+    """A hash of every word; long words have one that isn't linear, as polynomials fail on some sequences of 1 024 letters."""
     out, at = np.empty(len(starts), np.uint64), 0
     while at < len(starts):
         to = max(int(np.searchsorted(ends, starts[at] + block, side="right")), at + 1)
         base = starts[at]
         out[at:to] = slices(prefix(byte_values(data[base : ends[to - 1]])), starts[at:to] - base, ends[at:to] - base)
         at = to
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        out[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes(), seed=1)
     return out
 
 
