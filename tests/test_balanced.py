@@ -189,3 +189,25 @@ def test_facts_are_reduced_before_they_are_joined(spark):
     assert mt.metric_query(model, tables, metrics=["n", "low"], filters=F.col("x") > 1000).first() == (0, 0)
     with pytest.raises(KeyError):
         mt.metric_query(model, tables, metrics=["n"], dims=["nowhere"])
+
+
+def test_blocks_of_names_have_tasks_of_their_own(spark):
+    """Blocks are few bytes, so the adaptive planner would compare all of them in one task."""
+    names = spark.range(300).select(F.concat(F.lit("name "), F.col("id").cast("string")).alias("v"))
+    met = spread.block_pairs(names.withColumnRenamed("v", "a"), names.withColumnRenamed("v", "b"), "a", "b", size=50)
+    cells = met.select(F.spark_partition_id().alias("part"), F.size("mine") * F.size("theirs")).collect()
+    assert len(cells) == 36 and sum(n for _, n in cells) == 300 * 300
+    assert len({part for part, _ in cells}) > 12
+    grid = block_join(names.withColumnRenamed("v", "a"), names.withColumnRenamed("v", "b"), F.lit(True), left_rows=50, right_rows=50)
+    assert len({row[0] for row in grid.select(F.spark_partition_id()).distinct().collect()}) > 12
+
+
+@pytest.mark.parametrize("k", [4, 5, 9])
+def test_names_longer_than_a_machine_word(spark, k):
+    rng = random.Random(k)
+    left = words(rng, 25, 58, 72, "ab") + ["", "a", "a" * 64, "a" * 65]
+    right = [x[: rng.randint(50, 80)] + "b" * rng.randint(0, 3) for x in left] + ["", "ba", "a" * 69]
+    a, b = (spark.createDataFrame([(x,) for x in sorted(set(side))], "v string") for side in (left, right))
+    got = [tuple(r) for r in edit_pairs(a, "v", b, "v", k).select("a", "b", "distance").collect()]
+    want = {(x, y, distance(x, y)) for x in set(left) for y in set(right) if distance(x, y) <= k}
+    assert set(got) == want and len(got) == len(set(got))
