@@ -211,3 +211,23 @@ def test_names_longer_than_a_machine_word(spark, k):
     got = [tuple(r) for r in edit_pairs(a, "v", b, "v", k).select("a", "b", "distance").collect()]
     want = {(x, y, distance(x, y)) for x in set(left) for y in set(right) if distance(x, y) <= k}
     assert set(got) == want and len(got) == len(set(got))
+
+
+def test_busy_join_has_tasks_for_its_pairs(spark, monkeypatch):
+    """Two keys with many pairs and few bytes: the tasks follow the pairs, the rows stay the same."""
+    monkeypatch.setattr(spread, "PAIRS", 100)
+    a = spark.range(200).selectExpr("id AS x", "id % 20 AS k")
+    b = spark.range(300).selectExpr("id AS y", "id % 20 AS k")
+    plain = a.join(b, "k").where("(x + y) % 3 = 0")
+    joined = salted_join(a, b, "k", (F.col("x") + F.col("y")) % 3 == 0, busy=True)
+    assert sorted(map(tuple, joined.select("k", "x", "y").collect())) == sorted(map(tuple, plain.select("k", "x", "y").collect()))
+    assert len({r[0] for r in joined.select(F.spark_partition_id()).distinct().collect()}) > 4
+
+
+def test_trades_are_read_through_their_join(spark):
+    """A report on trades stores no wide copy of them and takes only its own columns from the line items."""
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["cmd_delta_exposure"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "l_orderkey" in line)
+    assert "lineitem.parquet" in scan and "l_tax" not in scan and "in_cmd_trades" not in plan
