@@ -231,3 +231,13 @@ def test_trades_are_read_through_their_join(spark):
     plan = entry.queries()["cmd_delta_exposure"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "FileScan" in line and "l_orderkey" in line)
     assert "lineitem.parquet" in scan and "l_tax" not in scan and "in_cmd_trades" not in plan
+
+
+def test_positions_are_aggregated_for_their_readers(spark):
+    """Risk reports store no positions, sum only the columns they read, and take rates and spreads from one pass."""
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["frtb_sensitivities"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert not any("positions" in line for line in scans) and "l_tax" not in plan
+    assert sum("lineitem.parquet" in line for line in scans) == 3
