@@ -241,3 +241,19 @@ def test_positions_are_aggregated_for_their_readers(spark):
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert not any("positions" in line for line in scans) and "l_tax" not in plan
     assert sum("lineitem.parquet" in line for line in scans) == 3
+
+
+def test_view_is_derived_before_hits_multiply_it(spark):
+    """What doesn't depend on a list hit is computed below the join with the hits."""
+    import __spark_entry__  # noqa: F401
+    from tidemark.plans.catalog import FOLDERS, MARTS
+    from tidemark.plans.workspace import Workspace
+
+    w = Workspace.of(spark, "/root/testdata/sf0.001", MARTS, FOLDERS)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        lines = MARTS["customer_360"](w)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    top = next(i for i, line in enumerate(lines) if "Join" in line)
+    assert not any("levenshtein" in line for line in lines[:top]) and any("levenshtein" in line for line in lines[top:])
