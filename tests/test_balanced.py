@@ -257,3 +257,30 @@ def test_view_is_derived_before_hits_multiply_it(spark):
         spark.conf.unset("spark.sql.debug.maxToStringFields")
     top = next(i for i, line in enumerate(lines) if "Join" in line)
     assert not any("levenshtein" in line for line in lines[:top]) and any("levenshtein" in line for line in lines[top:])
+
+
+def test_view_is_joined_for_its_readers(spark):
+    """Readers that count a customer once read no list hits; the strongest rows come without the product of matches."""
+    import __spark_entry__  # noqa: F401
+    from tidemark.operators import customer as cu
+    from tidemark.operators import loans as ln
+    from tidemark.operators import reports as rp
+    from tidemark.plans import lookups
+    from tidemark.plans.catalog import FOLDERS, MARTS
+    from tidemark.plans.tables import AS_OF
+    from tidemark.plans.workspace import Workspace
+
+    w = Workspace.of(spark, "/root/testdata/sf0.001", MARTS, FOLDERS)
+    view = w["customer_360"]
+    for df in (rp.credit_overview(view), ln.build_applications(w["extract_flat"], view, lookups.products(spark))):
+        scans = {line.split("FileScan")[1] for line in df._jdf.queryExecution().toString().splitlines() if "FileScan" in line}
+        assert not any("customer_360" in x or "customer_screening" in x for x in scans)
+    # every customer with several persons and several hits, some of them of one entity
+    persons, hits = w("customer_persons", "customer_screening")
+    more = [persons.withColumn(f"exposed_person_{x}_match_id", F.lit(f"P{x}")).withColumn(f"exposed_person_{x}_risk_level", F.lit(y)) for x, y in (("exact", "LOW"), ("fuzzy", "CRITICAL"))]
+    kinds = hits.select("customer_id").distinct().join(hits.drop("customer_id", "match_type").limit(3), how="cross")
+    again = [kinds.withColumn("match_type", F.lit(x)) for x in ("FUZZY_MATCH", "EXACT_MATCH")]
+    for people, found in ((persons, hits), (persons.union(more[0]).union(more[1]), again[0].unionByName(again[1]))):
+        whole = cu.one_per_customer(cu.customer_view(people, found, as_of=AS_OF))
+        once = cu.customers_once(people, found, as_of=AS_OF).select(*whole.columns)
+        assert whole.exceptAll(once).isEmpty() and once.exceptAll(whole).isEmpty() and not once.isEmpty()
