@@ -230,3 +230,49 @@ def test_messages_with_several_entries(spark):
     assert sorted(map(tuple, got), key=str) == sorted(
         [("pacs008_a.xml", i, f"E{i}", i + 0.5) for i in (1, 2, 3)] + [("pacs008_b.xml", None, None, None)], key=str
     )
+
+
+def _transfer(body: str) -> str:
+    return f"<Document><FIToFICstmrCdtTrf><GrpHdr><MsgId>M</MsgId></GrpHdr>{body}</FIToFICstmrCdtTrf></Document>"
+
+
+PLAIN = {
+    "schema order": "<CdtTrfTxInf><PmtId><TxId>T</TxId></PmtId><IntrBkSttlmAmt Ccy=\"EUR\">1.5</IntrBkSttlmAmt><Dbtr><Nm>D \u00e9 $1 \\2</Nm></Dbtr></CdtTrfTxInf>",
+    "other order": "<CdtTrfTxInf><Cdtr><PstlAdr><Ctry>CH</Ctry></PstlAdr><Nm>C</Nm></Cdtr>\n <PmtId><TxId>T</TxId><InstrId>I</InstrId></PmtId></CdtTrfTxInf>",
+    "other elements": "<X>1</X><CdtTrfTxInf><Purp><Cd>SALA</Cd></Purp><Dbtr><Nm>D</Nm><CtctDtls><Nm>no</Nm></CtctDtls></Dbtr></CdtTrfTxInf>",
+    "two entries": "<CdtTrfTxInf><Dbtr><Nm>1</Nm></Dbtr></CdtTrfTxInf><CdtTrfTxInf><Dbtr><PstlAdr><Ctry>CH</Ctry></PstlAdr></Dbtr></CdtTrfTxInf>",
+    "no entry": "",
+}
+OTHERS = {
+    "repeated part": "<CdtTrfTxInf><Dbtr><Nm>1</Nm></Dbtr><ChrgBr>S</ChrgBr><Dbtr><PstlAdr><Ctry>CH</Ctry></PstlAdr></Dbtr></CdtTrfTxInf>",
+    "reference": "<CdtTrfTxInf><Dbtr><Nm>a &amp; b</Nm></Dbtr></CdtTrfTxInf>",
+    "empty and untrimmed": "<CdtTrfTxInf><ChrgBr/><Dbtr><Nm> </Nm></Dbtr><Cdtr><Nm> c </Nm></Cdtr></CdtTrfTxInf>",
+    "in a comment": "<!-- <CdtTrfTxInf><ChrgBr>1</ChrgBr></CdtTrfTxInf> --><CdtTrfTxInf><ChrgBr>2</ChrgBr></CdtTrfTxInf>",
+    "in another": "<X><CdtTrfTxInf><ChrgBr>1</ChrgBr></CdtTrfTxInf></X>",
+    "between entries": "<CdtTrfTxInf><ChrgBr>1</ChrgBr></CdtTrfTxInf>&<CdtTrfTxInf><ChrgBr>2</ChrgBr></CdtTrfTxInf>",
+    "other case": "<cdttrftxinf><chrgbr>1</chrgbr></cdttrftxinf>",
+    "wrong end": "<CdtTrfTxInf><Purp><Cd>1</Xd></Purp><ChrgBr>1</ChrgBr></CdtTrfTxInf>",
+    "separators": "\x02\x01a\x01\x04",
+}
+
+
+def test_plain_messages_need_no_parser(spark, monkeypatch):
+    rows = [(k, _transfer(v)) for k, v in (PLAIN | OTHERS).items()] + [("marked", "\x03\x01a\x01\x02\x01b"), ("cut", _transfer("")[:-3])]
+    df = spark.createDataFrame(rows, "file_name string, raw_xml string").withColumns(
+        {"load_ts": F.lit(None).cast("timestamp_ntz"), ms.KIND: F.lit("pacs008")}
+    )
+    read = ms.Leaves(ms.StructType.fromDDL(ms.TRANSFER), ms.KINDS["pacs008"]).read(df, "raw_xml", "flat")
+    assert {r.file_name for r in read.where("flat IS NOT NULL").collect()} == set(PLAIN)
+    got = sorted(map(str, ms.credit_transfers(df).collect()))
+    # the same from the parser alone
+    monkeypatch.setattr(ms.Leaves, "read", lambda self, d, xml, out: d.withColumn(out, F.lit(None).cast("string")))
+    assert got == sorted(map(str, ms.credit_transfers(df).collect())) and len(got) == len(rows) + 1
+
+
+def test_tagging_makes_a_text_once(spark):
+    made = spark.range(3).select(
+        F.col("id").cast("string").alias("file_name"), F.concat(F.lit("<FIToFIPmtStsRpt/>MADE"), F.nullif("id", F.lit(1)).cast("string")).alias("raw_xml")
+    )
+    got = ms.tagged(made)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MADE") == 1
+    assert sorted(r.file_name for r in got.collect()) == ["0", "2"]
