@@ -284,3 +284,45 @@ def test_view_is_joined_for_its_readers(spark):
         whole = cu.one_per_customer(cu.customer_view(people, found, as_of=AS_OF))
         once = cu.customers_once(people, found, as_of=AS_OF).select(*whole.columns)
         assert whole.exceptAll(once).isEmpty() and once.exceptAll(whole).isEmpty() and not once.isEmpty()
+
+
+def test_a_step_compares_many_names_with_a_block():
+    """One batch of results for many names of either block, not one for each name; parts of a block give the same pairs."""
+    from tidemark.functions import edits
+
+    rng = random.Random(5)
+    left, right = words(rng, 120, 0, 9, "abé"), words(rng, 200, 0, 12, "abé中")
+    want = {(x, y, distance(x, y)) for x in left for y in right if distance(x, y) <= 4}
+    for marks in (edits.MARKS, 3000):
+        edits.MARKS, kept = marks, edits.MARKS
+        batches = list(edits.near_pairs(left, right, 4))
+        edits.MARKS = kept
+        got = [(left[i], right[j], int(n)) for rows, cols, found in batches for i, j, n in zip(rows, cols, found, strict=True)]
+        assert set(got) == want and len(got) == len(want)
+        assert marks == 3000 or len(batches) < len(left)
+
+
+def test_matches_are_shuffled_without_the_columns_of_the_list(spark):
+    """Entries join last, and an entry that has the customer's name under another spelling needs no join to be dropped."""
+    from tidemark.operators import screening as sc
+
+    people = spark.createDataFrame(
+        [("1", "Ann Lee", "ANN LEE"), ("2", "Bo Ray", "BO RAY"), (None, "Ann Lee", "ANN LEE")], "customer_id string, customer_name string, _name string"
+    )
+    listed = spark.createDataFrame(
+        [("E1", "Ann Lee", None), ("E1", "Ann Leo", "x"), ("E2", "Ann Lea", "x"), (None, "Ann Lee", "x"), ("E3", "Bo Rays", "bo ray of old")],
+        "entity_id string, entity_name string, entity_aliases string",
+    )
+    pairs = spark.createDataFrame(
+        [("ANN LEE", x, n) for x, n in (("ANN LEE", 0), ("ANN LEO", 1), ("ANN LEA", 1))] + [("BO RAY", "BO RAYS", 1)], "a string, b string, distance int"
+    )
+    found = sc.fuzzy_match(people, listed, pairs)
+    got = sorted((str(r.customer_id), str(r.entity_id), r.entity_name, r.edit_distance) for r in found.collect())
+    assert got == [
+        ("1", "E2", "Ann Lea", 1), ("1", "None", "Ann Lee", 0), ("2", "E3", "Bo Rays", 1), ("None", "E1", "Ann Lee", 0),
+        ("None", "E1", "Ann Leo", 1), ("None", "E2", "Ann Lea", 1), ("None", "None", "Ann Lee", 0),
+    ]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan
+    aliases = spark.createDataFrame([("BO RAY", "BO RAY OF OLD")], "a string, b string")
+    assert [(r.customer_id, r.entity_id) for r in sc.alias_match(people, listed, aliases).collect()] == [("2", "E3")]
