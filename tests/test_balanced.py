@@ -326,3 +326,49 @@ def test_matches_are_shuffled_without_the_columns_of_the_list(spark):
     assert "LeftAnti" not in plan
     aliases = spark.createDataFrame([("BO RAY", "BO RAY OF OLD")], "a string, b string")
     assert [(r.customer_id, r.entity_id) for r in sc.alias_match(people, listed, aliases).collect()] == [("2", "E3")]
+
+
+def test_sorted_matches_are_spread_by_customer(spark):
+    """Most matches have the same accuracy; a sort by it alone would put them into one task."""
+    from tidemark.operators import customer as cu
+    from tidemark.operators import reports as rp
+
+    view = spark.range(4000).select(
+        F.col("id").cast("string").alias("customer_id"), F.lit("n").alias("full_name"), F.lit("c").alias("country"),
+        F.lit("FUZZY_MATCH").alias("sanctions_match_type"), F.lit(75.0).alias("sanctions_match_accuracy_percent"),
+        F.lit(True).alias("requires_sanctions_review"), F.lit("CRITICAL").alias("overall_sanctions_risk"),
+    )
+    status = spark.range(4000).select(
+        F.col("id").cast("string").alias("customer_id"), F.lit(True).alias("requires_investigation"), F.lit("IMMEDIATE_BLOCK").alias("required_action"),
+        F.lit(False).alias("is_sla_breach"), F.lit(9).alias("days_since_screening"), F.lit("p").alias("pep_match_name"), F.lit("s").alias("sanctions_match_name"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for df in (rp.match_list(view, "sanctions"), cu.screening_alerts(status)):
+            assert df.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_hits_are_made_distinct_only_where_entries_repeat(spark):
+    """The same view as with all hits made distinct; readers of few columns join no others; one hit a kind for yes or no."""
+    from tidemark.operators import customer as cu
+    from tidemark.plans.catalog import FOLDERS, MARTS
+    from tidemark.plans.tables import AS_OF
+    from tidemark.plans.workspace import Workspace
+
+    w = Workspace.of(spark, "/root/testdata/sf0.001", MARTS, FOLDERS)
+    people, hits = w("customer_persons", "customer_screening")
+    one = hits.select("entity_id").first()[0]
+    none = hits.limit(2).withColumn("entity_id", F.lit(None).cast("string"))
+    found = hits.union(hits.where(F.col("entity_id") == one)).union(none).union(none)
+    listed = spark.createDataFrame([(one,), (one,), (None,), (None,), ("other",)], "entity_id string")
+    whole = cu.customer_view(people, found, as_of=AS_OF)
+    part = cu.customer_view(people, found, as_of=AS_OF, repeated=cu.repeated_entries(listed))
+    assert whole.exceptAll(part).isEmpty() and part.exceptAll(whole).isEmpty() and not whole.isEmpty()
+    plan = w["customer_360"].select("customer_id", "full_name", "sanctions_match_type")._jdf.queryExecution().executedPlan().toString()
+    # the hits of repeated entries are read whole
+    assert {"authority" in x for x in plan.splitlines() if "FileScan" in x and "match_type" in x} == {True, False}
+    names = ["customer_id", "exposed_person_match_type", "sanctions_match_type", "overall_risk_rating", "requires_sanctions_review"]
+    kinds = cu.customer_kinds(people, found, as_of=AS_OF).select(*names).distinct()
+    assert kinds.exceptAll(whole.select(*names).distinct()).isEmpty() and kinds.count() == whole.select(*names).distinct().count()
