@@ -196,3 +196,27 @@ def test_profile_reads_the_payments_once(spark, folder):
             assert abs(value - want) < 1e-9
     assert pay._counted(txns, 100, True)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
     assert path not in pay.behavioural_profile(txns, as_of="2024-02-01")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_loan_fields_are_read_at_once(spark):
+    """Odd documents keep their values; the fields come from one reading of the parsed document, not one each."""
+    from tidemark.operators.loans import extract_flat
+
+    texts = [
+        '{"response": {"customer_name": "A", "loan_amount": "CHF 1,200,000", "credit_score": 700, "country": null, "loan_term_years": "x"}}',
+        '{"response": {"customer_name": {"a": [1, "b"]}, "loan_amount": 12.50, "employment": true, "monthly_income": "1\\t0 0,0", "country": "None"}}',
+        '{"response": {"Customer_Name": "B", "loan_amount": "EUR ABC 5", "purchase_price": "12.5", "rate_type": [], "property_type": ""}}',
+        '{"response": null}', '{"response": "text"}', '{"response": [1]}', '{"other": 1}', "[]", "not json", None,
+        '{"response": {"customer_name": "A", "customer_name": "B"}}', '{"response": {}}',
+    ]
+    df = spark.createDataFrame([(f"f{i}", t) for i, t in enumerate(texts)], "file_name string, extracted_data string")
+    df = df.select("*", F.lit("2001-01-01 00:00:00").cast("timestamp_ntz").alias("file_timestamp"), F.current_date().alias("extraction_timestamp"))
+    out = extract_flat(df)
+    rows = {r.file_name: r for r in out.collect()}
+    assert (rows["f0"].customer_name, rows["f0"].loan_amount, rows["f0"].credit_score, rows["f0"].country, rows["f0"].loan_term_years) == ("A", 1200000, 700, None, None)
+    assert (rows["f1"].customer_name, rows["f1"].loan_amount, rows["f1"].employment, rows["f1"].monthly_income, rows["f1"].country) == ('{"a":[1,"b"]}', 13, "true", 1000, None)
+    assert (rows["f2"].customer_name, rows["f2"].loan_amount, rows["f2"].purchase_price, rows["f2"].rate_type, rows["f2"].property_type) == (None, 5, 13, "[]", "")
+    assert [rows[f"f{i}"].extraction_success for i in range(12)] == [True, True, True, True, True, True, False, False, False, False, False, True]
+    assert all(rows[f"f{i}"].customer_name is None for i in range(2, 12))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get") <= 4
