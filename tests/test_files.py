@@ -277,3 +277,19 @@ def test_tagging_makes_a_text_once(spark):
     got = ms.tagged(made)
     assert got._jdf.queryExecution().optimizedPlan().toString().count("MADE") == 1
     assert sorted(r.file_name for r in got.collect()) == ["0", "2"]
+
+
+def test_rows_and_rejects_come_from_one_reading(spark):
+    """Packed files, read and parsed once; the columns of rows and rejects side by side."""
+    from pathlib import Path
+
+    from tidemark.plans.catalog import FOLDERS, MARTS, QUERIES
+    from tidemark.plans.workspace import Workspace
+
+    w = Workspace.of(spark, "/root/testdata/sf0.001", MARTS, FOLDERS)
+    out = QUERIES["xml_load"](w)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml") == 1 and "Union" not in plan
+    files = [Path(x.removeprefix("file:")) for x in out.inputFiles()]
+    assert files and all(x.name.endswith(".txt.gz") for x in files)
+    assert out.where("reason IS NOT NULL AND entries IS NULL").count() > 0 and out.where("reason IS NULL AND entries > 1").count() > 0
