@@ -220,3 +220,23 @@ def test_loan_fields_are_read_at_once(spark):
     assert all(rows[f"f{i}"].customer_name is None for i in range(2, 12))
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("try_variant_get") <= 4
+
+
+def test_applications_meet_the_view_in_many_tasks(spark, monkeypatch):
+    """The rows of the join are many times its bytes, by which the adaptive planner would put it into one task."""
+    monkeypatch.setattr(ln, "APPLICATIONS", 20, raising=False)
+    kept = "full_name string, requires_sanctions_review boolean, requires_exposed_person_review boolean, overall_risk_rating string, vulnerable_customer_flag boolean, "
+    kept += ", ".join(f"{x} string" for x in ("sanctions_match_name", "sanctions_authority", "sanctions_risk_score", "exposed_person_exact_match_name"))
+    kept += ", " + ", ".join(f"exposed_person_{x} string" for x in ("exact_category", "exact_risk_level", "match_type"))
+    view = spark.createDataFrame([(str(i % 50), *[None] * 12) for i in range(100)], f"customer_id string, {kept}")
+    apps = spark.range(400).select(
+        F.col("id").cast("string").alias("application_id"), (F.col("id") % 60).cast("string").alias("customer_id"), F.lit("CHE").alias("country"),
+        F.lit(1).alias("requested_amount"), F.lit("APPROVED").alias("status"), F.lit(1).alias("application_date_time"),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = ln.loan_compliance_screening(apps, view)
+        rows = out.select("customer_id", F.spark_partition_id().alias("part")).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(rows) == sum(2 if i % 60 < 50 else 1 for i in range(400)) and len({r.part for r in rows}) > 8
